@@ -23,8 +23,10 @@ POLICIES = ("exact", "strip", "space", "none")
 # of any length is matched without recursion.
 _STRING = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+\""""
 
-# `\xNN` behind an even number of backslashes, which is an escape; `\\xNN` is text.
-_HEX_ESCAPE = r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})"
+# `\xNN` as the end of an odd run of backslashes is an escape; `\\xNN` is text.
+# The run's first backslash is matched before the look behind it, which makes
+# all other characters cheap to pass.
+_HEX_ESCAPE = r"(\\(?<!\\\\)(?:\\\\)*+)x([0-9a-fA-F]{2})"
 
 
 def _replace_word(text: Column, word: str, json_word: str) -> Column:
@@ -37,7 +39,7 @@ def _replace_word(text: Column, word: str, json_word: str) -> Column:
 def _exact(text: Column) -> Column:
     # Each step uses its input once: a guard such as `when(contains(...))` would
     # evaluate the steps below it again for every use.
-    text = F.regexp_replace(text, _HEX_ESCAPE, r"$1\\u00$2")
+    text = F.regexp_replace(text, _HEX_ESCAPE, "$1u00$2")
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
         text = _replace_word(text, word, json_word)
     return text

@@ -17,7 +17,7 @@ def cast_members(credits: DataFrame, policy: str = "exact") -> DataFrame:
     `id` identifies the credit and is the same in all of them. A film may have
     its cast spread over several credits rows.
     """
-    rows = film_elements(credits, "cast", schemas.CAST_MEMBER, policy)
+    rows = film_elements(credits, "cast", schemas.CREDITED, policy)
     return rows.select(
         hash_key("film_id", "element.credit_id", "element.id", "position").alias("id"),
         F.col("element.id").alias("cast_member_id"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,26 +36,49 @@ def parse_inferred(
     return frame.withColumn(parsed, F.from_json(text, infer_schema(frame, text)))
 
 
+def is_malformed(raw: str, parsed: str = "elements") -> Column:
+    """The cell holds text that did not parse. An absent (NULL) cell is not malformed."""
+    return F.col(parsed).isNull() & F.col(raw).isNotNull()
+
+
 def split_quarantine(
     frame: DataFrame, raw: str, parsed: str = "elements"
 ) -> tuple[DataFrame, DataFrame]:
-    """(usable rows, rows whose cell holds text that did not parse).
-
-    A cell that is absent (NULL) is not malformed; its row stays with the
-    usable ones, where it yields no element.
-    """
-    malformed = F.col(parsed).isNull() & F.col(raw).isNotNull()
+    """(usable rows, malformed rows); a row whose cell is absent is usable and has no element."""
+    malformed = is_malformed(raw, parsed)
     return frame.where(~malformed), frame.where(malformed).drop(parsed)
 
 
+def quarantine_cells(
+    frame: DataFrame, elements: Mapping[str, str], policy: str = "exact"
+) -> DataFrame:
+    """The malformed cells of several columns in one pass: id, column, raw."""
+    cells = F.array(
+        *[
+            F.struct(
+                F.lit(name).alias("column"),
+                F.col(name).alias("raw"),
+                parse_literal(F.col(name), element, policy).isNull().alias("unparsed"),
+            )
+            for name, element in elements.items()
+        ]
+    )
+    rows = frame.select("id", F.explode_outer(cells).alias("cell")).select("id", "cell.*")
+    return rows.where(F.col("unparsed") & F.col("raw").isNotNull()).drop("unparsed")
+
+
 def explode_elements(
     frame: DataFrame, keep: Sequence[str | Column], parsed: str = "elements"
 ) -> DataFrame:
     """One row per element: the kept columns, `position` from 0, `element`.
 
     NULL and empty collections yield no row. A NULL element yields a row.
+
+    The outer form with a filter behind it, because for the plain form Spark
+    puts `size(...) > 0` in front and so parses every cell a second time.
     """
-    return frame.select(*keep, F.posexplode(parsed).alias("position", "element"))
+    rows = frame.select(*keep, F.posexplode_outer(parsed).alias("position", "element"))
+    return rows.where(F.col("position").isNotNull())
 
 
 def film_elements(

@@ -82,7 +82,8 @@ def write_slices(posters: DataFrame, path: str) -> DataFrame:
     Whoever uses the result reads the folders, so no lookup is made twice.
     """
     posters.write.mode("overwrite").partitionBy("slice").parquet(path)
-    return posters.sparkSession.read.schema(posters.schema).parquet(path)
+    rows = posters.sparkSession.read.schema(posters.schema).parquet(path)
+    return rows.select(*posters.columns)
 
 
 def read_worker_outputs(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -30,10 +30,12 @@ def one_per_film(movies: DataFrame) -> DataFrame:
     """One row per film id: the smallest of its copies, the same in every run.
 
     Copies are combined before the shuffle, so an id with very many of them
-    costs one row per task.
+    costs one row per task. `07` and `7` are one id; other text stays as it is.
     """
     others = [name for name in movies.columns if name != "id"]
-    return movies.groupBy("id").agg(F.min(F.struct(*others)).alias("row")).select("id", "row.*")
+    key = F.coalesce(film_id().cast("string"), F.col("id"))
+    smallest = F.min(F.struct(*others))
+    return movies.groupBy(key.alias("id")).agg(smallest.alias("row")).select("id", "row.*")
 
 
 def fact_films(movies: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def fact_films(movies: DataFrame) -> DataFrame:
 
 def scalar_dim(movies: DataFrame, attribute: str) -> DataFrame:
     """One typed attribute per film, keyed by (film, attribute name)."""
-    key, data_type = schemas.SCALARS[attribute]
+    _, key, data_type = schemas.SCALARS[attribute]
     return movies.select(
         hash_key(film_id(), F.lit(attribute)).alias(key),
         film_id().alias("film_id"),
@@ -58,7 +60,7 @@ def _element_key(name: str) -> F.Column:
 
 def dim_countries(movies: DataFrame, policy: str = "exact") -> DataFrame:
     """DimCountries: production countries by name."""
-    rows = film_elements(movies, "production_countries", schemas.COUNTRY, policy)
+    rows = film_elements(movies, "production_countries", schemas.NAMED, policy)
     return rows.select(_element_key("name").alias("country_id"), "film_id", "element.name")
 
 
@@ -77,7 +79,7 @@ def dim_genres(movies: DataFrame, policy: str = "exact") -> DataFrame:
 
 def dim_companies(movies: DataFrame, policy: str = "exact") -> DataFrame:
     """DimProductionCompanies by name; a company without a name keeps its row."""
-    rows = film_elements(movies, "production_companies", schemas.ID_NAME, policy)
+    rows = film_elements(movies, "production_companies", schemas.NAMED, policy)
     return rows.select(
         _element_key("name").alias("company_id"),
         "film_id",
@@ -87,7 +89,7 @@ def dim_companies(movies: DataFrame, policy: str = "exact") -> DataFrame:
 
 def dim_languages(movies: DataFrame, policy: str = "exact") -> DataFrame:
     """DimSpokenLanguages: own key per language, and one key shared by a film's languages."""
-    rows = film_elements(movies, "spoken_languages", schemas.LANGUAGE, policy)
+    rows = film_elements(movies, "spoken_languages", schemas.NAMED, policy)
     return rows.select(
         _element_key("name").alias("id"),
         hash_key("film_id", F.lit("spoken_languages")).alias("film_key"),
@@ -98,7 +100,7 @@ def dim_languages(movies: DataFrame, policy: str = "exact") -> DataFrame:
 
 def film_keywords(keywords: DataFrame, policy: str = "exact") -> DataFrame:
     """One row per film and keyword."""
-    rows = film_elements(keywords, "keywords", schemas.ID_NAME, policy)
+    rows = film_elements(keywords, "keywords", schemas.NAMED, policy)
     return rows.select(
         _element_key("name").alias("id"), "film_id", F.col("element.name").alias("keyword")
     )

@@ -22,21 +22,17 @@ def above(frame: DataFrame, column: str, bound: float) -> DataFrame:
     return frame.where(F.col(column).try_cast(kind) > bound)
 
 
-def film_totals(ratings: DataFrame) -> DataFrame:
-    """Per film, in one aggregate: rows, rated rows, sum and mean of the ratings.
+def film_totals(facts: DataFrame) -> DataFrame:
+    """Per film of FactRatings, in one aggregate: rows, rated rows, sum and mean of the ratings.
 
     Tasks combine their rows per film before the shuffle, so a film that holds
     a third of all ratings arrives as one row per task.
     """
-    return (
-        fact_ratings(ratings)
-        .groupBy("film_id")
-        .agg(
-            F.count("*").alias("freq"),
-            F.count("rating").alias("rated"),
-            F.sum("rating").alias("rating_sum"),
-            F.avg("rating").alias("rating"),
-        )
+    return facts.groupBy("film_id").agg(
+        F.count("*").alias("freq"),
+        F.count("rating").alias("rated"),
+        F.sum("rating").alias("rating_sum"),
+        F.avg("rating").alias("rating"),
     )
 
 

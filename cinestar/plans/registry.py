@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinestar.functions.keys import hash_key
-from cinestar.functions.scalars import role_of
+from cinestar.functions.scalars import VOICE, role_of
 from cinestar.operators import cast, dense, enrich, films, posters, ratings
-from cinestar.operators.collections import film_id, parse_column, split_quarantine
+from cinestar.operators.collections import film_id, is_malformed, parse_column
 from cinestar.plans import star
 from cinestar.session import scratch_path
 from cinestar.sources import fixtures as raw
@@ -31,7 +31,7 @@ def _facts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _totals(spark: SparkSession, sf: str) -> DataFrame:
-    return ratings.film_totals(raw.raw_ratings(spark, sf))
+    return ratings.film_totals(ratings.fact_ratings(raw.raw_ratings(spark, sf)))
 
 
 def _votes(spark: SparkSession, sf: str) -> DataFrame:
@@ -60,7 +60,8 @@ def film_votes(spark: SparkSession, sf: str) -> DataFrame:
 
 def ratings_filtered(spark: SparkSession, sf: str) -> DataFrame:
     liked = ratings.above(raw.raw_ratings(spark, sf), "rating", 2.5)
-    return ratings.film_totals(liked).select("film_id", "freq", "rating")
+    totals = ratings.film_totals(ratings.fact_ratings(liked))
+    return totals.select("film_id", "freq", "rating")
 
 
 def ratings_remapped(spark: SparkSession, sf: str) -> DataFrame:
@@ -88,14 +89,10 @@ def films_denylist(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def json_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    """Usable and unparsable credits cells per film."""
+    """Credits cells, and unparsable ones among them, per film."""
     parsed = parse_column(raw.raw_credits(spark, sf), "cast", schemas.CAST_MEMBER)
-    usable, malformed = split_quarantine(parsed, "cast")
-    rows = usable.select("id", F.lit(0).alias("bad")).unionByName(
-        malformed.select("id", F.lit(1).alias("bad"))
-    )
-    return rows.groupBy(film_id().alias("film_id")).agg(
-        F.count("*").alias("cells"), F.sum("bad").alias("malformed")
+    return parsed.groupBy(film_id().alias("film_id")).agg(
+        F.count("*").alias("cells"), F.count_if(is_malformed("cast")).alias("malformed")
     )
 
 
@@ -131,7 +128,7 @@ def csv_single_line(spark: SparkSession, sf: str) -> DataFrame:
     members = cast.cast_members(read_csv(spark, path, require=schemas.CREDITS))
     return members.groupBy("film_id").agg(
         F.count("*").alias("members"),
-        F.sum(F.when(role_of(F.col("character")) == "voice", 1).otherwise(0)).alias("voices"),
+        F.count_if(role_of(F.col("character")) == VOICE).alias("voices"),
     )
 
 

@@ -42,6 +42,11 @@ def py_text(value: Column) -> Column:
     return F.coalesce(quoted, F.lit("None"))
 
 
+def py_code(value: Column) -> Column:
+    """A string that needs no escapes, or None."""
+    return F.coalesce(F.concat(F.lit("'"), value, F.lit("'")), F.lit("None"))
+
+
 def py_dict(**fields: Column) -> Column:
     """`{'a': 1, 'b': 'x'}` from already printed values."""
     pairs = [F.concat(F.lit(f"'{name}': "), value) for name, value in fields.items()]
@@ -106,7 +111,7 @@ def _with_document(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataFr
     )
     language = py_list(
         F.array(
-            py_dict(iso_639_1=py_text(F.col("lang")), name=py_text(F.initcap(F.col("lang"))))
+            py_dict(iso_639_1=py_code(F.col("lang")), name=py_text(F.initcap(F.col("lang"))))
         )
     )
     return films.join(documents, "p_partkey", "left").withColumn(
@@ -135,7 +140,7 @@ def _with_companies(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
         _film_suppliers(spark, sf_dir)
         .withColumn("company", F.struct("s_suppkey", name.alias("name")))
         .groupBy("p_partkey")
-        .agg(F.array_sort(F.collect_list("company")).alias("companies"))
+        .agg(F.sort_array(F.collect_list("company")).alias("companies"))
     )
     printed = F.transform(
         "companies", lambda c: py_dict(id=py_number(c.s_suppkey), name=py_text(c["name"]))
@@ -153,12 +158,12 @@ def _with_countries(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
         _film_suppliers(spark, sf_dir)
         .join(nations, "s_nationkey")
         .groupBy("p_partkey")
-        .agg(F.array_sort(F.collect_set(F.struct("s_nationkey", "n_name"))).alias("nations"))
+        .agg(F.sort_array(F.collect_set(F.struct("s_nationkey", "n_name"))).alias("nations"))
     )
     printed = F.transform(
         "nations",
         lambda n: py_dict(
-            iso_3166_1=py_text(F.concat(F.lit("N"), n.s_nationkey.cast("string"))),
+            iso_3166_1=py_code(F.concat(F.lit("N"), n.s_nationkey.cast("string"))),
             name=py_text(n.n_name),
         ),
     )
@@ -241,7 +246,7 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("l_orderkey", "l_partkey")
         .join(buyers, "l_orderkey")
         .groupBy("l_partkey", F.expr(f"buyer.id div {CAST_BLOCK}").alias("block"))
-        .agg(F.array_sort(F.collect_set("buyer")).alias("members"))
+        .agg(F.sort_array(F.collect_set("buyer")).alias("members"))
     )
     film = F.col("l_partkey").cast("string")
     printed = F.transform(
@@ -249,21 +254,20 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda m, i: py_dict(
             cast_id=py_number(i),
             character=py_text(m.character),
-            credit_id=py_text(F.concat_ws("-", film, m.id.cast("string"), m.status)),
+            credit_id=py_code(F.concat_ws("-", film, m.id.cast("string"), m.status)),
             gender=py_number(m.gender),
             id=py_number(m.id),
             name=py_text(m["name"]),
             order=py_number(i),
-            profile_path=py_text(
+            profile_path=py_code(
                 F.when(m.gender > 0, F.concat(F.lit("/"), m.id.cast("string"), F.lit(".jpg")))
             ),
         ),
     )
-    cell = py_list(printed)
-    cut = F.left(cell, F.length(cell) - 2)
-    return cells.select(
+    cut = F.left("cell", F.length("cell") - 2)
+    return cells.withColumn("cell", py_list(printed)).select(
         film.alias("id"),
-        F.when(F.size("members") > CAST_CELL_MEMBERS, cut).otherwise(cell).alias("cast"),
+        F.when(F.size("members") > CAST_CELL_MEMBERS, cut).otherwise(F.col("cell")).alias("cast"),
     )
 
 

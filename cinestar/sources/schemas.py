@@ -11,6 +11,19 @@ CAST_MEMBER = (
     "id int, name string, `order` int, profile_path string"
 )
 
+
+# Collection columns of the metadata export.
+FILM_COLLECTIONS = {
+    "genres": ID_NAME,
+    "production_companies": ID_NAME,
+    "production_countries": COUNTRY,
+    "spoken_languages": LANGUAGE,
+}
+
+# The parts of the elements that the tables use; the parser skips the rest.
+NAMED = "name string"
+CREDITED = "character string, credit_id string, gender int, id int, name string"
+
 # Columns each stage needs; raw files may hold more.
 MOVIES = (
     "id",
@@ -33,14 +46,14 @@ CREDITS = ("id", "cast")
 KEYWORDS = ("id", "keywords")
 RATINGS = ("movieId", "rating")
 
-# Scalar film attribute -> (name of its key column, type in the model).
+# Scalar film attribute -> (table, name of its key column, type in the model).
 SCALARS = {
-    "homepage": ("homepage_id", "string"),
-    "imdb_id": ("id", "string"),
-    "overview": ("id", "string"),
-    "popularity": ("id", "double"),
-    "release_date": ("id", "date"),
-    "revenue": ("id", "decimal(18,2)"),
-    "runtime": ("id", "double"),
-    "status": ("id", "string"),
+    "homepage": ("DimHomepages", "homepage_id", "string"),
+    "imdb_id": ("DimImdbId", "id", "string"),
+    "overview": ("DimOverview", "id", "string"),
+    "popularity": ("DimPopularity", "id", "double"),
+    "release_date": ("DimReleaseDate", "id", "date"),
+    "revenue": ("DimRevenue", "id", "decimal(18,2)"),
+    "runtime": ("DimRuntime", "id", "double"),
+    "status": ("DimStatus", "id", "string"),
 }
