@@ -29,19 +29,37 @@ _STRING = r"""'(?:[^'\\]++|\\.)*+'|"(?:[^"\\]++|\\.)*+\""""
 _HEX_ESCAPE = r"(\\(?<!\\\\)(?:\\\\)*+)x([0-9a-fA-F]{2})"
 
 
-def _replace_word(text: Column, word: str, json_word: str) -> Column:
+def _word_rule(word: str, json_word: str) -> tuple[str, str, str]:
     """Replace a bare word, stepping over quoted strings from match to match."""
     first, rest = word[0], word[1:]
     pattern = rf"(?s)\G((?:[^'\"{first}]++|{_STRING}|{first}(?!{rest}\b))*+){word}\b"
-    return F.regexp_replace(text, pattern, f"$1{json_word}")
+    return word, pattern, f"$1{json_word}"
+
+
+# (text a cell must hold for the rule to apply, pattern, replacement)
+_RULES = (
+    ("\\x", _HEX_ESCAPE, "$1u00$2"),
+    _word_rule("None", "null"),
+    _word_rule("True", "true"),
+    _word_rule("False", "false"),
+)
+
+
+def _apply_rule(text: Column, mark: str, pattern: str, replacement: str) -> Column:
+    """Replace where the mark occurs: a substring test is far cheaper than a pattern.
+
+    The lambda evaluates `text` once; in a plain `when` each of its three uses
+    would evaluate it again, and so on down a chain of rules.
+    """
+    return F.transform(
+        F.array(text),
+        lambda t: F.when(t.contains(mark), F.regexp_replace(t, pattern, replacement)).otherwise(t),
+    )[0]
 
 
 def _exact(text: Column) -> Column:
-    # Each step uses its input once: a guard such as `when(contains(...))` would
-    # evaluate the steps below it again for every use.
-    text = F.regexp_replace(text, _HEX_ESCAPE, "$1u00$2")
-    for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = _replace_word(text, word, json_word)
+    for rule in _RULES:
+        text = _apply_rule(text, *rule)
     return text
 
 

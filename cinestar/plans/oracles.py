@@ -39,6 +39,10 @@ facts AS (
   FROM films GROUP BY film_id
 )"""
 
+_UNIQUE = f"""{_ALL_FILMS},
+unique_films AS (SELECT DISTINCT * FROM all_films),
+posters AS (SELECT page_id, min(url) AS url FROM pages GROUP BY page_id)"""
+
 _RATINGS = """
 ratings AS (
   SELECT l_partkey AS film_id, CAST(0.5 * ceil(l_quantity / 5) AS DOUBLE) AS rating FROM lineitem
@@ -99,7 +103,7 @@ genre_rows AS (
 _LANGUAGES = """
 language_rows AS (
   SELECT film_id, upper(substr(lang, 1, 1)) || lower(substr(lang, 2)) AS languages
-  FROM films JOIN documents ON doc_id = film_id
+  FROM {source} JOIN documents ON doc_id = film_id
 )"""
 
 # Members of the credits cells: per film and block of 2048 customers, in the
@@ -154,7 +158,7 @@ _REVENUE = "CAST(sales AS DECIMAL(18,2))"
 _FILM_SALES = "films LEFT JOIN sales USING (film_id)"
 _FILM_PAGES = "films LEFT JOIN pages ON page_id = film_id"
 _FILM_DOCUMENTS = "films LEFT JOIN documents ON doc_id = film_id"
-_LOCATED = "all_films LEFT JOIN pages ON page_id = film_id AND imdb_id IS NOT NULL"
+_LOCATED = "unique_films LEFT JOIN posters ON page_id = film_id AND imdb_id IS NOT NULL"
 
 ORACLES: dict[str, str] = {
     "film_votes": f"WITH {_VOTES} SELECT * FROM votes",
@@ -181,7 +185,7 @@ FROM films JOIN country_rows USING (film_id)""",
     "dim_companies": f"""WITH {_FILMS}, {_COMPANIES}
 SELECT {_key("film_id", "position", "company_name")} AS company_id, film_id, company_name
 FROM films JOIN company_rows USING (film_id)""",
-    "dim_languages": f"""WITH {_FILMS}, {_LANGUAGES}
+    "dim_languages": f"""WITH {_FILMS}, {_LANGUAGES.format(source='films')}
 SELECT {_key("film_id", "0", "languages")} AS id, {_key("film_id", "'spoken_languages'")} AS film_key,
        film_id, languages
 FROM language_rows""",
@@ -223,30 +227,31 @@ SELECT {_key("film_id", "position", "keyword")} AS row_key, {_key("film_id")} AS
 FROM word_rows""",
     "dense_keys": f"""WITH {_FACTS}
 SELECT row_number() OVER (ORDER BY film_id) - 1 AS id, film_id, title, original_title FROM facts""",
-    "range_slices": f"""WITH {_ALL_FILMS},
+    "range_slices": f"""WITH {_UNIQUE},
 numbered AS (
   SELECT row_number() OVER (ORDER BY film_id) - 1 AS id, count(*) OVER () AS films, film_id
-  FROM all_films WHERE imdb_id IS NOT NULL
+  FROM unique_films WHERE imdb_id IS NOT NULL
 )
 SELECT id, film_id, ((id + 1) * 5 - 1) // films AS slice FROM numbered""",
     "star_films": f"""WITH {_VOTES}, {_SALES}
 SELECT v.film_id, v.title, v.original_title, url AS homepage, p_retailprice AS popularity,
        {_RELEASE} AS release_date, {_REVENUE} AS revenue, CAST(p_size AS DOUBLE) AS runtime,
        p_type AS status, imdb_id, vote_average, vote_count
-FROM votes v JOIN films f ON f.film_id = v.film_id LEFT JOIN pages ON page_id = v.film_id
+FROM votes v JOIN (SELECT DISTINCT * FROM films) f ON f.film_id = v.film_id LEFT JOIN pages ON page_id = v.film_id
 LEFT JOIN sales s ON s.film_id = v.film_id""",
-    "star_by_genre": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_GENRES.format(source='films')} {_rollup('genre_rows', 'name')}",
+    "star_by_genre": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_GENRES.format(source='(SELECT DISTINCT * FROM films)')} {_rollup('genre_rows', 'name')}",
     "star_by_country": f"WITH {_FACTS}, {_TOTALS}, {_COUNTRIES} {_rollup('country_rows', 'name')}",
     "star_by_company": f"WITH {_FACTS}, {_TOTALS}, {_COMPANIES} {_rollup('company_rows', 'company_name')}",
-    "star_by_language": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_LANGUAGES} {_rollup('language_rows', 'languages')}",
-    "poster_locations": f"WITH {_ALL_FILMS} SELECT film_id, imdb_id, url FROM {_LOCATED}",
-    "poster_slices_union": f"""WITH {_ALL_FILMS}
+    "star_by_language": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_LANGUAGES.format(source='facts')} {_rollup('language_rows', 'languages')}",
+    "poster_locations": f"WITH {_UNIQUE} SELECT film_id, imdb_id, url FROM {_LOCATED}",
+    "poster_slices_union": f"""WITH {_UNIQUE}
 SELECT film_id, imdb_id, 'https://posters.example.org/' || substr(imdb_id, 3) || '.jpg' AS url,
        CAST(NULL AS VARCHAR) AS error
-FROM all_films""",
-    "film_posters": f"""WITH {_FACTS}
-SELECT film_id, title, original_title, url AS poster FROM facts LEFT JOIN pages ON page_id = film_id""",
-    "poster_labels": f"""WITH {_ALL_FILMS}, {_GENRES.format(source='all_films')}
+FROM unique_films""",
+    "film_posters": f"""WITH {_FACTS},
+posters AS (SELECT page_id, min(url) AS url FROM pages GROUP BY page_id)
+SELECT film_id, title, original_title, url AS poster FROM facts LEFT JOIN posters ON page_id = film_id""",
+    "poster_labels": f"""WITH {_UNIQUE}, {_GENRES.format(source='unique_films')}
 SELECT film_id, url, name AS genre FROM {_LOCATED} JOIN genre_rows USING (film_id)
 WHERE url IS NOT NULL""",
 }

@@ -26,6 +26,10 @@ def _movies(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     )
 
 
+def _unique(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    return films.one_per_film(_movies(spark, sf, *columns))
+
+
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
     return films.fact_films(_movies(spark, sf, "title", "original_title"))
 
@@ -43,15 +47,13 @@ def _members(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _film_ids(spark: SparkSession, sf: str) -> DataFrame:
-    return raw.raw_movies(spark, sf).select(film_id().alias("film_id"), "imdb_id")
+    unique = films.one_per_film(raw.raw_movies(spark, sf))
+    return unique.select(film_id().alias("film_id"), "imdb_id")
 
 
-def _scalar(attribute: str) -> Query:
-    def query(spark: SparkSession, sf: str) -> DataFrame:
-        columns = () if attribute == "imdb_id" else (attribute,)
-        return films.scalar_dim(_movies(spark, sf, *columns), attribute)
-
-    return query
+def _scalar(attribute: str, movies: Callable[..., DataFrame] = _movies) -> Query:
+    columns = () if attribute == "imdb_id" else (attribute,)
+    return lambda spark, sf: films.scalar_dim(movies(spark, sf, *columns), attribute)
 
 
 def film_votes(spark: SparkSession, sf: str) -> DataFrame:
@@ -177,19 +179,17 @@ def range_slices(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def star_films(spark: SparkSession, sf: str) -> DataFrame:
-    wanted = tuple(name for name in schemas.SCALARS if name not in ("imdb_id", "overview"))
-    dims = [_scalar(name)(spark, sf) for name in (*wanted, "imdb_id")]
-    votes = _votes(spark, sf)
-    dims += [ratings.dim_vote_average(votes), ratings.dim_vote_count(votes)]
-    return star.star_films(_facts(spark, sf), dims)
+    attributes = [name for name in schemas.SCALARS if name not in ("imdb_id", "overview")]
+    dims = {name: _scalar(name, _unique)(spark, sf) for name in attributes}
+    dims["imdb_id"] = _film_ids(spark, sf)
+    return star.star_films(_votes(spark, sf), dims)
 
 
 def _rollup(dim: Callable[[DataFrame], DataFrame], source: str, name: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        measures = star.film_measures(
-            _facts(spark, sf), _totals(spark, sf), _scalar("revenue")(spark, sf)
-        )
-        return star.rollup_by(measures, dim(_movies(spark, sf, source)), name)
+        revenue = _scalar("revenue", _unique)(spark, sf)
+        measures = star.film_measures(_facts(spark, sf), _totals(spark, sf), revenue)
+        return star.rollup_by(measures, dim(_unique(spark, sf, source)), name)
 
     return query
 
@@ -217,13 +217,13 @@ def film_posters(spark: SparkSession, sf: str) -> DataFrame:
 
 def poster_labels(spark: SparkSession, sf: str) -> DataFrame:
     located = poster_locations(spark, sf).where(F.col("url").isNotNull())
-    genres = films.dim_genres(raw.raw_movies(spark, sf, "genres"))
+    genres = films.dim_genres(films.one_per_film(raw.raw_movies(spark, sf, "genres")))
     return posters.poster_labels(located.select("film_id", "url"), genres)
 
 
 def genre_scores(spark: SparkSession, sf: str) -> DataFrame:
     features = raw.poster_features(spark, sf)
-    genres = films.dim_genres(raw.raw_movies(spark, sf, "genres"))
+    genres = films.dim_genres(films.one_per_film(raw.raw_movies(spark, sf, "genres")))
     model = posters.train_genres(posters.poster_labels(features, genres))
     return posters.score_genres(model, features)
 

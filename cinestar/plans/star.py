@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,17 +11,16 @@ from pyspark.sql import functions as F
 from cinestar.operators.ratings import mean_of
 
 
-def star_films(films: DataFrame, scalar_dims: Sequence[DataFrame]) -> DataFrame:
-    """The fact with every scalar dimension next to it, one row per film.
+def star_films(votes: DataFrame, scalar_dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Each film with its votes and every scalar dimension next to it.
 
-    All joins are on film_id, so one partitioning by film serves the chain.
+    `scalar_dims` holds, per attribute, a dimension with one row per film. All
+    joins are on film_id, so one partitioning by film serves the whole chain.
     """
-    wide = films.withColumnRenamed("id", "film_id")
-    # Each dimension is (key, film_id, attribute); the keys are not needed here.
     return reduce(
-        lambda left, dim: left.join(dim.select(*dim.columns[1:]), "film_id", "left"),
-        scalar_dims,
-        wide,
+        lambda wide, dim: wide.join(dim[1].select("film_id", dim[0]), "film_id", "left"),
+        scalar_dims.items(),
+        votes,
     )
 
 

@@ -49,8 +49,10 @@ def py_code(value: Column) -> Column:
 
 def py_dict(**fields: Column) -> Column:
     """`{'a': 1, 'b': 'x'}` from already printed values."""
-    pairs = [F.concat(F.lit(f"'{name}': "), value) for name, value in fields.items()]
-    return F.concat(F.lit("{"), F.concat_ws(", ", *pairs), F.lit("}"))
+    pieces = []
+    for name, value in fields.items():
+        pieces += [F.lit(f"{', ' if pieces else '{'}'{name}': "), value]
+    return F.concat(*pieces, F.lit("}"))
 
 
 def py_list(items: Column) -> Column:
@@ -235,9 +237,9 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.struct(
                 F.col("o_custkey").alias("id"),
                 F.col("o_orderstatus").alias("status"),
-                character.alias("character"),
+                py_text(character).alias("character"),
                 gender.alias("gender"),
-                F.col("c_name").alias("name"),
+                py_text(F.col("c_name")).alias("name"),
             ).alias("buyer"),
         )
     )
@@ -253,11 +255,11 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         "members",
         lambda m, i: py_dict(
             cast_id=py_number(i),
-            character=py_text(m.character),
+            character=m.character,
             credit_id=py_code(F.concat_ws("-", film, m.id.cast("string"), m.status)),
             gender=py_number(m.gender),
             id=py_number(m.id),
-            name=py_text(m["name"]),
+            name=m["name"],
             order=py_number(i),
             profile_path=py_code(
                 F.when(m.gender > 0, F.concat(F.lit("/"), m.id.cast("string"), F.lit(".jpg")))
@@ -280,8 +282,9 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def poster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Poster locations by bare outside id."""
-    return table(spark, sf_dir, "pages").select(outside_id(F.col("page_id")).alias("bare"), "url")
+    """Poster locations, one per bare outside id."""
+    urls = table(spark, sf_dir, "pages").groupBy("page_id").agg(F.min("url").alias("url"))
+    return urls.select(outside_id(F.col("page_id")).alias("bare"), "url")
 
 
 def poster_features(spark: SparkSession, sf_dir: str) -> DataFrame:
