@@ -26,22 +26,27 @@ def accept_films_by_table(movies: DataFrame, denied: DataFrame) -> DataFrame:
     return known.join(denied.select("imdb_id"), "imdb_id", "left_anti")
 
 
+def split_numbered(movies: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose id is a number, the others); the others are broken rows, not films."""
+    return movies.where(film_id().isNotNull()), movies.where(film_id().isNull())
+
+
 def one_per_film(movies: DataFrame) -> DataFrame:
-    """One row per film id: the smallest of its copies, the same in every run.
+    """One row per numbered film: the smallest of its copies, the same in every run.
 
     Copies are combined before the shuffle, so an id with very many of them
-    costs one row per task. `07` and `7` are one id; other text stays as it is.
+    costs one row per task. The result is partitioned and sorted by its typed
+    id, which a join on the film then uses as it is.
     """
     others = [name for name in movies.columns if name != "id"]
-    key = F.coalesce(film_id().cast("string"), F.col("id"))
-    smallest = F.min(F.struct(*others))
-    return movies.groupBy(key.alias("id")).agg(smallest.alias("row")).select("id", "row.*")
+    numbered, _ = split_numbered(movies)
+    unique = numbered.groupBy(film_id().alias("id")).agg(F.min(F.struct(*others)).alias("row"))
+    return unique.select("id", "row.*")
 
 
 def fact_films(movies: DataFrame) -> DataFrame:
     """FactFilms: one row per film."""
-    unique = one_per_film(movies.select("id", "title", "original_title"))
-    return unique.select(film_id().alias("id"), "title", "original_title")
+    return one_per_film(movies.select("id", "title", "original_title"))
 
 
 def scalar_dim(movies: DataFrame, attribute: str) -> DataFrame:

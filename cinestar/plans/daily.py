@@ -1,4 +1,4 @@
-"""The daily batch: raw exports -> star tables -> ratings -> posters.
+"""The daily batch: raw exports -> star tables -> ratings -> posters -> genre model.
 
 Every stage reads what an earlier stage has written, and every write replaces
 its target, so the batch can be run again at any time with the same result.
@@ -12,15 +12,15 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinestar.operators import cast, enrich, films, ratings
-from cinestar.operators.collections import film_id, quarantine_cells
+from cinestar.operators import cast, enrich, films, posters, ratings
+from cinestar.operators.collections import quarantine_cells
 from cinestar.sources import schemas
 from cinestar.sources.csv import read_csv
 from cinestar.sources.tables import (
     ensure_schema,
     overwrite_parquet,
-    overwrite_run,
     read_table,
+    save_run,
     save_table,
 )
 
@@ -42,6 +42,8 @@ class DailyConfig:
     # Parallel poster lookups, and what makes a resolver for each of them.
     slices: int = enrich.DEFAULT_SLICES
     open_resolver: Callable[[], enrich.Resolver] | None = None
+    # Parquet with film_id and features (array) of the posters, for the genre model.
+    poster_features: str | None = None
 
 
 class _Lake:
@@ -83,21 +85,19 @@ def run_movies(lake: _Lake) -> None:
     """Metadata is read once, cleared of denied rows and copies, and staged."""
     config = lake.config
     movies = read_csv(lake.spark, config.movies_csv, multiline=True, require=schemas.MOVIES)
-    movies = films.one_per_film(films.accept_films(movies, config.denied))
-    movies = lake.stage(movies, "stage/movies")
-    known = movies.where(film_id().isNotNull())
-
-    facts = known.select(film_id().alias("id"), "title", "original_title")
-    lake.table(facts, "FactFilms", per_film="id")
-    lake.table(films.dim_countries(known, config.policy), "DimCountries")
-    lake.table(films.dim_genres(known, config.policy), "DimGenres")
-    lake.table(films.dim_companies(known, config.policy), "DimProductionCompanies")
-    lake.table(films.dim_languages(known, config.policy), "DimSpokenLanguages")
+    accepted = lake.stage(films.accept_films(movies, config.denied), "stage/accepted")
+    numbered, broken = films.split_numbered(accepted)
+    lake.stage(broken, "quarantine/film_id")
+    movies = lake.stage(films.one_per_film(numbered), "stage/movies")
+
+    lake.table(movies.select("id", "title", "original_title"), "FactFilms", per_film="id")
+    lake.table(films.dim_countries(movies, config.policy), "DimCountries")
+    lake.table(films.dim_genres(movies, config.policy), "DimGenres")
+    lake.table(films.dim_companies(movies, config.policy), "DimProductionCompanies")
+    lake.table(films.dim_languages(movies, config.policy), "DimSpokenLanguages")
     for attribute, (name, _, _) in schemas.SCALARS.items():
-        lake.table(films.scalar_dim(known, attribute), name, per_film="film_id")
-
-    lake.stage(movies.where(film_id().isNull()), "quarantine/film_id")
-    malformed = quarantine_cells(known, schemas.FILM_COLLECTIONS, config.policy)
+        lake.table(films.scalar_dim(movies, attribute), name, per_film="film_id")
+    malformed = quarantine_cells(movies, schemas.FILM_COLLECTIONS, config.policy)
     lake.stage(malformed, "quarantine/movies")
 
 
@@ -116,9 +116,8 @@ def run_ratings(lake: _Lake) -> None:
     config = lake.config
     raw = read_csv(lake.spark, config.ratings_csv, require=schemas.RATINGS)
     single = ratings.fact_ratings(raw).withColumn("run_date", F.lit(config.run_date))
-    path = lake.path("model/FactRatings")
-    overwrite_run(single, path, ["run_date"])
-    runs = lake.spark.read.schema(single.schema).parquet(path)
+    name, path = f"{config.database}.FactRatings", lake.path("model/FactRatings")
+    runs = save_run(single, name, path, ["run_date"])
     of_this_run = runs.where(F.col("run_date") == config.run_date)
 
     totals = lake.stage(ratings.film_totals(of_this_run), "stage/rating_totals")
@@ -137,12 +136,25 @@ def run_posters(lake: _Lake) -> None:
     ids = lake.read("DimImdbId").select("film_id", "imdb_id")
     found = enrich.resolve_posters(ids, config.open_resolver, config.slices)
     written = enrich.write_slices(found, lake.path("stage/posters"))
-    posters = written.select("film_id", "imdb_id", "url", "error")
-    lake.table(posters, "DimPosters", per_film="film_id")
+    located = written.select("film_id", "imdb_id", "url", "error")
+    lake.table(located, "DimPosters", per_film="film_id")
+
+
+def run_genres(lake: _Lake) -> None:
+    """Posters labelled with the genres of their films, the model, and its ranked genres."""
+    config = lake.config
+    if config.poster_features is None:
+        return
+    features = lake.spark.read.parquet(config.poster_features).select("film_id", "features")
+    labels = posters.poster_labels(features, lake.read("DimGenres"))
+    labels = lake.stage(labels, "stage/poster_labels")
+    model = posters.train_genres(labels)
+    model.write().overwrite().save(lake.path("model/GenreModel"))
+    lake.table(posters.score_genres(model, features), "PosterGenres")
 
 
 def run_daily(spark: SparkSession, config: DailyConfig) -> None:
-    """All stages in order: cast, metadata and keywords, then ratings, then posters."""
+    """All stages in order: cast, metadata and keywords, then ratings, posters, genres."""
     ensure_schema(spark, config.database, f"{config.lake}/schema")
     lake = _Lake(spark, config)
     run_credits(lake)
@@ -150,3 +162,4 @@ def run_daily(spark: SparkSession, config: DailyConfig) -> None:
     run_keywords(lake)
     run_ratings(lake)
     run_posters(lake)
+    run_genres(lake)

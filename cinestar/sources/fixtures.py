@@ -94,7 +94,7 @@ def _film_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _with_sales(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     return films.join(_film_sales(spark, sf_dir), "p_partkey", "left").withColumns(
         {
-            "release_date": F.date_format("first_ship", "yyyy-MM-dd"),
+            "release_date": F.col("first_ship").cast("date").cast("string"),
             "revenue": F.col("sales").cast("string"),
         }
     )

@@ -47,10 +47,30 @@ def overwrite_parquet(frame: DataFrame, path: str) -> DataFrame:
 
 
 def overwrite_run(frame: DataFrame, path: str, run_columns: Sequence[str]) -> None:
-    """Replace only the partitions that occur in the frame; other runs stay."""
+    """Replace only the partitions that occur in the frame; other runs stay.
+
+    A frame without rows names no partition and replaces nothing.
+    """
     (
         frame.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*run_columns)
         .parquet(path)
     )
+
+
+def save_run(frame: DataFrame, name: str, path: str, run_columns: Sequence[str]) -> DataFrame:
+    """`overwrite_run` for a partitioned catalog table; returns its scan over all runs.
+
+    The write goes to the folder: `insertInto` takes no partition overwrite mode
+    per write and would replace the whole table.
+    """
+    spark = frame.sparkSession
+    overwrite_run(frame, path, run_columns)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({frame.schema.toDDL()}) USING parquet "
+        f"PARTITIONED BY ({', '.join(run_columns)}) LOCATION '{path}'"
+    )
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)

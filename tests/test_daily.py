@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from cinestar.plans.daily import DailyConfig, run_daily
@@ -56,6 +59,8 @@ def config(spark, tmp_path_factory):
     exports["movies"] = exports["movies"].unionByName(broken)
     for name, frame in exports.items():
         export_csv(frame, str(folder / name))
+    features = str(folder / "features")
+    raw.poster_features(spark, SF_DIR).write.parquet(features)
     return DailyConfig(
         *[str(folder / name) for name in exports],
         lake=str(folder / "lake"),
@@ -63,6 +68,7 @@ def config(spark, tmp_path_factory):
         database="films_daily",
         denied=raw.DENIED,
         open_resolver=open_template_resolver,
+        poster_features=features,
     )
 
 
@@ -91,6 +97,12 @@ def test_batch_builds_the_model_and_can_be_repeated(spark, config):
     ratings = raw.raw_ratings(spark, SF_DIR).count()
     assert spark.read.parquet(f"{lake}/model/FactRatings").count() == ratings
 
-    run_daily(spark, config)
+    scores = spark.table("films_daily.PosterGenres")
+    assert scores.where("rank = 1").count() == raw.poster_features(spark, SF_DIR).count()
+    assert PipelineModel.load(f"{lake}/model/GenreModel").stages
+
+    run_daily(spark, replace(config, run_date="2024-01-02"))
+    run_daily(spark, replace(config, run_date="2024-01-02"))
     assert model(spark) == first
-    assert spark.read.parquet(f"{lake}/model/FactRatings").count() == ratings
+    runs = spark.table("films_daily.FactRatings").groupBy("run_date").count()
+    assert {tuple(r) for r in runs.collect()} == {("2024-01-01", ratings), ("2024-01-02", ratings)}
