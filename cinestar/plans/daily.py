@@ -39,9 +39,11 @@ class DailyConfig:
     policy: str = "exact"
     # Buckets of the tables that have one row per film; equal counts join without a shuffle.
     buckets: int = 8
-    # Parallel poster lookups, and what makes a resolver for each of them.
-    slices: int = enrich.DEFAULT_SLICES
+    # Poster locations: a resolver, asked for `slices` films at a time, or else
+    # a Parquet table (bare outside id in `bare`, location in `url`).
     open_resolver: Callable[[], enrich.Resolver] | None = None
+    slices: int = enrich.DEFAULT_SLICES
+    poster_table: str | None = None
     # Parquet with film_id and features (array) of the posters, for the genre model.
     poster_features: str | None = None
 
@@ -129,14 +131,17 @@ def run_ratings(lake: _Lake) -> None:
 
 
 def run_posters(lake: _Lake) -> None:
-    """One lookup per film, `slices` at a time; the written lookups become a table."""
+    """The location of each film's poster. Outside lookups are written before they are used."""
     config = lake.config
-    if config.open_resolver is None:
-        return
     ids = lake.read("DimImdbId").select("film_id", "imdb_id")
-    found = enrich.resolve_posters(ids, config.open_resolver, config.slices)
-    written = enrich.write_slices(found, lake.path("stage/posters"))
-    located = written.select("film_id", "imdb_id", "url", "error")
+    if config.open_resolver is not None:
+        found = enrich.resolve_posters(ids, config.open_resolver, config.slices)
+        written = enrich.write_slices(found, lake.path("stage/posters"))
+        located = written.select("film_id", "imdb_id", "url", "error")
+    elif config.poster_table is not None:
+        located = enrich.lookup_posters(ids, lake.spark.read.parquet(config.poster_table))
+    else:
+        return
     lake.table(located, "DimPosters", per_film="film_id")
 
 

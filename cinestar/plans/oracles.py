@@ -80,7 +80,8 @@ _COMPANIES = f"""{_SUPPLIERS},
 company_rows AS (
   SELECT film_id, row_number() OVER (PARTITION BY film_id ORDER BY s_suppkey) - 1 AS position,
          CASE WHEN s_acctbal >= 0 THEN replace(s_name, '#', chr(160)) END AS company_name
-  FROM film_suppliers JOIN supplier USING (s_suppkey)
+  FROM film_suppliers JOIN (SELECT DISTINCT s_suppkey, s_name, s_acctbal FROM supplier) s
+  USING (s_suppkey)
 )"""
 
 _COUNTRIES = f"""{_SUPPLIERS},

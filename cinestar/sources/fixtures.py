@@ -142,7 +142,7 @@ def _with_companies(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataF
         _film_suppliers(spark, sf_dir)
         .withColumn("company", F.struct("s_suppkey", name.alias("name")))
         .groupBy("p_partkey")
-        .agg(F.sort_array(F.collect_list("company")).alias("companies"))
+        .agg(F.sort_array(F.collect_set("company")).alias("companies"))
     )
     printed = F.transform(
         "companies", lambda c: py_dict(id=py_number(c.s_suppkey), name=py_text(c["name"]))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
+from cinestar.__main__ import parse_config
 from cinestar.plans.daily import DailyConfig, run_daily
 from cinestar.plans.registry import QUERIES, open_template_resolver
 from cinestar.sources import fixtures as raw
@@ -106,3 +107,13 @@ def test_batch_builds_the_model_and_can_be_repeated(spark, config):
     assert model(spark) == first
     runs = spark.table("films_daily.FactRatings").groupBy("run_date").count()
     assert {tuple(r) for r in runs.collect()} == {("2024-01-01", ratings), ("2024-01-02", ratings)}
+
+
+def test_command_line_sets_the_number_of_slices():
+    arguments = "--movies-csv m --credits-csv c --keywords-csv k --ratings-csv r --lake l".split()
+    arguments += ["--run-date", "2024-01-01", "--slices", "10"]
+    arguments += ["--open-resolver", "cinestar.plans.registry:open_template_resolver"]
+    config = parse_config(arguments)
+    assert config.slices == 10 and config.movies_csv == "m" and config.database == "films"
+    assert config.open_resolver is open_template_resolver
+    assert parse_config(arguments[:-4]).slices == 5
