@@ -33,7 +33,12 @@ def parse_inferred(
 ) -> DataFrame:
     """Like `parse_column`, with the schema found in the data by one extra pass."""
     text = clean_literal(F.col(raw), policy)
-    return frame.withColumn(parsed, F.from_json(text, infer_schema(frame, text)))
+    schema = infer_schema(frame, text)
+    if isinstance(schema, T.StructType):
+        schema = T.ArrayType(schema)
+    if not isinstance(getattr(schema, "elementType", None), T.StructType):
+        raise ValueError(f"{raw} holds no collection of structs: {schema.simpleString()}")
+    return frame.withColumn(parsed, F.from_json(text, schema))
 
 
 def is_malformed(raw: str, parsed: str = "elements") -> Column:

@@ -139,6 +139,19 @@ word_rows AS (
 )"""
 
 
+def _cleaned_characters(filler: str) -> str:
+    """Characters after `: None` -> `: null` in texts too, and with the escaped quote replaced.
+
+    Only texts with both kinds of quotes are printed with an escape.
+    """
+    text = "replace(character, ': None', ': null')"
+    escaped = f"replace({text}, chr(39), '{filler}')"
+    return f"""WITH {_MEMBERS}
+SELECT id, cast_member_id, film_id,
+       CASE WHEN contains(character, '"') THEN {escaped} ELSE {text} END AS character
+FROM members"""
+
+
 def _scalar(attribute: str, value: str, source: str = "films", key: str = "id") -> str:
     name = f"'{attribute}'"
     return f"SELECT {_key('film_id', name)} AS {key}, film_id, {value} AS {attribute} FROM {source}"
@@ -207,6 +220,8 @@ SELECT {_key("film_id", "position", "keyword")} AS id, film_id, keyword FROM wor
     "dim_roles": f"WITH {_MEMBERS} SELECT id, cast_member_id, film_id, role FROM members",
     "dim_actors": f"""WITH {_MEMBERS}
 SELECT id, cast_member_id, film_id, role FROM members WHERE role = 'actor/actress'""",
+    "characters_strip": _cleaned_characters(""),
+    "characters_space": _cleaned_characters(" "),
     "json_quarantine": f"""WITH {_MEMBERS}
 SELECT film_id, count(*) AS cells,
        CAST(sum(CASE WHEN cell_members > 40 THEN 1 ELSE 0 END) AS BIGINT) AS malformed

@@ -56,6 +56,13 @@ def _scalar(attribute: str, movies: Callable[..., DataFrame] = _movies) -> Query
     return lambda spark, sf: films.scalar_dim(movies(spark, sf, *columns), attribute)
 
 
+def _characters(policy: str) -> Query:
+    """Characters as the two simpler cleaning policies leave them."""
+    return lambda spark, sf: cast.dim_characters(
+        cast.cast_members(raw.raw_credits(spark, sf), policy)
+    )
+
+
 def film_votes(spark: SparkSession, sf: str) -> DataFrame:
     return _votes(spark, sf)
 
@@ -257,6 +264,8 @@ QUERIES: dict[str, Query] = {
     "dim_characters": lambda s, d: cast.dim_characters(_members(s, d)),
     "dim_roles": lambda s, d: cast.dim_roles(_members(s, d)),
     "dim_actors": lambda s, d: cast.dim_actors(_members(s, d)),
+    "characters_strip": _characters("strip"),
+    "characters_space": _characters("space"),
     "json_infer": lambda s, d: films.dim_countries_inferred(
         _movies(s, d, "production_countries")
     ),

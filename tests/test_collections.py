@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from cinestar.functions.literals import clean_literal
@@ -80,3 +81,11 @@ def test_inferred_schema(spark):
     )
     parsed = parse_inferred(rows, "cell").select(F.explode("elements").alias("e"))
     assert [r[0] for r in parsed.select("e.iso").collect()] == ["a", "b", None]
+
+
+def test_inference_needs_a_collection(spark):
+    rows = spark.createDataFrame([("x",), (None,), ("[1, 2]",)], "cell string")
+    with pytest.raises(ValueError, match="no collection of structs"):
+        parse_inferred(rows, "cell")
+    objects = spark.createDataFrame([("{'a': 1}",)], "cell string")
+    assert parse_inferred(objects, "cell").first()["elements"][0]["a"] == 1

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from cinestar.__main__ import parse_config
 from cinestar.plans.daily import DailyConfig, run_daily
 from cinestar.plans.registry import QUERIES, open_template_resolver
+from cinestar.plans.star import star_films
 from cinestar.sources import fixtures as raw
 from cinestar.sources import schemas
 from cinestar.sources.csv import export_csv
@@ -109,6 +110,14 @@ def test_batch_builds_the_model_and_can_be_repeated(spark, config):
     assert {tuple(r) for r in runs.collect()} == {("2024-01-01", ratings), ("2024-01-02", ratings)}
 
 
+def test_bucketed_tables_join_without_shuffle(spark, config, no_broadcast):
+    per_film = {a: spark.table(f"films_daily.{t}") for a, (t, _, _) in schemas.SCALARS.items()}
+    facts = spark.table("films_daily.FactFilms").withColumnRenamed("id", "film_id")
+    wide = star_films(facts, per_film)
+    assert "Exchange" not in wide._jdf.queryExecution().executedPlan().toString()
+    assert wide.count() == facts.count()
+
+
 def test_command_line_sets_the_number_of_slices():
     arguments = "--movies-csv m --credits-csv c --keywords-csv k --ratings-csv r --lake l".split()
     arguments += ["--run-date", "2024-01-01", "--slices", "10"]

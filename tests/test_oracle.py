@@ -37,3 +37,26 @@ def test_entry(spark):
     frame = entry(spark)
     assert frame.columns == ["film_id", "title", "original_title", "vote_average", "vote_count"]
     assert frame.count() > 0
+
+
+# Query -> columns that identify its rows.
+KEYS = {
+    "dim_countries": ["country_id"],
+    "dim_companies": ["company_id"],
+    "dim_languages": ["id"],
+    "film_keywords": ["id"],
+    "dim_cast": ["id"],
+    "dim_homepages": ["homepage_id"],
+    "dim_revenue": ["id"],
+    "dim_vote_count": ["id"],
+    "ratings_mean": ["id"],
+    "dense_keys": ["id"],
+    "fact_films": ["id"],
+    "genre_scores": ["film_id", "rank"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(KEYS))
+def test_keys_are_unique(spark, name):
+    rows = queries()[name](spark, SF_DIR).select(*KEYS[name])
+    assert rows.count() == rows.distinct().count() > 0
