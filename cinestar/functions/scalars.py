@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The two roles, and the mark of a voice role in a character.
 VOICE = "voice"
 PLAYER = "actor/actress"
+_VOICE_MARK = "(voice)"
 
 
 def role_of(character: Column) -> Column:
     """`voice` when the character says so (case-sensitive), else `actor/actress`, also for NULL."""
-    return F.when(character.contains("(voice)"), VOICE).otherwise(PLAYER)
+    return F.when(character.contains(_VOICE_MARK), VOICE).otherwise(PLAYER)
 
 
 def bare_imdb_id(imdb_id: Column) -> Column:

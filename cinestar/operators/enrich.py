@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cinestar.functions.scalars import bare_imdb_id, slice_of
 
+# Fixed value: lookups in parallel unless configured otherwise.
 DEFAULT_SLICES = 5
 
 # A resolver turns a bare outside id into a poster location.

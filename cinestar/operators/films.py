@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cinestar.functions.keys import hash_key
-from cinestar.operators.collections import film_elements, film_id, parse_inferred, explode_elements
+from cinestar.operators.collections import explode_elements, film_elements, film_id, parse_inferred
 from cinestar.sources import schemas
 
 # Outside ids of broken metadata rows.
@@ -23,7 +23,7 @@ def accept_films(movies: DataFrame, denied: Sequence[str] = DENIED_IMDB_IDS) ->
 def accept_films_by_table(movies: DataFrame, denied: DataFrame) -> DataFrame:
     """The same rule for a list of any length, given as a table with an `imdb_id` column."""
     known = movies.where(F.col("imdb_id").isNotNull())
-    return known.join(denied.select("imdb_id"), "imdb_id", "left_anti")
+    return known.join(denied.select("imdb_id").distinct(), "imdb_id", "left_anti")
 
 
 def split_numbered(movies: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -59,7 +59,7 @@ def scalar_dim(movies: DataFrame, attribute: str) -> DataFrame:
     )
 
 
-def _element_key(name: str) -> F.Column:
+def _element_key(name: str) -> Column:
     return hash_key("film_id", "position", f"element.{name}")
 
 

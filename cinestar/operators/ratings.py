@@ -51,10 +51,12 @@ def ratings_mean(totals: DataFrame) -> DataFrame:
 def remap_totals(totals: DataFrame, links: DataFrame) -> DataFrame:
     """Totals by the catalogue's film ids, where the ratings use an id space of their own.
 
-    `links` has `rating_id` and `film_id`. Mapping the totals instead of the
-    ratings joins one row per film. Several rating ids may lead to one film.
+    `links` pairs `rating_id` and `film_id`; copies of a pair count once. Mapping
+    the totals instead of the ratings joins one row per rated id. Several of
+    them may lead to one film.
     """
-    mapped = totals.withColumnRenamed("film_id", "rating_id").join(links, "rating_id")
+    pairs = links.select("rating_id", "film_id").distinct()
+    mapped = totals.withColumnRenamed("film_id", "rating_id").join(pairs, "rating_id")
     return (
         mapped.groupBy("film_id")
         .agg(

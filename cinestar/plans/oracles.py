@@ -184,7 +184,7 @@ GROUP BY film_id""",
     "ratings_remapped": f"""WITH {_RATINGS}
 SELECT CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT) AS film_id,
        count(*) AS freq, avg(rating) AS rating
-FROM ratings JOIN part ON p_partkey = film_id GROUP BY 1""",
+FROM ratings JOIN (SELECT DISTINCT p_partkey, p_brand FROM part) ON p_partkey = film_id GROUP BY 1""",
     "fact_ratings": f"WITH {_RATINGS} SELECT film_id, rating FROM ratings",
     "fact_films": f"WITH {_FACTS} SELECT film_id AS id, title, original_title FROM facts",
     "films_denylist": f"WITH {_FILMS} SELECT film_id, imdb_id, p_name AS title FROM films",

@@ -86,7 +86,7 @@ def ratings_remapped(spark: SparkSession, sf: str) -> DataFrame:
 def films_deny_table(spark: SparkSession, sf: str) -> DataFrame:
     """The deny-list as a table: the films that were ordered in bulk."""
     bulk = raw.table(spark, sf, "lineitem").where("l_quantity = 50").select("l_partkey")
-    denied = bulk.distinct().select(
+    denied = bulk.select(
         F.concat(F.lit("tt"), raw.outside_id(F.col("l_partkey"))).alias("imdb_id")
     )
     accepted = films.accept_films_by_table(raw.raw_movies(spark, sf, "title"), denied)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-# Element structs of the collection columns, as DDL.
+# Element structs of the collection columns in the exports, as DDL.
 ID_NAME = "id int, name string"
 COUNTRY = "iso_3166_1 string, name string"
 LANGUAGE = "iso_639_1 string, name string"
@@ -24,7 +24,7 @@ FILM_COLLECTIONS = {
 NAMED = "name string"
 CREDITED = "character string, credit_id string, gender int, id int, name string"
 
-# Columns each stage needs; raw files may hold more.
+# Columns each stage needs; raw files may hold more.
 MOVIES = (
     "id",
     "imdb_id",

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from pyspark.sql import functions as F
 
 from cinestar.operators import posters
@@ -34,6 +36,14 @@ def test_training_and_ranked_scores(spark):
     model = posters.train_genres(train.unionByName(examples.limit(1).withColumn("genre", F.lit(None))))
     scores = posters.score_genres(model, examples)
 
+    # Against the same formula by hand, from the model's coefficients.
+    logistic = model.stages[-1]
+    weights, bias = logistic.coefficientMatrix.toArray(), logistic.interceptVector.toArray()
+    for row in scores.where("film_id < 10").collect():
+        odds = np.exp(weights @ np.array(rows[row["film_id"]][1], dtype="float32") + bias)
+        by_hand = dict(zip(model.stages[0].labels, odds / odds.sum(), strict=True))
+        assert abs(row["probability"] - by_hand[row["genre"]]) < 1e-9
+
     per_film = scores.groupBy("film_id").agg(
         F.sum("probability").alias("total"),
         F.sort_array(F.collect_list("rank")).alias("ranks"),
