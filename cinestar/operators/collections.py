@@ -24,10 +24,44 @@ def parse_column(
     parsed: str = "elements",
     policy: str = "exact",
 ) -> DataFrame:
-    """Add the collection in cell `raw` as an array of structs."""
+    """Add the collection in cell `raw` as an array of structs.
+
+    In a frame from `parse_collections` the cell is that array already.
+    """
+    if isinstance(frame.schema[raw].dataType, T.ArrayType):
+        return frame.withColumn(parsed, F.col(raw))
     return frame.withColumn(parsed, parse_literal(F.col(raw), element, policy))
 
 
+def parse_collections(
+    frame: DataFrame, elements: Mapping[str, str], policy: str = "exact"
+) -> DataFrame:
+    """Replace raw cells by their collections, parsing each cell once.
+
+    What did not parse is kept in `malformed`, as an array of (column, raw).
+    """
+    parsed = frame.withColumns(
+        {f"_{name}": parse_literal(F.col(name), e, policy) for name, e in elements.items()}
+    )
+    malformed = [
+        F.when(
+            is_malformed(name, f"_{name}"),
+            F.struct(F.lit(name).alias("column"), F.col(name).alias("raw")),
+        )
+        for name in elements
+    ]
+    return parsed.select(
+        *[name for name in frame.columns if name not in elements],
+        *[F.col(f"_{name}").alias(name) for name in elements],
+        F.array_compact(F.array(*malformed)).alias("malformed"),
+    )
+
+
+def quarantine_cells(parsed: DataFrame) -> DataFrame:
+    """The malformed cells of a frame from `parse_collections`: id, column, raw."""
+    return parsed.select("id", F.explode("malformed").alias("cell")).select("id", "cell.*")
+
+
 def parse_inferred(
     frame: DataFrame, raw: str, parsed: str = "elements", policy: str = "exact"
 ) -> DataFrame:
@@ -54,24 +88,6 @@ def split_quarantine(
     return frame.where(~malformed), frame.where(malformed).drop(parsed)
 
 
-def quarantine_cells(
-    frame: DataFrame, elements: Mapping[str, str], policy: str = "exact"
-) -> DataFrame:
-    """The malformed cells of several columns in one pass: id, column, raw."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("column"),
-                F.col(name).alias("raw"),
-                parse_literal(F.col(name), element, policy).isNull().alias("unparsed"),
-            )
-            for name, element in elements.items()
-        ]
-    )
-    rows = frame.select("id", F.explode_outer(cells).alias("cell")).select("id", "cell.*")
-    return rows.where(F.col("unparsed") & F.col("raw").isNotNull()).drop("unparsed")
-
-
 def explode_elements(
     frame: DataFrame, keep: Sequence[str | Column], parsed: str = "elements"
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cinestar.operators import cast, enrich, films, posters, ratings
-from cinestar.operators.collections import quarantine_cells
+from cinestar.operators.collections import parse_collections, quarantine_cells
 from cinestar.sources import schemas
 from cinestar.sources.csv import read_csv
 from cinestar.sources.tables import (
@@ -70,47 +70,48 @@ class _Lake:
 
 
 def run_credits(lake: _Lake) -> None:
-    """Credits are parsed once; the cast tables are projections of the staged members."""
+    """Credits are parsed once; the cast tables are projections of the staged cells."""
     config = lake.config
     credits = read_csv(lake.spark, config.credits_csv, require=schemas.CREDITS)
+    credits = parse_collections(credits, {"cast": schemas.CREDITED}, config.policy)
     credits = lake.stage(credits, "stage/credits")
-    members = lake.stage(cast.cast_members(credits, config.policy), "stage/cast_members")
+    members = cast.cast_members(credits)
     lake.table(cast.dim_cast(members), "DimCast")
     lake.table(cast.dim_characters(members), "DimCharacters")
     lake.table(cast.dim_roles(members), "DimRoles")
     lake.table(cast.dim_actors(members), "DimActors")
-    malformed = quarantine_cells(credits, {"cast": schemas.CAST_MEMBER}, config.policy)
-    lake.stage(malformed, "quarantine/credits")
+    lake.stage(quarantine_cells(credits), "quarantine/credits")
 
 
 def run_movies(lake: _Lake) -> None:
-    """Metadata is read once, cleared of denied rows and copies, and staged."""
+    """Metadata is read once, cleared of denied rows and copies, parsed and staged."""
     config = lake.config
     movies = read_csv(lake.spark, config.movies_csv, multiline=True, require=schemas.MOVIES)
     accepted = lake.stage(films.accept_films(movies, config.denied), "stage/accepted")
     numbered, broken = films.split_numbered(accepted)
     lake.stage(broken, "quarantine/film_id")
-    movies = lake.stage(films.one_per_film(numbered), "stage/movies")
+    unique = films.one_per_film(numbered)
+    movies = parse_collections(unique, schemas.FILM_COLLECTIONS, config.policy)
+    movies = lake.stage(movies, "stage/movies")
 
     lake.table(movies.select("id", "title", "original_title"), "FactFilms", per_film="id")
-    lake.table(films.dim_countries(movies, config.policy), "DimCountries")
-    lake.table(films.dim_genres(movies, config.policy), "DimGenres")
-    lake.table(films.dim_companies(movies, config.policy), "DimProductionCompanies")
-    lake.table(films.dim_languages(movies, config.policy), "DimSpokenLanguages")
+    lake.table(films.dim_countries(movies), "DimCountries")
+    lake.table(films.dim_genres(movies), "DimGenres")
+    lake.table(films.dim_companies(movies), "DimProductionCompanies")
+    lake.table(films.dim_languages(movies), "DimSpokenLanguages")
     for attribute, (name, _, _) in schemas.SCALARS.items():
         lake.table(films.scalar_dim(movies, attribute), name, per_film="film_id")
-    malformed = quarantine_cells(movies, schemas.FILM_COLLECTIONS, config.policy)
-    lake.stage(malformed, "quarantine/movies")
+    lake.stage(quarantine_cells(movies), "quarantine/movies")
 
 
 def run_keywords(lake: _Lake) -> None:
-    """One pass over the keywords, which are staged like the other exports."""
+    """Keywords, parsed and staged like the other exports."""
     config = lake.config
     keywords = read_csv(lake.spark, config.keywords_csv, require=schemas.KEYWORDS)
+    keywords = parse_collections(keywords, {"keywords": schemas.NAMED}, config.policy)
     keywords = lake.stage(keywords, "stage/keywords")
-    lake.table(films.film_keywords(keywords, config.policy), "DimKeywords")
-    malformed = quarantine_cells(keywords, {"keywords": schemas.ID_NAME}, config.policy)
-    lake.stage(malformed, "quarantine/keywords")
+    lake.table(films.film_keywords(keywords), "DimKeywords")
+    lake.stage(quarantine_cells(keywords), "quarantine/keywords")
 
 
 def run_ratings(lake: _Lake) -> None:

@@ -4,26 +4,23 @@ from __future__ import annotations
 
 # Element structs of the collection columns in the exports, as DDL.
 ID_NAME = "id int, name string"
-COUNTRY = "iso_3166_1 string, name string"
-LANGUAGE = "iso_639_1 string, name string"
 CAST_MEMBER = (
     "cast_id int, character string, credit_id string, gender int, "
     "id int, name string, `order` int, profile_path string"
 )
 
+# The parts of the elements that the tables use; the parser skips the rest.
+NAMED = "name string"
+CREDITED = "character string, credit_id string, gender int, id int, name string"
 
-# Collection columns of the metadata export.
+# Collection columns of the metadata export, and what the batch keeps of them.
 FILM_COLLECTIONS = {
     "genres": ID_NAME,
-    "production_companies": ID_NAME,
-    "production_countries": COUNTRY,
-    "spoken_languages": LANGUAGE,
+    "production_companies": NAMED,
+    "production_countries": NAMED,
+    "spoken_languages": NAMED,
 }
 
-# The parts of the elements that the tables use; the parser skips the rest.
-NAMED = "name string"
-CREDITED = "character string, credit_id string, gender int, id int, name string"
-
 # Columns each stage needs; raw files may hold more.
 MOVIES = (
     "id",

@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from cinestar.functions.literals import clean_literal
 from cinestar.operators.collections import (
     explode_elements,
+    film_elements,
+    parse_collections,
     parse_column,
     parse_inferred,
     quarantine_cells,
@@ -42,8 +44,14 @@ def test_quarantine_of_several_columns(spark):
     rows = spark.createDataFrame(
         [("1", "[]", "oops"), ("2", "[", None), ("3", None, "[{'id': 1}]")], "id string, a string, b string"
     )
-    found = quarantine_cells(rows, {"a": schemas.ID_NAME, "b": schemas.ID_NAME})
+    parsed = parse_collections(rows, {"a": schemas.ID_NAME, "b": schemas.ID_NAME})
+    found = quarantine_cells(parsed)
     assert {tuple(r) for r in found.collect()} == {("1", "b", "oops"), ("2", "a", "[")}
+    assert [r["b"] for r in parsed.orderBy("id").collect()] == [None, None, [(1, None)]]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 2
+    again = film_elements(parsed, "b", schemas.NAMED).collect()
+    assert [(r["film_id"], r["position"], r["element"]["id"]) for r in again] == [(3, 0, 1)]
 
 
 def test_explode_gives_one_row_per_element(spark):

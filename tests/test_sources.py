@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from cinestar.operators import cast, films
 from cinestar.session import scratch_path, shared_dir
 from cinestar.sources import csv, tables
 
@@ -84,3 +85,44 @@ def test_overwrite_parquet_twice(spark, tmp_path):
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+CREDITS = """cast,crew,id
+"[{'cast_id': 14, 'character': 'Woody (voice)', 'credit_id': '52fe', 'gender': 2, 'id': 31, \
+'name': 'Tom', 'order': 0, 'profile_path': None}, {'cast_id': 15, 'character': ""Buzz's None"", \
+'credit_id': '52ff', 'gender': 2, 'id': 12898, 'name': 'Tim \\'T\\'', 'order': 1, \
+'profile_path': '/x.jpg'}]",[],862
+[],[],8844
+"[{'cast_id': 1, 'character': 'cut",[],15602
+""".replace("\\\n", "")
+
+MOVIES = """adult,genres,id,imdb_id,overview,title
+False,"[{'id': 16, 'name': 'Animation'}, {'id': 35, 'name': None}]",862,tt0114709,"Led by ""Woody"",
+Andy's toys",Toy Story
+False,[],1997-08-20,tt1,shifted,
+False,"[{'id': 18, 'name': 'Drama'}]",2,,no outside id,X
+False,"[{'id': 18, 'name': 'Drama'}]",3,0,denied,Y
+"""
+
+
+def test_exports_as_they_are_written(spark, tmp_path):
+    """Doubled quotes around a cell with both kinds of quotes, line breaks, broken rows."""
+    credits = csv.read_csv(spark, write(tmp_path, CREDITS), require=("id", "cast"))
+    members = cast.dim_characters(cast.cast_members(credits)).orderBy("cast_member_id")
+    assert [tuple(r)[1:] for r in members.collect()] == [
+        (31, 862, "Woody (voice)"),
+        (12898, 862, "Buzz's None"),
+    ]
+    names = cast.dim_cast(cast.cast_members(credits)).where("cast_member_id = 12898")
+    assert names.first()["name"] == "Tim 'T'"
+
+    path = write(tmp_path, MOVIES)
+    columns = ("id", "imdb_id", "genres", "overview", "title")
+    movies = films.accept_films(csv.read_csv(spark, path, multiline=True, require=columns))
+    numbered, broken = films.split_numbered(movies)
+    assert [r["id"] for r in broken.collect()] == ["1997-08-20"]
+    assert [(r["id"], r["overview"]) for r in numbered.collect()] == [
+        ("862", 'Led by "Woody",\nAndy\'s toys')
+    ]
+    genres = films.dim_genres(numbered).orderBy("id").collect()
+    assert [tuple(r) for r in genres] == [(16, 862, "Animation"), (35, 862, None)]
