@@ -261,8 +261,7 @@ LEFT JOIN sales s ON s.film_id = v.film_id""",
     "star_by_language": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_LANGUAGES.format(source='facts')} {_rollup('language_rows', 'languages')}",
     "poster_locations": f"WITH {_UNIQUE} SELECT film_id, imdb_id, url FROM {_LOCATED}",
     "poster_slices_union": f"""WITH {_UNIQUE}
-SELECT film_id, imdb_id, 'https://posters.example.org/' || substr(imdb_id, 3) || '.jpg' AS url,
-       CAST(NULL AS VARCHAR) AS error
+SELECT film_id, imdb_id, 'https://posters.example.org/' || substr(imdb_id, 3) || '.jpg' AS url
 FROM unique_films""",
     "film_posters": f"""WITH {_FACTS},
 posters AS (SELECT page_id, min(url) AS url FROM pages GROUP BY page_id)

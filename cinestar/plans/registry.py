@@ -214,7 +214,7 @@ def poster_slices_union(spark: SparkSession, sf: str) -> DataFrame:
     """Every film resolved in five parallel slices, written once and read as one table."""
     found = enrich.resolve_posters(_film_ids(spark, sf), open_template_resolver)
     written = enrich.write_slices(found, scratch_path(spark, "posters"))
-    return written.select("film_id", "imdb_id", "url", "error")
+    return written.select("film_id", "imdb_id", "url")
 
 
 def film_posters(spark: SparkSession, sf: str) -> DataFrame:
