@@ -67,9 +67,8 @@ def parse_inferred(
 ) -> DataFrame:
     """Like `parse_column`, with the schema found in the data by one extra pass."""
     text = clean_literal(F.col(raw), policy)
-    schema = infer_schema(frame, text)
-    if isinstance(schema, T.StructType):
-        schema = T.ArrayType(schema)
+    # A bare object parses as a list of one, so it counts as one here.
+    schema = infer_schema(frame, F.regexp_replace(text, r"(?s)^\s*(\{.*)$", "[$1]"))
     if not isinstance(getattr(schema, "elementType", None), T.StructType):
         raise ValueError(f"{raw} holds no collection of structs: {schema.simpleString()}")
     return frame.withColumn(parsed, F.from_json(text, schema))

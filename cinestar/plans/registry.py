@@ -63,10 +63,6 @@ def _characters(policy: str) -> Query:
     )
 
 
-def film_votes(spark: SparkSession, sf: str) -> DataFrame:
-    return _votes(spark, sf)
-
-
 def ratings_filtered(spark: SparkSession, sf: str) -> DataFrame:
     liked = ratings.above(raw.raw_ratings(spark, sf), "rating", 2.5)
     totals = ratings.film_totals(ratings.fact_ratings(liked))
@@ -236,7 +232,7 @@ def genre_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
-    "film_votes": film_votes,
+    "film_votes": _votes,
     "ratings_count": lambda s, d: ratings.ratings_count(_totals(s, d)),
     "ratings_mean": lambda s, d: ratings.ratings_mean(_totals(s, d)),
     "ratings_filtered": ratings_filtered,

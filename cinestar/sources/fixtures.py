@@ -243,10 +243,12 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("buyer"),
         )
     )
+    # Both sides grow with the data. Their compressed size says little about the
+    # rows, so the join is told not to broadcast either of them.
     cells = (
         table(spark, sf_dir, "lineitem")
         .select("l_orderkey", "l_partkey")
-        .join(buyers, "l_orderkey")
+        .join(buyers.hint("merge"), "l_orderkey")
         .groupBy("l_partkey", F.expr(f"buyer.id div {CAST_BLOCK}").alias("block"))
         .agg(F.sort_array(F.collect_set("buyer")).alias("members"))
     )

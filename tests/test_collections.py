@@ -95,5 +95,6 @@ def test_inference_needs_a_collection(spark):
     rows = spark.createDataFrame([("x",), (None,), ("[1, 2]",)], "cell string")
     with pytest.raises(ValueError, match="no collection of structs"):
         parse_inferred(rows, "cell")
-    objects = spark.createDataFrame([("{'a': 1}",)], "cell string")
-    assert parse_inferred(objects, "cell").first()["elements"][0]["a"] == 1
+    mixed = spark.createDataFrame([("{'a': 1}",), ("[{'a': 2}, {'b': 'x'}]",)], "cell string")
+    found = [[tuple(e) for e in r["elements"]] for r in parse_inferred(mixed, "cell").collect()]
+    assert sorted(found) == [[(1, None)], [(2, None), (None, "x")]]
