@@ -23,6 +23,7 @@ TYPES = {
     "bigint": "BIGINT",
     "int": "INTEGER",
     "double": "DOUBLE",
+    "boolean": "BOOLEAN",
     "date": "DATE",
     "decimal(18,2)": "DECIMAL(18,2)",
     "decimal(28,2)": "DECIMAL(28,2)",
