@@ -5,7 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cinestar.llm import line_dedup, quality, url_filter
+from cinestar.llm import (
+    decontaminate,
+    line_dedup,
+    minhash,
+    packing,
+    quality,
+    token_count,
+    url_filter,
+)
 from cinestar.llm.frames import table
 
 # The URL rules and what they say.
@@ -22,6 +30,35 @@ def op1_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return line_dedup.drop_boilerplate(table(spark, sf, "documents"))
 
 
+def op2_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every piece of every document, with its place in the packed sequences."""
+    return packing.placed_pieces(packing.pack(table(spark, sf, "documents")))
+
+
+def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    """Near-duplicate documents on shingles of two words."""
+    settings = minhash.NearDuplicates(width=2)
+    return minhash.near_duplicates(table(spark, sf, "documents"), settings)
+
+
+def op5_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document with the benchmark items it leaks; kept if there are none."""
+    found = decontaminate.find_leaks(
+        table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        F.sort_array(F.col("leaks.item_id")).alias("item_ids"),
+        F.array_max(F.col("leaks.coverage")).alias("coverage"),
+        (F.size("leaks") == 0).alias("kept"),
+    )
+
+
+def op7_token_count(spark: SparkSession, sf: str) -> DataFrame:
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return token_count.count_tokens(documents).drop("text")
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "lang", "text")
     judged = quality.judge(documents, keep_text=False)
@@ -48,6 +85,10 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_packing": op2_packing,
+    "op3_minhash": op3_minhash,
+    "op5_decontaminate": op5_decontaminate,
+    "op7_token_count": op7_token_count,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }
