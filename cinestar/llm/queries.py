@@ -12,6 +12,7 @@ from cinestar.llm import (
     line_dedup,
     minhash,
     packing,
+    ppm,
     quality,
     token_count,
     url_filter,
@@ -82,6 +83,11 @@ def op7_token_count(spark: SparkSession, sf: str) -> DataFrame:
     return token_count.count_tokens(documents).drop("text")
 
 
+def op8_ppm(spark: SparkSession, sf: str) -> DataFrame:
+    """Model and base scores of every document."""
+    return ppm.score_documents(table(spark, sf, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf: str) -> DataFrame:
     documents = table(spark, sf, "documents").select("doc_id", "lang", "text")
     judged = quality.judge(documents, keep_text=False)
@@ -114,6 +120,7 @@ QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_html": op6_html,
     "op7_token_count": op7_token_count,
+    "op8_ppm": op8_ppm,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
 }
