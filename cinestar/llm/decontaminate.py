@@ -192,7 +192,7 @@ class QueryBlock:
     def _item(self, k: int, here, there, hashes, value) -> Iterator[dict]:
         if len(np.unique(hashes)) < self.settings.min_coverage * self.sizes[k]:
             return
-        held, exact = [], True
+        held, exact = [], []
         diagonal = here - there
         for d in np.unique(diagonal):
             own = diagonal == d
@@ -201,10 +201,14 @@ class QueryBlock:
             pairs = {(int(a), int(b)) for a, b in zip(self.values[k][slots], value[slots + d], strict=True)}
             if len({a for a, _ in pairs}) == len(pairs):
                 held.append(hashes[own])
-                exact &= all(a == b for a, b in pairs)
-        coverage = len(np.unique(np.concatenate(held))) / self.sizes[k] if held else 0.0
-        if coverage >= self.settings.min_coverage:
-            yield {"item_id": self.ids[k], "coverage": coverage, "verbatim": exact}
+                if all(a == b for a, b in pairs):
+                    exact.append(hashes[own])
+        coverage, verbatim = (
+            len(np.unique(np.concatenate(x))) / self.sizes[k] if x else 0.0 for x in (held, exact)
+        )
+        least = self.settings.min_coverage
+        if coverage >= least:
+            yield {"item_id": self.ids[k], "coverage": coverage, "verbatim": verbatim >= least}
 
 
 def query_blocks(
