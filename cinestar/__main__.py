@@ -16,7 +16,10 @@ def parse_config(arguments: list[str] | None = None) -> DailyConfig:
         parser.add_argument(f"--{name}", required=True)
     parser.add_argument("--database", default="films")
     parser.add_argument("--policy", default="exact", help="how collection cells are cleaned")
-    parser.add_argument("--buckets", type=int, default=8)
+    parser.add_argument("--buckets", type=int, help="default: spark.sql.shuffle.partitions")
+    parser.add_argument("--companies-csv", help="companies as an export of their own")
+    parser.add_argument("--links-csv", help="pairs of rating id and film id")
+    parser.add_argument("--multiline", action="store_true", help="line breaks in keywords, ratings")
     parser.add_argument("--slices", type=int, default=5, help="parallel poster lookups")
     parser.add_argument("--open-resolver", help="module:function that opens a poster resolver")
     parser.add_argument("--poster-table", help="Parquet table of poster locations")

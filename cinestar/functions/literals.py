@@ -4,8 +4,8 @@ The raw exports hold collections the way Python prints a list of dicts: single
 quotes, `None`, `\\'` and `\\xNN` escapes. Spark's JSON parser already accepts
 single quotes and `\\'`; what remains is turned into JSON by one of the policies:
 
-exact   rewrite `None`, `True`, `False` and `\\xNN`, only outside of strings (the
-        words) or only as real escapes (`\\xNN`); no text is altered
+exact   rewrite `None`, `True`, `False`, `\\xNN` and `\\UNNNNNNNN`, only outside of strings
+        (the words) or only as real escapes; no text is altered
 strip   `: None` -> `: null`, then drop `\\'` and every other backslash
 space   like strip, but each dropped piece becomes a blank
 none    parse as it is
@@ -57,7 +57,24 @@ def _apply_rule(text: Column, mark: str, pattern: str, replacement: str) -> Colu
     )[0]
 
 
+def _wide_escapes(text: Column) -> Column:
+    """`\\UNNNNNNNN` as the character itself, where it is an escape and names one.
+
+    JSON has no such escape. Each distinct one of a cell is replaced on its own.
+    """
+
+    def put(result: Column, code: Column) -> Column:
+        character = F.decode(F.unhex(code), "UTF-32")
+        pattern = F.concat(F.lit(r"(?<!\\)((?:\\\\)*+)\\U"), code)
+        return F.regexp_replace(result, pattern, F.concat(F.lit("$1"), character))
+
+    codes = F.regexp_extract_all(text, F.lit(r"\\U(00(?:0[0-9a-fA-F]|10)[0-9a-fA-F]{4})"), F.lit(1))
+    replaced = F.aggregate(F.array_distinct(codes), text, put)
+    return F.when(text.contains("\\U"), replaced).otherwise(text)
+
+
 def _exact(text: Column) -> Column:
+    text = F.transform(F.array(text), _wide_escapes)[0]
     for rule in _RULES:
         text = _apply_rule(text, *rule)
     return text

@@ -30,7 +30,7 @@ def resolve_posters(
     """
 
     def lookup(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        resolver = open_resolver()
+        resolver: Resolver | None = None
 
         def one(bare: str | None) -> tuple[str | None, str | None]:
             if bare is None:
@@ -41,6 +41,8 @@ def resolve_posters(
                 return None, f"{type(error).__name__}: {error}"
 
         for batch in batches:
+            if resolver is None and batch.num_rows:  # a slice without films opens none
+                resolver = open_resolver()
             found = [one(bare) for bare in batch.column("bare").to_pylist()]
             columns = {name: batch.column(name) for name in ("film_id", "imdb_id", "slice")}
             columns["url"] = pa.array([url for url, _ in found], pa.string())

@@ -32,21 +32,45 @@ def split_numbered(movies: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def one_per_film(movies: DataFrame) -> DataFrame:
-    """One row per numbered film: the smallest of its copies, the same in every run.
+    """One row per numbered film: of its copies the one with the fewest NULLs, then the smallest.
 
+    Whole rows are compared, so give every column that any table is made of and
+    project afterwards: a film is then one of its copies and never a mixture.
     Copies are combined before the shuffle, so an id with very many of them
     costs one row per task. The result is partitioned and sorted by its typed
     id, which a join on the film then uses as it is.
     """
     others = [name for name in movies.columns if name != "id"]
     numbered, _ = split_numbered(movies)
-    unique = numbered.groupBy(film_id().alias("id")).agg(F.min(F.struct(*others)).alias("row"))
-    return unique.select("id", "row.*")
+    nulls = sum((F.col(name).isNull().cast("int") for name in others), F.lit(0))
+    unique = numbered.groupBy(film_id().alias("id")).agg(
+        F.min(F.struct(nulls.alias("_nulls"), *others)).alias("row")
+    )
+    return unique.select("id", *[F.col("row")[name].alias(name) for name in others])
+
+
+def of_films(rows: DataFrame, films: DataFrame) -> DataFrame:
+    """The rows of another export whose film is among `films`, with the film id typed."""
+    return rows.withColumn("id", film_id()).join(films.select("id"), "id", "semi")
 
 
 def fact_films(movies: DataFrame) -> DataFrame:
     """FactFilms: one row per film."""
-    return one_per_film(movies.select("id", "title", "original_title"))
+    return one_per_film(movies).select("id", "title", "original_title")
+
+
+def scalar_quarantine(movies: DataFrame) -> DataFrame:
+    """The scalar values that are not of their column's type: film id, column, raw text."""
+    cells = [
+        F.when(
+            F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull(),
+            F.struct(F.lit(name).alias("column"), F.col(name).alias("raw")),
+        )
+        for name, (_, _, kind) in schemas.SCALARS.items()
+        if name in movies.columns and kind != "string"
+    ]
+    cell = F.explode(F.array_compact(F.array(*cells))).alias("cell")
+    return movies.select(film_id().alias("film_id"), cell).select("film_id", "cell.*")
 
 
 def scalar_dim(movies: DataFrame, attribute: str) -> DataFrame:
@@ -83,10 +107,14 @@ def dim_genres(movies: DataFrame, policy: str = "exact") -> DataFrame:
 
 
 def dim_companies(movies: DataFrame, policy: str = "exact") -> DataFrame:
-    """DimProductionCompanies by name; a company without a name keeps its row."""
-    rows = film_elements(movies, "production_companies", schemas.NAMED, policy)
+    """DimProductionCompanies by name; a company without a name keeps its row.
+
+    A film may have its companies spread over several rows; the company's own
+    id keeps the keys of their elements apart.
+    """
+    rows = film_elements(movies, "production_companies", schemas.ID_NAME, policy)
     return rows.select(
-        _element_key("name").alias("company_id"),
+        hash_key("film_id", "element.id", "position", "element.name").alias("company_id"),
         "film_id",
         F.col("element.name").alias("company_name"),
     )
@@ -104,8 +132,9 @@ def dim_languages(movies: DataFrame, policy: str = "exact") -> DataFrame:
 
 
 def film_keywords(keywords: DataFrame, policy: str = "exact") -> DataFrame:
-    """One row per film and keyword."""
+    """One row per film, position and keyword, however often the export repeats it."""
     rows = film_elements(keywords, "keywords", schemas.NAMED, policy)
+    rows = rows.select("film_id", "position", "element.name").distinct()
     return rows.select(
-        _element_key("name").alias("id"), "film_id", F.col("element.name").alias("keyword")
+        hash_key("film_id", "position", "name").alias("id"), "film_id", F.col("name").alias("keyword")
     )

@@ -16,6 +16,13 @@ def fact_ratings(ratings: DataFrame) -> DataFrame:
     )
 
 
+def split_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of a film with a number or no rating, rows whose film or rating is no number)."""
+    typed = F.col("rating").try_cast("double").isNotNull() | F.col("rating").isNull()
+    good = film_id("movieId").isNotNull() & typed
+    return ratings.where(good), ratings.where(~good)
+
+
 def above(frame: DataFrame, column: str, bound: float) -> DataFrame:
     """Rows whose text column is a number above the bound; other text is not."""
     kind = "bigint" if isinstance(bound, int) else "double"
@@ -68,6 +75,12 @@ def remap_totals(totals: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
+def unlinked_totals(totals: DataFrame, links: DataFrame) -> DataFrame:
+    """The totals of rated ids that no link leads from."""
+    pairs = links.select(F.col("rating_id").alias("film_id")).distinct()
+    return totals.join(pairs, "film_id", "anti").withColumnRenamed("film_id", "rating_id")
+
+
 def mean_of(total: str, count: str) -> Column:
     """Mean from a sum and a count; NULL for no rows."""
     return F.try_divide(F.col(total), F.col(count))

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,8 +38,16 @@ class DailyConfig:
     database: str = "films"
     denied: Sequence[str] = films.DENIED_IMDB_IDS
     policy: str = "exact"
-    # Buckets of the tables that have one row per film; equal counts join without a shuffle.
-    buckets: int = 8
+    # Companies as an export of their own, with any number of rows per film; else
+    # they are read from the metadata.
+    companies_csv: str | None = None
+    # Pairs of rating id and film id, where the ratings have an id space of their own.
+    links_csv: str | None = None
+    # Keywords and ratings may hold line breaks inside quoted values. Such files cannot be split.
+    multiline: bool = False
+    # Buckets of the tables that have one row per film; equal counts join without
+    # a shuffle. By default as many as a shuffle has partitions.
+    buckets: int | None = None
     # Poster locations: a resolver, asked for `slices` films at a time, or else
     # a Parquet table (bare outside id in `bare`, location in `url`).
     open_resolver: Callable[[], enrich.Resolver] | None = None
@@ -63,7 +72,15 @@ class _Lake:
     def table(self, frame: DataFrame, name: str, per_film: str | None = None) -> DataFrame:
         """Save a table of the model; `per_film` names the id of a table with one row per film."""
         full_name, path = f"{self.config.database}.{name}", self.path(f"model/{name}")
-        return save_table(frame, full_name, path, per_film, self.config.buckets)
+        buckets = self.config.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return save_table(frame, full_name, path, per_film, buckets)
+
+    def numbered(self, frame: DataFrame, name: str) -> DataFrame:
+        """The distinct rows whose id is a number; the others go to a quarantine of that name."""
+        staged = self.stage(frame.distinct(), f"stage/{name}_rows")
+        good, broken = films.split_numbered(staged)
+        self.stage(broken, f"quarantine/{name}_id")
+        return good
 
     def read(self, name: str) -> DataFrame:
         return read_table(self.spark, f"{self.config.database}.{name}")
@@ -73,6 +90,7 @@ def run_credits(lake: _Lake) -> None:
     """Credits are parsed once; the cast tables are projections of the staged cells."""
     config = lake.config
     credits = read_csv(lake.spark, config.credits_csv, require=schemas.CREDITS)
+    credits = lake.numbered(credits, "credits")
     credits = parse_collections(credits, {"cast": schemas.CREDITED}, config.policy)
     credits = lake.stage(credits, "stage/credits")
     members = cast.cast_members(credits)
@@ -97,17 +115,33 @@ def run_movies(lake: _Lake) -> None:
     lake.table(movies.select("id", "title", "original_title"), "FactFilms", per_film="id")
     lake.table(films.dim_countries(movies), "DimCountries")
     lake.table(films.dim_genres(movies), "DimGenres")
-    lake.table(films.dim_companies(movies), "DimProductionCompanies")
+    lake.table(films.dim_companies(_companies(lake, movies)), "DimProductionCompanies")
     lake.table(films.dim_languages(movies), "DimSpokenLanguages")
     for attribute, (name, _, _) in schemas.SCALARS.items():
         lake.table(films.scalar_dim(movies, attribute), name, per_film="film_id")
     lake.stage(quarantine_cells(movies), "quarantine/movies")
+    lake.stage(films.scalar_quarantine(movies), "quarantine/scalars")
+
+
+def _companies(lake: _Lake, movies: DataFrame) -> DataFrame:
+    """Rows with the companies of the accepted films."""
+    path = lake.config.companies_csv
+    if path is None:
+        return movies
+    rows = lake.numbered(read_csv(lake.spark, path, require=schemas.COMPANIES), "companies")
+    rows = parse_collections(rows, {"production_companies": schemas.ID_NAME}, lake.config.policy)
+    rows = lake.stage(rows, "stage/companies")
+    lake.stage(quarantine_cells(rows), "quarantine/companies")
+    return films.of_films(rows, movies)
 
 
 def run_keywords(lake: _Lake) -> None:
     """Keywords, parsed and staged like the other exports."""
     config = lake.config
-    keywords = read_csv(lake.spark, config.keywords_csv, require=schemas.KEYWORDS)
+    keywords = read_csv(
+        lake.spark, config.keywords_csv, multiline=config.multiline, require=schemas.KEYWORDS
+    )
+    keywords = lake.numbered(keywords, "keywords")
     keywords = parse_collections(keywords, {"keywords": schemas.NAMED}, config.policy)
     keywords = lake.stage(keywords, "stage/keywords")
     lake.table(films.film_keywords(keywords), "DimKeywords")
@@ -117,13 +151,22 @@ def run_keywords(lake: _Lake) -> None:
 def run_ratings(lake: _Lake) -> None:
     """Single ratings as a partition of the run; their totals per film as its votes."""
     config = lake.config
-    raw = read_csv(lake.spark, config.ratings_csv, require=schemas.RATINGS)
-    single = ratings.fact_ratings(raw).withColumn("run_date", F.lit(config.run_date))
+    raw = read_csv(
+        lake.spark, config.ratings_csv, multiline=config.multiline, require=schemas.RATINGS
+    )
+    good, broken = ratings.split_ratings(raw)
+    lake.stage(broken, "quarantine/ratings")
     name, path = f"{config.database}.FactRatings", lake.path("model/FactRatings")
-    runs = save_run(single, name, path, ["run_date"])
+    runs = save_run(ratings.fact_ratings(good), name, path, {"run_date": config.run_date})
     of_this_run = runs.where(F.col("run_date") == config.run_date)
 
     totals = lake.stage(ratings.film_totals(of_this_run), "stage/rating_totals")
+    if config.links_csv is not None:
+        links = read_csv(lake.spark, config.links_csv, require=schemas.LINKS)
+        links = links.select(*[F.col(c).try_cast("bigint").alias(c) for c in schemas.LINKS])
+        links = links.where("rating_id IS NOT NULL AND film_id IS NOT NULL")
+        lake.stage(ratings.unlinked_totals(totals, links), "quarantine/unlinked")
+        totals = lake.stage(ratings.remap_totals(totals, links), "stage/linked_totals")
     lake.stage(ratings.ratings_mean(totals), "avg_votes")
     lake.stage(ratings.ratings_count(totals), "votes_count")
     votes = lake.stage(ratings.film_votes(lake.read("FactFilms"), totals), "stage/votes")
@@ -136,9 +179,7 @@ def run_posters(lake: _Lake) -> None:
     config = lake.config
     ids = lake.read("DimImdbId").select("film_id", "imdb_id")
     if config.open_resolver is not None:
-        found = enrich.resolve_posters(ids, config.open_resolver, config.slices)
-        written = enrich.write_slices(found, lake.path("stage/posters"))
-        located = written.select("film_id", "imdb_id", "url", "error")
+        located = _resolved(lake, ids)
     elif config.poster_table is not None:
         located = enrich.lookup_posters(ids, lake.spark.read.parquet(config.poster_table))
     else:
@@ -146,6 +187,23 @@ def run_posters(lake: _Lake) -> None:
     lake.table(located, "DimPosters", per_film="film_id")
 
 
+def _resolved(lake: _Lake, ids: DataFrame) -> DataFrame:
+    """Locations found by earlier runs, and by this run for the films without one."""
+    config, key = lake.config, ["film_id", "imdb_id"]
+    found = enrich.resolve_posters(ids, config.open_resolver, config.slices)
+    name = f"{config.database}.DimPosters"
+    if not lake.spark.catalog.tableExists(name):
+        written = enrich.write_slices(found, lake.path("stage/posters"))
+        return written.select(*key, "url", "error")
+    # Staged: the table that is read here is replaced in the end.
+    known = lake.read("DimPosters").where("url IS NOT NULL").join(ids, key, "semi")
+    known = lake.stage(known.select(*key, "url", "error"), "stage/known_posters")
+    missing = ids.join(known, key, "anti")
+    found = enrich.resolve_posters(missing, config.open_resolver, config.slices)
+    written = enrich.write_slices(found, lake.path("stage/posters"))
+    return known.unionByName(written.select(*key, "url", "error"))
+
+
 def run_genres(lake: _Lake) -> None:
     """Posters labelled with the genres of their films, the model, and its ranked genres."""
     config = lake.config
@@ -154,11 +212,19 @@ def run_genres(lake: _Lake) -> None:
     features = lake.spark.read.parquet(config.poster_features).select("film_id", "features")
     labels = posters.poster_labels(features, lake.read("DimGenres"))
     labels = lake.stage(labels, "stage/poster_labels")
-    model = posters.train_genres(labels)
+    train, test = posters.split_by_film(labels)
+    model = posters.train_genres(train)
     model.write().overwrite().save(lake.path("model/GenreModel"))
+    lake.stage(posters.evaluate_genres(model, test), "genre_evaluation")
     lake.table(posters.score_genres(model, features), "PosterGenres")
 
 
+def score_posters(spark: SparkSession, model_path: str, features_path: str) -> DataFrame:
+    """Ranked genres of new posters by a saved model; nothing is trained."""
+    features = spark.read.parquet(features_path).select("film_id", "features")
+    return posters.score_genres(PipelineModel.load(model_path), features)
+
+
 def run_daily(spark: SparkSession, config: DailyConfig) -> None:
     """All stages in order: cast, metadata and keywords, then ratings, posters, genres."""
     ensure_schema(spark, config.database, f"{config.lake}/schema")

@@ -23,24 +23,38 @@ def _outside_id(key: str) -> str:
 
 _DENIED = "('0', 'tt0113002', 'tt2423504', 'tt2622826', 'tt0000000', 'tt0000003', 'tt0000007', 'tt0000011')"
 
+# Of a film's copies the one with the fewest NULLs, then the smallest in the
+# order of the export's columns.
+_COPY = """PARTITION BY film_id ORDER BY
+    CAST(imdb_id IS NULL AS INTEGER) + CAST(p_name IS NULL AS INTEGER) + CAST(p_retailprice IS NULL AS INTEGER)
+      + CAST(p_size IS NULL AS INTEGER) + CAST(p_type IS NULL AS INTEGER),
+    imdb_id NULLS FIRST, p_name NULLS FIRST, original_title NULLS FIRST,
+    CAST(p_retailprice AS VARCHAR) NULLS FIRST, CAST(p_size AS VARCHAR) NULLS FIRST, p_type NULLS FIRST"""
+
+
+def _one_copy(rows: str) -> str:
+    return f"""SELECT * EXCLUDE (copy) FROM (
+  SELECT *, row_number() OVER ({_COPY}) AS copy FROM {rows}) WHERE copy = 1"""
+
+
 _ALL_FILMS = f"""
 all_films AS (
-  SELECT *, p_partkey AS film_id,
+  SELECT *, p_partkey AS film_id, concat_ws(' ', p_brand, p_name) AS original_title,
          CASE WHEN p_size < 50 THEN 'tt' || {_outside_id("p_partkey")} END AS imdb_id
   FROM part
 )"""
 
-_FILMS = f"""{_ALL_FILMS},
-films AS (SELECT * FROM all_films WHERE imdb_id NOT IN {_DENIED})"""
+_ACCEPTED = f"""{_ALL_FILMS},
+accepted AS (SELECT * FROM all_films WHERE imdb_id NOT IN {_DENIED})"""
+
+_FILMS = f"""{_ACCEPTED},
+films AS ({_one_copy("accepted")})"""
 
 _FACTS = f"""{_FILMS},
-facts AS (
-  SELECT film_id, min(p_name) AS title, min(p_brand || ' ' || p_name) AS original_title
-  FROM films GROUP BY film_id
-)"""
+facts AS (SELECT film_id, p_name AS title, original_title FROM films)"""
 
 _UNIQUE = f"""{_ALL_FILMS},
-unique_films AS (SELECT DISTINCT * FROM all_films),
+unique_films AS ({_one_copy("all_films")}),
 posters AS (SELECT page_id, min(url) AS url FROM pages GROUP BY page_id)"""
 
 _RATINGS = """
@@ -64,21 +78,17 @@ votes AS (
 _SALES = """
 sales AS (
   SELECT l_partkey AS film_id, min(l_shipdate) AS first_ship,
-         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sales,
-         min(l_suppkey) AS low_supplier, max(l_suppkey) AS high_supplier
+         sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sales
   FROM lineitem GROUP BY l_partkey
 )"""
 
 _SUPPLIERS = f"""{_SALES},
-film_suppliers AS (
-  SELECT film_id, low_supplier AS s_suppkey FROM sales
-  UNION
-  SELECT film_id, high_supplier FROM sales
-)"""
+film_suppliers AS (SELECT DISTINCT l_partkey AS film_id, l_suppkey AS s_suppkey FROM lineitem)"""
 
 _COMPANIES = f"""{_SUPPLIERS},
 company_rows AS (
-  SELECT film_id, row_number() OVER (PARTITION BY film_id ORDER BY s_suppkey) - 1 AS position,
+  SELECT film_id, s_suppkey,
+         row_number() OVER (PARTITION BY film_id, s_suppkey // 2048 ORDER BY s_suppkey) - 1 AS position,
          CASE WHEN s_acctbal >= 0 THEN replace(s_name, '#', chr(160)) END AS company_name
   FROM film_suppliers JOIN (SELECT DISTINCT s_suppkey, s_name, s_acctbal FROM supplier) s
   USING (s_suppkey)
@@ -108,7 +118,7 @@ language_rows AS (
 )"""
 
 # Members of the credits cells: per film and block of 2048 customers, in the
-# order of customer and status; cells of more than 40 members are damaged.
+# order of customer and status.
 _MEMBERS = f"""
 buyers AS (
   SELECT DISTINCT l_partkey AS film_id, c_custkey, o_orderstatus, c_name, c_custkey // 2048 AS block,
@@ -119,8 +129,7 @@ buyers AS (
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
 ),
 cell_rows AS (
-  SELECT *, count(*) OVER (PARTITION BY film_id, block) AS cell_members,
-         row_number() OVER (PARTITION BY film_id, block ORDER BY c_custkey, o_orderstatus) - 1
+  SELECT *, row_number() OVER (PARTITION BY film_id, block ORDER BY c_custkey, o_orderstatus) - 1
            AS position
   FROM buyers
 ),
@@ -128,12 +137,12 @@ members AS (
   SELECT {_key("film_id", "film_id || '-' || c_custkey || '-' || o_orderstatus", "c_custkey", "position")} AS id,
          CAST(c_custkey AS INTEGER) AS cast_member_id, film_id, c_name AS name, character,
          CASE WHEN character LIKE '%(voice)%' THEN 'voice' ELSE 'actor/actress' END AS role
-  FROM cell_rows WHERE cell_members <= 40
+  FROM cell_rows
 )"""
 
 _WORDS = """
 word_rows AS (
-  SELECT film_id, i - 1 AS position, words[i] AS keyword
+  SELECT DISTINCT film_id, i - 1 AS position, words[i] AS keyword
   FROM (SELECT film_id, words, unnest(range(1, len(words) + 1)) AS i
         FROM (SELECT p_partkey AS film_id, string_split(p_name, ' ') AS words FROM part))
 )"""
@@ -187,7 +196,7 @@ SELECT CAST(regexp_extract(p_brand, '([0-9]+)$', 1) AS BIGINT) AS film_id,
 FROM ratings JOIN (SELECT DISTINCT p_partkey, p_brand FROM part) ON p_partkey = film_id GROUP BY 1""",
     "fact_ratings": f"WITH {_RATINGS} SELECT film_id, rating FROM ratings",
     "fact_films": f"WITH {_FACTS} SELECT film_id AS id, title, original_title FROM facts",
-    "films_denylist": f"WITH {_FILMS} SELECT film_id, imdb_id, p_name AS title FROM films",
+    "films_denylist": f"WITH {_ACCEPTED} SELECT film_id, imdb_id, p_name AS title FROM accepted",
     "films_deny_table": f"""WITH {_ALL_FILMS}
 SELECT film_id, imdb_id, p_name AS title FROM all_films
 WHERE imdb_id IS NOT NULL
@@ -197,7 +206,7 @@ SELECT {_key("film_id", "position", "name")} AS country_id, film_id, name
 FROM films JOIN country_rows USING (film_id)""",
     "dim_genres": f"WITH {_FILMS}, {_GENRES.format(source='films')} SELECT id, film_id, name FROM genre_rows",
     "dim_companies": f"""WITH {_FILMS}, {_COMPANIES}
-SELECT {_key("film_id", "position", "company_name")} AS company_id, film_id, company_name
+SELECT {_key("film_id", "s_suppkey", "position", "company_name")} AS company_id, film_id, company_name
 FROM films JOIN company_rows USING (film_id)""",
     "dim_languages": f"""WITH {_FILMS}, {_LANGUAGES.format(source='films')}
 SELECT {_key("film_id", "0", "languages")} AS id, {_key("film_id", "'spoken_languages'")} AS film_key,
@@ -222,10 +231,23 @@ SELECT {_key("film_id", "position", "keyword")} AS id, film_id, keyword FROM wor
 SELECT id, cast_member_id, film_id, role FROM members WHERE role = 'actor/actress'""",
     "characters_strip": _cleaned_characters(""),
     "characters_space": _cleaned_characters(" "),
-    "json_quarantine": f"""WITH {_MEMBERS}
-SELECT film_id, count(*) AS cells,
-       CAST(sum(CASE WHEN cell_members > 40 THEN 1 ELSE 0 END) AS BIGINT) AS malformed
-FROM (SELECT DISTINCT film_id, block, cell_members FROM cell_rows) GROUP BY film_id""",
+    "json_quarantine": f"""WITH {_MEMBERS},
+cells AS (SELECT film_id, count(DISTINCT block) AS n FROM cell_rows GROUP BY film_id)
+SELECT film_id, n + malformed AS cells, malformed
+FROM (SELECT film_id, n, CASE WHEN film_id IN (SELECT p_partkey FROM part WHERE p_brand = 'Brand#7')
+             THEN n ELSE 0 END AS malformed FROM cells)""",
+    "ratings_unlinked": f"""WITH {_TOTALS}
+SELECT film_id AS rating_id, freq, rated FROM totals
+WHERE film_id NOT IN (SELECT p_partkey FROM part WHERE p_size <= 25)""",
+    "ratings_quarantine": """
+SELECT CASE WHEN l_quantity = 17 THEN 'm' ELSE '' END || CAST(l_partkey AS VARCHAR) AS "movieId",
+       CAST(CAST(0.5 * ceil(l_quantity / 5) AS DECIMAL(3,1)) AS VARCHAR)
+         || CASE WHEN l_quantity = 13 THEN ' stars' ELSE '' END AS rating
+FROM lineitem WHERE l_quantity IN (13, 17)""",
+    "scalar_quarantine": f"""WITH {_UNIQUE}
+SELECT film_id, CASE WHEN p_size = 7 THEN 'popularity' ELSE 'runtime' END AS "column",
+       CASE WHEN p_size = 7 THEN CAST(p_retailprice AS VARCHAR) || 'x' ELSE '9 min' END AS raw
+FROM unique_films WHERE p_size IN (7, 9)""",
     "event_props": "SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INTEGER) AS k FROM events",
     "conversation_turns": "SELECT conv_id, turn, role, text FROM conversations",
     "csv_roundtrip": "SELECT doc_id, nullif(lang, '') AS lang, nullif(text, '') AS text FROM documents",
@@ -253,9 +275,9 @@ SELECT id, film_id, ((id + 1) * 5 - 1) // films AS slice FROM numbered""",
 SELECT v.film_id, v.title, v.original_title, url AS homepage, p_retailprice AS popularity,
        {_RELEASE} AS release_date, {_REVENUE} AS revenue, CAST(p_size AS DOUBLE) AS runtime,
        p_type AS status, imdb_id, vote_average, vote_count
-FROM votes v JOIN (SELECT DISTINCT * FROM films) f ON f.film_id = v.film_id LEFT JOIN pages ON page_id = v.film_id
+FROM votes v JOIN films f ON f.film_id = v.film_id LEFT JOIN pages ON page_id = v.film_id
 LEFT JOIN sales s ON s.film_id = v.film_id""",
-    "star_by_genre": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_GENRES.format(source='(SELECT DISTINCT * FROM films)')} {_rollup('genre_rows', 'name')}",
+    "star_by_genre": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_GENRES.format(source='films')} {_rollup('genre_rows', 'name')}",
     "star_by_country": f"WITH {_FACTS}, {_TOTALS}, {_COUNTRIES} {_rollup('country_rows', 'name')}",
     "star_by_company": f"WITH {_FACTS}, {_TOTALS}, {_COMPANIES} {_rollup('company_rows', 'company_name')}",
     "star_by_language": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_LANGUAGES.format(source='facts')} {_rollup('language_rows', 'languages')}",
@@ -270,5 +292,20 @@ SELECT film_id, title, original_title, url AS poster FROM facts LEFT JOIN poster
 SELECT film_id, url, name AS genre FROM {_LOCATED} JOIN genre_rows USING (film_id)
 WHERE url IS NOT NULL""",
 }
+_TRAINING = """CAST('0x' || substr(md5(CAST(film_id AS VARCHAR)), 1, 7) AS BIGINT) % 100 {} 20"""
+
+# The genres known to the model are those of its training posters.
+_SCORED = f"""{_UNIQUE}, {_GENRES.format(source="unique_films")},
+examples AS (SELECT DISTINCT film_id, name FROM genre_rows JOIN embeddings ON vec_id = film_id),
+known AS (SELECT DISTINCT name FROM examples WHERE {_TRAINING.format(">=")})"""
+
+ORACLES["genre_score_shapes"] = f"""WITH {_SCORED},
+n AS (SELECT count(*) AS genres FROM known)
+SELECT vec_id AS film_id, genres, CAST(genres * (genres + 1) // 2 AS BIGINT) AS ranks,
+       CAST(1 AS DOUBLE) AS probability, true AS descending
+FROM embeddings, n"""
+ORACLES["genre_holdout"] = f"""WITH {_SCORED}
+SELECT film_id, count(*) AS genres FROM examples JOIN known USING (name)
+WHERE {_TRAINING.format("<")} GROUP BY film_id"""
 ORACLES["json_infer"] = ORACLES["dim_countries"]
 ORACLES["table_overwrite"] = ORACLES["dim_genres"]

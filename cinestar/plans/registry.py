@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cinestar.functions.keys import hash_key
@@ -17,21 +18,39 @@ from cinestar.sources import fixtures as raw
 from cinestar.sources import schemas, tables
 from cinestar.sources.csv import export_csv, read_csv
 
+# Catalog schema of tables that live as long as the session.
+SCRATCH = "cinestar_scratch"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+DENIED = (*films.DENIED_IMDB_IDS, *raw.DENIED)
+
+
 def _movies(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return films.accept_films(
-        raw.raw_movies(spark, sf, *columns), (*films.DENIED_IMDB_IDS, *raw.DENIED)
-    )
+    """Accepted rows of the metadata export, copies included."""
+    return films.accept_films(raw.raw_movies(spark, sf, *columns), DENIED)
 
 
 def _unique(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return films.one_per_film(_movies(spark, sf, *columns))
+    """Accepted films, one row each: the copy is chosen by its whole row, then projected."""
+    unique = films.one_per_film(films.accept_films(raw.raw_films(spark, sf), DENIED))
+    return raw.with_attributes(unique, spark, sf, *columns)
+
+
+def _all_unique(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """All films, denied ones as well, one row each."""
+    return raw.with_attributes(
+        films.one_per_film(raw.raw_films(spark, sf)), spark, sf, *columns
+    )
 
 
 def _facts(spark: SparkSession, sf: str) -> DataFrame:
-    return films.fact_films(_movies(spark, sf, "title", "original_title"))
+    return films.fact_films(films.accept_films(raw.raw_films(spark, sf), DENIED))
+
+
+def _companies(spark: SparkSession, sf: str) -> DataFrame:
+    return films.dim_companies(films.of_films(raw.raw_companies(spark, sf), _unique(spark, sf)))
 
 
 def _totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -47,13 +66,12 @@ def _members(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _film_ids(spark: SparkSession, sf: str) -> DataFrame:
-    unique = films.one_per_film(raw.raw_movies(spark, sf))
-    return unique.select(film_id().alias("film_id"), "imdb_id")
+    return _all_unique(spark, sf).select(film_id().alias("film_id"), "imdb_id")
 
 
-def _scalar(attribute: str, movies: Callable[..., DataFrame] = _movies) -> Query:
+def _scalar(attribute: str) -> Query:
     columns = () if attribute == "imdb_id" else (attribute,)
-    return lambda spark, sf: films.scalar_dim(movies(spark, sf, *columns), attribute)
+    return lambda spark, sf: films.scalar_dim(_unique(spark, sf, *columns), attribute)
 
 
 def _characters(policy: str) -> Query:
@@ -69,6 +87,24 @@ def ratings_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return totals.select("film_id", "freq", "rating")
 
 
+def ratings_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of a damaged export that name no film or give no number."""
+    return ratings.split_ratings(raw.damaged_ratings(spark, sf))[1]
+
+
+def scalar_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Values of a damaged export that are not of their column's type."""
+    return films.scalar_quarantine(films.one_per_film(raw.damaged_films(spark, sf)))
+
+
+def ratings_unlinked(spark: SparkSession, sf: str) -> DataFrame:
+    """Rated ids without a link, where only the films of up to 25 minutes have one."""
+    links = raw.table(spark, sf, "part").where("p_size <= 25")
+    links = links.select(F.col("p_partkey").alias("rating_id"), F.col("p_partkey").alias("film_id"))
+    lost = ratings.unlinked_totals(_totals(spark, sf), links)
+    return lost.select("rating_id", "freq", "rated")
+
+
 def ratings_remapped(spark: SparkSession, sf: str) -> DataFrame:
     """Ratings whose ids are those of the films' brands: many ids lead to one."""
     links = raw.table(spark, sf, "part").select(
@@ -101,6 +137,13 @@ def json_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def json_infer(spark: SparkSession, sf: str) -> DataFrame:
+    """Countries by a schema found in the data; inference and parse read one stage."""
+    cells = _unique(spark, sf, "production_countries")
+    staged = tables.overwrite_parquet(cells, scratch_path(spark, "countries"))
+    return films.dim_countries_inferred(staged)
+
+
 def event_props(spark: SparkSession, sf: str) -> DataFrame:
     return raw.table(spark, sf, "events").select(
         "event_id", "event_type", F.from_json("props", "k int")["k"].alias("k")
@@ -140,12 +183,12 @@ def csv_single_line(spark: SparkSession, sf: str) -> DataFrame:
 def table_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     """A catalog table written twice holds one run; read back by SQL."""
     path = scratch_path(spark, "table")
-    schema = f"cinestar_{path[-8:]}"
-    tables.ensure_schema(spark, schema, f"{path}/schema")
-    genres = films.dim_genres(_movies(spark, sf, "genres"))
+    name = f"{SCRATCH}.DimGenres_{path[-32:]}"
+    tables.ensure_schema(spark, SCRATCH)
+    genres = films.dim_genres(_unique(spark, sf, "genres"))
     for _ in range(2):
-        tables.save_table(genres, f"{schema}.DimGenres", f"{path}/DimGenres")
-    return spark.sql(f"select * from {schema}.dimgenres")
+        tables.save_table(genres, name, path)
+    return spark.sql(f"select * from {name.lower()}")
 
 
 def parquet_stage(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +201,7 @@ def daily_rerun(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "runs")
     rows = ratings.fact_ratings(raw.raw_ratings(spark, sf))
     for day in ("2024-01-01", "2024-01-02", "2024-01-02"):
-        tables.overwrite_run(rows.withColumn("run_date", F.lit(day)), path, ["run_date"])
+        tables.overwrite_run(rows, path, {"run_date": day})
     back = spark.read.schema("film_id bigint, rating double, run_date string").parquet(path)
     return back.groupBy("run_date", "rating").agg(F.count("*").alias("freq"))
 
@@ -176,23 +219,66 @@ def dense_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def range_slices(spark: SparkSession, sf: str) -> DataFrame:
-    """Films in five equal ranges of dense ids."""
+    """Films in five equal ranges of dense ids, each cut out and written by a worker of its own."""
     ids = _film_ids(spark, sf).where(F.col("imdb_id").isNotNull())
-    return dense.range_slices(ids, 5, "film_id").select("id", "film_id", "slice")
+    numbered = dense.dense_key(ids, "film_id")
+    numbered = tables.overwrite_parquet(numbered, scratch_path(spark, "numbered"))
+    rows, paths = numbered.count(), []
+    for i in range(5):
+        part = numbered.where(dense.range_slice("id", i, 5, rows)).withColumn("slice", F.lit(i))
+        paths.append(scratch_path(spark, f"worker-{i}"))
+        part.select("id", "film_id", "slice").write.parquet(paths[-1])
+    return enrich.read_worker_outputs(spark, paths).select(
+        "id", "film_id", F.col("slice").cast("bigint").alias("slice")
+    )
+
+
+def _film_table(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """One row per accepted film with votes and sales, saved in buckets of film_id.
+
+    Line items are aggregated once, for ratings and sales together. The table
+    stands for the model: what is read from it by film needs no shuffle.
+    """
+    rating = F.ceil(F.col("l_quantity") / 5) * F.lit(0.5)
+    per_film = (
+        raw.table(spark, sf, "lineitem")
+        .groupBy(F.col("l_partkey").alias("film_id"))
+        .agg(
+            F.count("*").alias("freq"),
+            F.count(rating).alias("rated"),
+            F.sum(rating).alias("rating_sum"),
+            F.avg(rating).alias("rating"),
+            F.min("l_shipdate").cast("date").alias("release_date"),
+            F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).cast("decimal(18,2)").alias("revenue"),
+        )
+    )
+    own = [name for name in raw.OWN_COLUMNS if name != "imdb_id"]
+    rows = _unique(spark, sf, *dict.fromkeys([*own, *columns])).withColumnRenamed("id", "film_id")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = scratch_path(spark, "film_table")
+    name = f"{SCRATCH}.films_{path[-32:]}"
+    tables.ensure_schema(spark, SCRATCH)
+    return tables.save_table(rows.join(per_film, "film_id", "left"), name, path, "film_id", buckets)
 
 
 def star_films(spark: SparkSession, sf: str) -> DataFrame:
+    """Films, votes and eight scalar dimensions put together from the bucketed table."""
+    saved = _film_table(spark, sf, "homepage")
+    ids = saved.withColumnRenamed("film_id", "id")
     attributes = [name for name in schemas.SCALARS if name not in ("imdb_id", "overview")]
-    dims = {name: _scalar(name, _unique)(spark, sf) for name in attributes}
-    dims["imdb_id"] = _film_ids(spark, sf)
-    return star.star_films(_votes(spark, sf), dims)
+    dims = {name: films.scalar_dim(ids, name) for name in attributes}
+    dims["imdb_id"] = saved.select("film_id", "imdb_id")
+    facts = ids.select("id", "title", "original_title")
+    return star.star_films(ratings.film_votes(facts, saved.select("film_id", "rating", "freq")), dims)
 
 
-def _rollup(dim: Callable[[DataFrame], DataFrame], source: str, name: str) -> Query:
+def _rollup(source: str | None, dim: Callable[[DataFrame], DataFrame], name: str) -> Query:
     def query(spark: SparkSession, sf: str) -> DataFrame:
-        revenue = _scalar("revenue", _unique)(spark, sf)
-        measures = star.film_measures(_facts(spark, sf), _totals(spark, sf), revenue)
-        return star.rollup_by(measures, dim(_unique(spark, sf, source)), name)
+        saved = _film_table(spark, sf, *([source] if source else []))
+        ids = saved.withColumnRenamed("film_id", "id")
+        rows = ids if source else films.of_films(raw.raw_companies(spark, sf), ids)
+        measures = saved.select("film_id", "freq", "rated", "rating_sum", "revenue")
+        return star.rollup_by(measures, dim(rows), name)
 
     return query
 
@@ -220,15 +306,50 @@ def film_posters(spark: SparkSession, sf: str) -> DataFrame:
 
 def poster_labels(spark: SparkSession, sf: str) -> DataFrame:
     located = poster_locations(spark, sf).where(F.col("url").isNotNull())
-    genres = films.dim_genres(films.one_per_film(raw.raw_movies(spark, sf, "genres")))
+    genres = films.dim_genres(_all_unique(spark, sf, "genres"))
     return posters.poster_labels(located.select("film_id", "url"), genres)
 
 
-def genre_scores(spark: SparkSession, sf: str) -> DataFrame:
+def _genre_model(spark: SparkSession, sf: str) -> tuple[PipelineModel, DataFrame]:
+    """A model of the training posters, and the labels of the others."""
     features = raw.poster_features(spark, sf)
-    genres = films.dim_genres(films.one_per_film(raw.raw_movies(spark, sf, "genres")))
-    model = posters.train_genres(posters.poster_labels(features, genres))
-    return posters.score_genres(model, features)
+    labels = posters.poster_labels(features, films.dim_genres(_all_unique(spark, sf, "genres")))
+    labels = tables.overwrite_parquet(labels, scratch_path(spark, "labels"))
+    train, test = posters.split_by_film(labels)
+    return posters.train_genres(train), test
+
+
+def genre_scores(spark: SparkSession, sf: str) -> DataFrame:
+    model, _ = _genre_model(spark, sf)
+    return posters.score_genres(model, raw.poster_features(spark, sf))
+
+
+def genre_score_shapes(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of each poster's ranked genres whatever the model, per poster."""
+    scores = genre_scores(spark, sf)
+    later = Window.partitionBy("film_id").orderBy("rank")
+    falls = F.col("probability") <= F.lag("probability", 1, 2.0).over(later)
+    return (
+        scores.withColumn("falls", falls)
+        .groupBy("film_id")
+        .agg(
+            F.count_distinct("genre").alias("genres"),
+            F.sum("rank").cast("bigint").alias("ranks"),
+            F.round(F.sum("probability"), 6).alias("probability"),
+            F.every("falls").alias("descending"),
+        )
+    )
+
+
+def genre_holdout(spark: SparkSession, sf: str) -> DataFrame:
+    """The held-out posters and, for each, how many genres of its film it was judged by."""
+    model, test = _genre_model(spark, sf)
+    path = scratch_path(spark, "model")
+    model.write().save(path)
+    held = test.select("film_id", "features").dropDuplicates(["film_id"])
+    scored = posters.score_genres(PipelineModel.load(path), held)
+    judged = scored.join(test.select("film_id", "genre"), ["film_id", "genre"])
+    return judged.groupBy("film_id").agg(F.count("*").alias("genres"))
 
 
 QUERIES: dict[str, Query] = {
@@ -237,14 +358,17 @@ QUERIES: dict[str, Query] = {
     "ratings_mean": lambda s, d: ratings.ratings_mean(_totals(s, d)),
     "ratings_filtered": ratings_filtered,
     "ratings_remapped": ratings_remapped,
+    "ratings_unlinked": ratings_unlinked,
+    "ratings_quarantine": ratings_quarantine,
+    "scalar_quarantine": scalar_quarantine,
     "fact_ratings": lambda s, d: ratings.fact_ratings(raw.raw_ratings(s, d)),
     "fact_films": _facts,
     "films_denylist": films_denylist,
     "films_deny_table": films_deny_table,
-    "dim_countries": lambda s, d: films.dim_countries(_movies(s, d, "production_countries")),
-    "dim_genres": lambda s, d: films.dim_genres(_movies(s, d, "genres")),
-    "dim_companies": lambda s, d: films.dim_companies(_movies(s, d, "production_companies")),
-    "dim_languages": lambda s, d: films.dim_languages(_movies(s, d, "spoken_languages")),
+    "dim_countries": lambda s, d: films.dim_countries(_unique(s, d, "production_countries")),
+    "dim_genres": lambda s, d: films.dim_genres(_unique(s, d, "genres")),
+    "dim_companies": _companies,
+    "dim_languages": lambda s, d: films.dim_languages(_unique(s, d, "spoken_languages")),
     "film_keywords": lambda s, d: films.film_keywords(raw.raw_keywords(s, d)),
     "dim_homepages": _scalar("homepage"),
     "dim_external_id": _scalar("imdb_id"),
@@ -262,9 +386,7 @@ QUERIES: dict[str, Query] = {
     "dim_actors": lambda s, d: cast.dim_actors(_members(s, d)),
     "characters_strip": _characters("strip"),
     "characters_space": _characters("space"),
-    "json_infer": lambda s, d: films.dim_countries_inferred(
-        _movies(s, d, "production_countries")
-    ),
+    "json_infer": json_infer,
     "json_quarantine": json_quarantine,
     "event_props": event_props,
     "conversation_turns": conversation_turns,
@@ -278,13 +400,15 @@ QUERIES: dict[str, Query] = {
     "dense_keys": dense_keys,
     "range_slices": range_slices,
     "star_films": star_films,
-    "star_by_genre": _rollup(films.dim_genres, "genres", "name"),
-    "star_by_country": _rollup(films.dim_countries, "production_countries", "name"),
-    "star_by_company": _rollup(films.dim_companies, "production_companies", "company_name"),
-    "star_by_language": _rollup(films.dim_languages, "spoken_languages", "languages"),
+    "star_by_genre": _rollup("genres", films.dim_genres, "name"),
+    "star_by_country": _rollup("production_countries", films.dim_countries, "name"),
+    "star_by_company": _rollup(None, films.dim_companies, "company_name"),
+    "star_by_language": _rollup("spoken_languages", films.dim_languages, "languages"),
     "poster_locations": poster_locations,
     "poster_slices_union": poster_slices_union,
     "film_posters": film_posters,
     "poster_labels": poster_labels,
     "genre_scores": genre_scores,
+    "genre_score_shapes": genre_score_shapes,
+    "genre_holdout": genre_holdout,
 }

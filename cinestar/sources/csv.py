@@ -39,7 +39,7 @@ def read_csv(
     return frame.select(*[f"`{name}`" for name in require]) if require else frame
 
 
-def export_csv(frame: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+def export_csv(frame: DataFrame, path: str, rows_per_file: int = 20_000) -> None:
     """Write a folder of quoted CSV files that `read_csv` reads back unchanged.
 
     Blanks at the ends of values are kept. An empty string reads back as NULL:

@@ -17,8 +17,14 @@ DENIED = ("tt0000000", "tt0000003", "tt0000007", "tt0000011")
 # so no cell can outgrow 3 x CAST_BLOCK members, however popular a film is.
 CAST_BLOCK = 2048
 
-# The exporter damages a credits cell that has more members than this.
-CAST_CELL_MEMBERS = 40
+# A companies cell holds the suppliers of one block of this many supplier keys.
+COMPANY_BLOCK = 2048
+
+# The exporter repeats the credits rows of this brand's films, cut short.
+DAMAGED_BRAND = "Brand#7"
+
+# Columns of a film that come from `part` alone, in the order of the export.
+OWN_COLUMNS = ("imdb_id", "title", "original_title", "popularity", "runtime", "status")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,20 +81,17 @@ def _film_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(
             F.min("l_shipdate").alias("first_ship"),
             F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("sales"),
-            F.min("l_suppkey").alias("low_supplier"),
-            F.max("l_suppkey").alias("high_supplier"),
         )
     )
 
 
-def _film_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lowest and the highest supplier key of each film, as one or two rows."""
-    pair = F.array_distinct(F.array("low_supplier", "high_supplier"))
-    return (
-        _film_sales(spark, sf_dir)
-        .select("p_partkey", F.explode(pair).alias("s_suppkey"))
-        .join(table(spark, sf_dir, "supplier"), "s_suppkey")
+def _film_suppliers(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Each film's suppliers, once each, with the supplier's columns asked for."""
+    pairs = table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("s_suppkey")
     )
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", *columns)
+    return pairs.distinct().join(suppliers, "s_suppkey")
 
 
 def _with_sales(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,28 +139,14 @@ def _with_genres(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
-def _with_companies(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = F.when(F.col("s_acctbal") >= 0, F.replace("s_name", F.lit("#"), F.lit("\u00a0")))
-    cells = (
-        _film_suppliers(spark, sf_dir)
-        .withColumn("company", F.struct("s_suppkey", name.alias("name")))
-        .groupBy("p_partkey")
-        .agg(F.sort_array(F.collect_set("company")).alias("companies"))
-    )
-    printed = F.transform(
-        "companies", lambda c: py_dict(id=py_number(c.s_suppkey), name=py_text(c["name"]))
-    )
-    return films.join(cells, "p_partkey", "left").withColumn(
-        "production_companies", py_list(printed)
-    )
-
-
 def _with_countries(films: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("s_nationkey"), "n_name"
     )
     cells = (
-        _film_suppliers(spark, sf_dir)
+        _film_suppliers(spark, sf_dir, "s_nationkey")
+        .select("p_partkey", "s_nationkey")
+        .distinct()
         .join(nations, "s_nationkey")
         .groupBy("p_partkey")
         .agg(F.sort_array(F.collect_set(F.struct("s_nationkey", "n_name"))).alias("nations"))
@@ -180,32 +169,59 @@ _JOINED = (
     (_with_homepage, ("homepage",)),
     (_with_document, ("overview", "spoken_languages")),
     (_with_genres, ("genres",)),
-    (_with_companies, ("production_companies",)),
     (_with_countries, ("production_countries",)),
 )
 
 
-def raw_movies(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """The metadata export with id, imdb_id and the columns asked for."""
-    films = table(spark, sf_dir, "part").withColumns(
-        {
-            "id": F.col("p_partkey").cast("string"),
-            "imdb_id": F.when(
-                F.col("p_size") < 50, F.concat(F.lit("tt"), outside_id(F.col("p_partkey")))
-            ),
-            "title": F.col("p_name"),
-            "original_title": F.concat_ws(" ", "p_brand", "p_name"),
-            "popularity": F.col("p_retailprice").cast("string"),
-            "runtime": F.col("p_size").cast("string"),
-            "status": F.col("p_type"),
-        }
+def raw_films(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata export's id and the columns that `part` alone gives, copies included."""
+    return table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("id"),
+        F.when(
+            F.col("p_size") < 50, F.concat(F.lit("tt"), outside_id(F.col("p_partkey")))
+        ).alias("imdb_id"),
+        F.col("p_name").alias("title"),
+        F.concat_ws(" ", "p_brand", "p_name").alias("original_title"),
+        F.col("p_retailprice").cast("string").alias("popularity"),
+        F.col("p_size").cast("string").alias("runtime"),
+        F.col("p_type").alias("status"),
     )
+
+
+def with_attributes(
+    films: DataFrame, spark: SparkSession, sf_dir: str, *columns: str
+) -> DataFrame:
+    """Films of `raw_films` with their id, imdb_id and the columns asked for."""
+    films = films.withColumns({"p_partkey": F.col("id").cast("bigint"), "p_type": F.col("status")})
     for add, added in _JOINED:
         if set(added) & set(columns):
             films = add(films, spark, sf_dir)
     return films.select("id", "imdb_id", *columns)
 
 
+def raw_movies(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The metadata export with id, imdb_id and the columns asked for."""
+    return with_attributes(raw_films(spark, sf_dir), spark, sf_dir, *columns)
+
+
+def raw_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The companies export: all suppliers of a film, a row per film and block of suppliers."""
+    name = F.when(F.col("s_acctbal") >= 0, F.replace("s_name", F.lit("#"), F.lit("\u00a0")))
+    cells = (
+        _film_suppliers(spark, sf_dir, "s_name", "s_acctbal")
+        .withColumn("company", F.struct("s_suppkey", name.alias("name")))
+        .groupBy("p_partkey", F.expr(f"s_suppkey div {COMPANY_BLOCK}").alias("block"))
+        .agg(F.sort_array(F.collect_set("company")).alias("companies"))
+    )
+    printed = F.transform(
+        "companies", lambda c: py_dict(id=py_number(c.s_suppkey), name=py_text(c["name"]))
+    )
+    return cells.select(
+        F.col("p_partkey").cast("string").alias("id"),
+        py_list(printed).alias("production_companies"),
+    )
+
+
 def raw_keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The keywords export: the words of a film's name."""
     words = F.transform(
@@ -226,32 +242,47 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit('The "'), segment, F.lit("\" who won't, None")))
     )
     gender = F.when(F.col("c_acctbal") < 0, 0).when(segment < "F", 1).otherwise(2)
-    buyers = (
-        table(spark, sf_dir, "orders")
+    # Both sides grow with the data. Their compressed size says little about the
+    # rows, so the joins are told not to broadcast either of them. Keys come
+    # first: the printed texts join what is left of them, once per member.
+    keys = (
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_partkey")
         .join(
-            table(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "o_custkey"),
-            "o_custkey",
-        )
-        .select(
-            F.col("o_orderkey").alias("l_orderkey"),
-            F.struct(
-                F.col("o_custkey").alias("id"),
-                F.col("o_orderstatus").alias("status"),
-                py_text(character).alias("character"),
-                gender.alias("gender"),
-                py_text(F.col("c_name")).alias("name"),
-            ).alias("buyer"),
+            table(spark, sf_dir, "orders")
+            .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+            .hint("merge"),
+            "l_orderkey",
         )
+        .select("l_partkey", "o_custkey", "o_orderstatus")
+        .distinct()
+    )
+    customers = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        py_text(F.col("c_name")).alias("name"),
+        gender.alias("gender"),
+        segment,
+        "c_acctbal",
+    )
+    buyer = F.struct(
+        F.col("o_custkey").alias("id"),
+        F.col("o_orderstatus").alias("status"),
+        py_text(character).alias("character"),
+        "gender",
+        "name",
     )
-    # Both sides grow with the data. Their compressed size says little about the
-    # rows, so the join is told not to broadcast either of them.
     cells = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey")
-        .join(buyers.hint("merge"), "l_orderkey")
+        keys.join(customers.hint("merge"), "o_custkey")
+        .select("l_partkey", buyer.alias("buyer"))
         .groupBy("l_partkey", F.expr(f"buyer.id div {CAST_BLOCK}").alias("block"))
         .agg(F.sort_array(F.collect_set("buyer")).alias("members"))
     )
+    damaged = (
+        table(spark, sf_dir, "part")
+        .where(F.col("p_brand") == DAMAGED_BRAND)
+        .select(F.col("p_partkey").alias("l_partkey"), F.lit(True).alias("damaged"))
+        .distinct()
+    )
     film = F.col("l_partkey").cast("string")
     printed = F.transform(
         "members",
@@ -268,11 +299,11 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         ),
     )
+    # A damaged row is one more row: no member is lost with it.
+    rows = cells.withColumn("cell", py_list(printed)).join(damaged, "l_partkey", "left")
     cut = F.left("cell", F.length("cell") - 2)
-    return cells.withColumn("cell", py_list(printed)).select(
-        film.alias("id"),
-        F.when(F.size("members") > CAST_CELL_MEMBERS, cut).otherwise(F.col("cell")).alias("cast"),
-    )
+    copies = F.when(F.col("damaged"), F.array("cell", cut)).otherwise(F.array("cell"))
+    return rows.select(film.alias("id"), F.explode(copies).alias("cast"))
 
 
 def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,6 +314,31 @@ def raw_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ratings export with texts that are no number, by quantity: ratings of 13, films of 17."""
+    quantity = F.col("l_quantity")
+    film = F.col("l_partkey").cast("string")
+    rating = (F.ceil(quantity / 5) * 0.5).cast("string")
+    return table(spark, sf_dir, "lineitem").select(
+        F.when(quantity == 17, F.concat(F.lit("m"), film)).otherwise(film).alias("movieId"),
+        F.when(quantity == 13, F.concat(rating, F.lit(" stars"))).otherwise(rating).alias("rating"),
+    )
+
+
+def damaged_films(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metadata export with values of a wrong form, by size: popularity of 7, runtime of 9."""
+    films = raw_films(spark, sf_dir)
+    size = F.col("runtime")
+    return films.withColumns(
+        {
+            "popularity": F.when(size == "7", F.concat("popularity", F.lit("x"))).otherwise(
+                F.col("popularity")
+            ),
+            "runtime": F.when(size == "9", "9 min").otherwise(size),
+        }
+    )
+
+
 def poster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Poster locations, one per bare outside id."""
     urls = table(spark, sf_dir, "pages").groupBy("page_id").agg(F.min("url").alias("url"))

@@ -16,7 +16,7 @@ CREDITED = "character string, credit_id string, gender int, id int, name string"
 # Collection columns of the metadata export, and what the batch keeps of them.
 FILM_COLLECTIONS = {
     "genres": ID_NAME,
-    "production_companies": NAMED,
+    "production_companies": ID_NAME,
     "production_countries": NAMED,
     "spoken_languages": NAMED,
 }
@@ -39,9 +39,11 @@ MOVIES = (
     "spoken_languages",
     "status",
 )
+COMPANIES = ("id", "production_companies")
 CREDITS = ("id", "cast")
 KEYWORDS = ("id", "keywords")
 RATINGS = ("movieId", "rating")
+LINKS = ("rating_id", "film_id")
 
 # Scalar film attribute -> (table, name of its key column, type in the model).
 SCALARS = {

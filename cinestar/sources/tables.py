@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,31 +46,27 @@ def overwrite_parquet(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def overwrite_run(frame: DataFrame, path: str, run_columns: Sequence[str]) -> None:
-    """Replace only the partitions that occur in the frame; other runs stay.
+def overwrite_run(frame: DataFrame, path: str, run: Mapping[str, str]) -> str:
+    """Replace one run, named by its partition columns; other runs stay. Returns its folder.
 
-    A frame without rows names no partition and replaces nothing.
+    The partition is named by the caller and not found in the rows, so a run
+    without rows leaves an empty partition and nothing of an earlier run.
     """
-    (
-        frame.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*run_columns)
-        .parquet(path)
-    )
-
+    folder = "/".join([path, *(f"{column}={value}" for column, value in run.items())])
+    frame.drop(*run).write.mode("overwrite").parquet(folder)
+    return folder
 
-def save_run(frame: DataFrame, name: str, path: str, run_columns: Sequence[str]) -> DataFrame:
-    """`overwrite_run` for a partitioned catalog table; returns its scan over all runs.
 
-    The write goes to the folder: `insertInto` takes no partition overwrite mode
-    per write and would replace the whole table.
-    """
+def save_run(frame: DataFrame, name: str, path: str, run: Mapping[str, str]) -> DataFrame:
+    """`overwrite_run` for a partitioned catalog table; returns its scan over all runs."""
     spark = frame.sparkSession
-    overwrite_run(frame, path, run_columns)
+    folder = overwrite_run(frame, path, run)
+    columns = ", ".join([frame.drop(*run).schema.toDDL(), *(f"{column} string" for column in run)])
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({frame.schema.toDDL()}) USING parquet "
-        f"PARTITIONED BY ({', '.join(run_columns)}) LOCATION '{path}'"
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"PARTITIONED BY ({', '.join(run)}) LOCATION '{path}'"
     )
-    spark.catalog.recoverPartitions(name)
+    partition = ", ".join(f"{column} = '{value}'" for column, value in run.items())
+    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition}) LOCATION '{folder}'")
     spark.catalog.refreshTable(name)
     return spark.table(name)

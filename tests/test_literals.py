@@ -104,3 +104,14 @@ def test_printed_lists_come_back(spark, collections):
         for cell in cells
     ]
     assert parse(spark, cells) == expected
+
+
+def test_wide_escapes_become_their_characters(spark):
+    """As Python prints private and unassigned characters beyond the basic plane."""
+    names = ["a\U000f0000b", "\U0010ffff\U000f0000\U000f0000", "back\\slash \\U000f0000", "plain"]
+    cells = [(repr([{"id": k, "name": name}]),) for k, name in enumerate(names)]
+    cells += [("[{'id': 9, 'name': '\\UFFFFFFFF'}]",), ("[{'id': 8, 'name': '\\\\U000f0000'}]",)]
+    assert "\\U" in cells[0][0]
+    frame = spark.createDataFrame(cells, "cell string")
+    parsed = frame.select(parse_literal(F.col("cell"), "id int, name string").alias("e")).collect()
+    assert [row.e and row.e[0].name for row in parsed] == [*names, None, "\\U000f0000"]

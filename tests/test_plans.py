@@ -31,9 +31,26 @@ def test_votes_shuffle_each_side_once(plan):
     assert text.count("Exchange hashpartitioning") == 2 and "partial_avg" in text
 
 
-def test_scalar_and_child_dimensions_need_no_shuffle(plan):
-    for name in ("dim_popularity", "dim_status", "film_keywords", "event_props"):
-        assert "Exchange" not in plan(name), name
+def test_dimensions_shuffle_for_the_choice_of_a_copy_only(plan):
+    for name in ("dim_popularity", "dim_status", "film_keywords"):
+        assert plan(name).count("Exchange hashpartitioning") == 1, name
+    assert "Exchange" not in plan("event_props")
+
+
+def test_star_reads_the_bucketed_table_and_nothing_else(plan):
+    """Parts and line items are read once, when the table is saved; its reassembly shuffles nothing."""
+    text = plan("star_films")
+    assert "Exchange" not in text and "part.parquet" not in text and "lineitem.parquet" not in text
+    for name in ("star_by_genre", "star_by_country", "star_by_language"):
+        assert plan(name).count("Exchange hashpartitioning") == 1, name
+
+
+def test_printed_texts_join_after_the_line_items(plan):
+    """Only keys cross the join of line items and orders."""
+    text = plan("dim_cast")
+    orders = re.search(r"FileScan parquet .*orders\.parquet.*ReadSchema: struct<([^>]*)>", text)
+    assert set(re.findall(r"(\w+):", orders[1])) == {"o_orderkey", "o_custkey", "o_orderstatus"}
+    assert text.index("customer.parquet") > 0 and text.count("lineitem.parquet") == 1
 
 
 def test_top_films_sorts_no_whole_table(plan):

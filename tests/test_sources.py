@@ -66,14 +66,14 @@ def test_rerun_replaces_only_its_own_run(spark, tmp_path):
     path = str(tmp_path / "runs")
 
     def run(day, n):
-        rows = spark.range(n).withColumn("run_date", F.lit(day))
-        tables.overwrite_run(rows, path, ["run_date"])
+        tables.overwrite_run(spark.range(n), path, {"run_date": day})
+        counts = spark.read.parquet(path).groupBy("run_date").count().collect()
+        return {str(r["run_date"]): r["count"] for r in counts}
 
     run("2024-01-01", 3)
     run("2024-01-02", 4)
-    run("2024-01-02", 5)
-    counts = spark.read.parquet(path).groupBy("run_date").count().collect()
-    assert {str(r["run_date"]): r["count"] for r in counts} == {"2024-01-01": 3, "2024-01-02": 5}
+    assert run("2024-01-02", 5) == {"2024-01-01": 3, "2024-01-02": 5}
+    assert run("2024-01-02", 0) == {"2024-01-01": 3}  # a run without rows replaces as well
 
 
 def test_overwrite_parquet_twice(spark, tmp_path):
