@@ -70,6 +70,22 @@ def test_chains_of_near_copies(spark):
     assert Counter(map(tuple, found.collect())) == brute_force([r[:2] for r in rows], 2)
 
 
+def test_many_copies_that_only_their_original_links(spark):
+    """Two copies differ twice as much as either does from the original, whose id is not the smallest."""
+    rng = random.Random(4)
+    original = [f"w{k}" for k in range(300)]
+    rows = [(500, " ".join(original), "en", "s", 1)]
+    for k in range(80):
+        words = list(original)
+        for place in rng.sample(range(300), 14):
+            words[place] = f"x{k}-{place}"
+        rows.append((k, " ".join(words), "en", "s", 1))
+    found = near_duplicates(cases.documents(spark, rows), NearDuplicates(width=2))
+    expected = brute_force([r[:2] for r in rows], 2)
+    assert len({component for _, _, component, _ in expected}) == 1
+    assert Counter(map(tuple, found.collect())) == expected
+
+
 def test_empty_table(spark):
     assert near_duplicates(cases.documents(spark, [])).count() == 0
 
