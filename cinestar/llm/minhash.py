@@ -209,7 +209,7 @@ def near_duplicates(
     buckets = classes.select("doc_id", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     buckets = staged(buckets.join(shared, "bucket"), "buckets")
-    met = buckets.groupBy("doc_id").agg(F.sum("size").alias("met"))
+    met = staged(buckets.groupBy("doc_id").agg(F.sum("size").alias("met")), "met")
     buckets = staged(buckets.drop("size").join(met, "doc_id"), "met-buckets")
 
     links, labels, sets, round_ = None, None, None, 0
@@ -218,13 +218,20 @@ def near_duplicates(
             labelled = buckets.withColumn("component", F.col("doc_id"))
             priority = -F.col("met")
         else:
+            # Only buckets with members of several components go on; they get ever fewer.
             labelled = buckets.join(
                 labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"
             ).withColumn("component", F.coalesce("component", "doc_id"))
+            crossing = labelled.groupBy("bucket").agg(
+                F.min("component").alias("first"), F.max("component").alias("last")
+            )
+            crossing = crossing.where("first <> last").select("bucket")
+            labelled = staged(labelled.join(crossing, "bucket", "semi"), "crossing")
+            buckets = labelled.drop("component")
             priority = F.xxhash64("doc_id", F.lit(round_))  # the same in all buckets
         pairs = staged(_stars(labelled, settings.percent, priority), "pairs")
         if sets is None:
-            wanted = buckets.select("doc_id").distinct()
+            wanted = met.select("doc_id")
             once = rows.join(wanted, "doc_id", "semi").distinct()
             sets = staged(_sets(once, settings), "sets")
         new = staged(_confirm(pairs, sets, settings.percent).distinct(), "links")
