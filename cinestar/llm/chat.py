@@ -196,10 +196,16 @@ def windows(conversations: DataFrame, settings: ChatWindows = ChatWindows()) ->
             F.when(F.col("role") == "system", F.struct(F.col("turn").isNotNull(), "turn", "text"))
         ).alias("system"),
     )
-    rows = rows.join(
-        first.select(F.col("conv_id").alias("c"), "first", F.col("system.turn").alias("s_turn"), F.col("system.text").alias("s_text"), F.col("system").isNotNull().alias("has_system")),
-        F.col("conv_id").eqNullSafe(F.col("c")),
-    ).withColumn("block", F.coalesce("block", "first", F.lit(0)))
+    first = first.select(
+        F.col("conv_id").alias("c"),
+        "first",
+        F.col("system.turn").alias("s_turn"),
+        F.col("system.text").alias("s_text"),
+        F.col("system").isNotNull().alias("has_system"),
+    )
+    rows = rows.join(first, F.col("conv_id").eqNullSafe(F.col("c"))).withColumn(
+        "block", F.coalesce("block", "first", F.lit(0))
+    )
     is_system = (
         F.col("has_system")
         & (F.col("role") == "system")
@@ -207,7 +213,13 @@ def windows(conversations: DataFrame, settings: ChatWindows = ChatWindows()) ->
         & (F.col("text") == F.col("s_text"))
     )
     own = rows.select(
-        "conv_id", "block", F.lit(_OWN).alias("kind"), "turn", "role", "text", is_system.alias("is_system")
+        "conv_id",
+        "block",
+        F.lit(_OWN).alias("kind"),
+        "turn",
+        "role",
+        "text",
+        is_system.alias("is_system"),
     )
     keys = rows.groupBy("conv_id", "block").agg(
         F.first("has_system").alias("has_system"), F.first("s_text").alias("s_text")

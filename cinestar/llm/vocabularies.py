@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import base64
 import importlib
-
 import re
 
 import numpy as np
 
-# The pattern by which the byte-level vocabulary splits a text
-# into words, and the string of its one special token.
+# Fixed value: the string of the byte-level vocabulary's one special token.
 END_OF_TEXT = "<|endoftext|>"
 
 # A space between two characters that are not white space: the byte-level
