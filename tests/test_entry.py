@@ -20,7 +20,14 @@ def test_entry_imports_without_the_subpackage(tmp_path):
     shutil.copy(ROOT / "__spark_entry__.py", tmp_path)
     shutil.copytree(ROOT / "cinestar", tmp_path / "cinestar", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') for k in e.queries()))"
-    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={"PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True)
+    found = subprocess.run(
+        [sys.executable, "-c", code],
+        cwd=tmp_path,
+        env={"PYTHONPATH": str(tmp_path)},
+        capture_output=True,
+        text=True,
+        check=True,
+    )
     from cinestar.plans.registry import QUERIES
 
     assert found.stdout.split() == [str(len(QUERIES)), "False"]
