@@ -42,6 +42,13 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(spaced, " "), "")
 
 
+def slices(batches, rows: int = 500):
+    """Arrow batches cut into small ones, so that Python objects are made for few rows at a time."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, rows):
+            yield batch.slice(k, rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z and nothing else."""
     return F.translate(text, UPPER, LOWER)

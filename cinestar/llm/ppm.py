@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinestar.llm.frames import staged
+from cinestar.llm.frames import slices, staged
 from cinestar.llm.hashing import WordHasher
 
 _U = np.uint64
@@ -54,7 +54,7 @@ class Ppm:
     """Bytes of context; text bytes a block of documents should hold; keys counted at once."""
 
     order: int = 5
-    block_bytes: int = 32_000_000
+    block_bytes: int = 16_000_000
     counted_keys: int = 8_000_000
 
 
@@ -146,7 +146,7 @@ def corpus_counts(rows: DataFrame, settings: Ppm) -> DataFrame:
                     yield from _key_batches(kind, *counts[kind][0])
                     counts[kind] = []
 
-        for batch in batches:
+        for batch in slices(batches, 2000):
             texts = batch.column("text").to_pylist()
             held = batch.column("held_out").to_pylist()
             size += sum(len(t) for t in texts if t)
@@ -198,7 +198,12 @@ def byte_shares(counts: DataFrame, order: int) -> DataFrame:
                 F.when(kinds > 0, F.log10(kinds / (2.0 * total_))).otherwise(0.0) + rest
             )
             below = rows.select(
-                "key", n.alias("n"), total_.alias("total"), kinds.alias("kinds"), share.alias("share"), rest.alias("rest")
+                "key",
+                n.alias("n"),
+                total_.alias("total"),
+                kinds.alias("kinds"),
+                share.alias("share"),
+                rest.alias("rest"),
             )
             below = staged(below, "shares")
             continue
@@ -208,7 +213,11 @@ def byte_shares(counts: DataFrame, order: int) -> DataFrame:
             seen.select("key", "n", context, suffix(F.col("key"), size - 1).alias("short"))
             .join(counted, "short")
             .groupBy("context")
-            .agg(F.sum("n").alias("total"), F.count("*").alias("kinds"), F.sum("short_n").alias("excluded"))
+            .agg(
+                F.sum("n").alias("total"),
+                F.count("*").alias("kinds"),
+                F.sum("short_n").alias("excluded"),
+            )
         )
         shorter = below.select(
             F.col("key").alias("short"),
@@ -245,17 +254,38 @@ def byte_shares(counts: DataFrame, order: int) -> DataFrame:
     return below.select("key", "share")
 
 
+class _Distinct:
+    """Distinct keys of many arrays; what waits to be merged is bounded."""
+
+    def __init__(self, most: int = 1_500_000) -> None:
+        self.waiting: list[np.ndarray] = [np.empty(0, np.int64)]
+        self.size, self.most = 0, most
+
+    def add(self, arrays: list[np.ndarray]) -> None:
+        self.waiting.append(np.unique(np.concatenate(arrays)))
+        self.size += len(self.waiting[-1])
+        if self.size > self.most:
+            self.keys()
+
+    def keys(self) -> np.ndarray:
+        merged = np.unique(np.concatenate(self.waiting))
+        self.waiting, self.size = [merged], 0
+        return merged
+
+
 def _asked_keys(settings: Ppm):
     def run(rows: pa.Table) -> pa.Table:
         reader = _Reader(settings.order)
         block = rows.column("block")[0].as_py()
-        found: dict[int, np.ndarray] = {k: np.empty(0, np.int64) for k in (_WORD, _GRAM)}
+        found = {kind: _Distinct() for kind in (_WORD, _GRAM)}
         for batch in rows.to_batches(max_chunksize=500):
             texts = batch.column("text").to_pylist()
-            for kind, arrays in ((_WORD, reader.words(texts)), (_GRAM, list(map(reader.grams, texts)))):
-                found[kind] = np.unique(np.concatenate((found[kind], np.unique(np.concatenate(arrays)))))
+            found[_WORD].add(reader.words(texts))
+            found[_GRAM].add(list(map(reader.grams, texts)))
+        found = {kind: some.keys() for kind, some in found.items()}
         keys = np.concatenate((found[_WORD], found[_GRAM]))
-        kinds = np.repeat(np.array([_WORD, _GRAM], dtype=np.int32), [len(found[_WORD]), len(found[_GRAM])])
+        sizes = [len(found[_WORD]), len(found[_GRAM])]
+        kinds = np.repeat(np.array([_WORD, _GRAM], dtype=np.int32), sizes)
         blocks = np.full(len(keys), block, dtype=np.int64)
         return pa.table({"block": blocks, "kind": kinds, "key": keys})
 
@@ -320,7 +350,7 @@ def score_documents(
     # As many partitions as any other shuffle has: then a block's answers come to
     # where its texts are, and the one shuffle of the texts serves both.
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = max(parts, -(-found.get(_SIZE, (0, 0))[0] // settings.block_bytes))
+    blocks = max(1, -(-found.get(_SIZE, (0, 0))[0] // settings.block_bytes))
     block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
     dealt = rows.withColumn("block", block).repartition(parts, "block")
     asked = dealt.groupBy("block").applyInArrow(
@@ -329,7 +359,9 @@ def score_documents(
     shares = byte_shares(
         counts.where(F.col("kind") == _GRAM).select("key", "n"), settings.order
     )
-    known = counts.where(F.col("kind") == _WORD).select("kind", "key", F.col("n").cast("double").alias("value"))
+    known = counts.where(F.col("kind") == _WORD).select(
+        "kind", "key", F.col("n").cast("double").alias("value")
+    )
     known = known.union(shares.select(F.lit(_GRAM), "key", "share"))
     answers = asked.join(known, ["kind", "key"], "left").select(
         "block", "kind", "key", F.coalesce("value", F.lit(0.0)).alias("value")
