@@ -14,12 +14,15 @@
    changed in their own way that is their original, which is closer to every
    copy than the copies are to each other. Pairs whose sizes rule the
    similarity out are left out.
-4. Confirmation. A pair is a link if its full sets are similar enough.
+4. Confirmation. A pair is a link if its full sets are similar enough. Before
+   the sets are fetched, a byte of each bin is compared: where both sets are
+   large enough to fill the bins, fewer than `likely` equal bytes are five
+   standard deviations below the limit, and the pair is dropped.
 5. Components of the links. Buckets that hold members of several components
    are starred again around other centres, until a round adds no link: that
    finds what the first centre, too far from both ends of a link, has missed.
-   A round's centres follow one random order of all documents, so the buckets
-   of a group agree on their centre and few pairs are compared.
+   Then each bucket draws its centre for itself: the members of a link share
+   16 buckets and more, so one of them is soon a centre.
 
 With 40 bands of 5 rows two documents at similarity 0.8 share no bucket with a
 probability of 1.3e-7, at 0.85 of 2e-10.
@@ -45,7 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinestar.llm.components import components
-from cinestar.llm.frames import staged
+from cinestar.llm.frames import slices, staged
 from cinestar.llm.hashing import WordHasher, mix, shingles
 from cinestar.session import ensure_checkpoint_dir
 
@@ -54,12 +57,18 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class NearDuplicates:
-    """Words in a shingle; least similarity in percent; bands and rows of the sketch."""
+    """Words in a shingle; least similarity in percent; bands and rows of the sketch.
+
+    From `filled` shingles on, the share of equal bins estimates the similarity
+    well enough to drop pairs below `likely` percent.
+    """
 
     width: int = 5
     percent: int = 80
     bands: int = 40
     rows: int = 5
+    filled: int = 400
+    likely: int = 65
 
 
 class _Sketcher:
@@ -70,8 +79,8 @@ class _Sketcher:
         # For each bin, all bins in the order in which it tries them.
         self.order = np.argsort(mix(each[:, None] * _U(1 << 32) + each[None, :] + _U(1)), axis=1)
 
-    def bands_of(self, values: np.ndarray) -> np.ndarray:
-        """One hash per band for a sorted, non-empty set."""
+    def bands_of(self, values: np.ndarray) -> tuple[np.ndarray, bytes]:
+        """One hash per band, and a byte per bin, for a sorted, non-empty set."""
         places = ((values >> _U(32)) * _U(self.bins) >> _U(32)).astype(np.int64)
         first = np.ones(len(values), dtype=bool)
         first[1:] = places[1:] != places[:-1]
@@ -88,50 +97,82 @@ class _Sketcher:
         out = np.arange(1, self.bands + 1, dtype=_U)
         for k in range(self.rows):
             out = mix(out * _U(3) + table[:, k])
-        return out.view(np.int64)
+        return out.view(np.int64), mix(sketch).astype(np.uint8).tobytes()
 
 
 def sketches(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands) of each row of (doc_id, text)."""
+    """(doc_id, n_shingles, digest, bands, bins) of each row of (doc_id, text)."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, sketcher = WordHasher(), _Sketcher(settings)
-        for batch in batches:
-            counts, digests, bands = [], [], []
+        for batch in slices(batches):
+            counts, digests, bands, bins = [], [], [], []
             for words in hasher.texts(batch.column("text").to_pylist()):
                 found = shingles(words, settings.width)
                 counts.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                bands.append(sketcher.bands_of(found) if len(found) else None)
+                band, each = sketcher.bands_of(found) if len(found) else (None, None)
+                bands.append(band)
+                bins.append(each)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     pa.array(counts, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
+                    pa.array(bins, pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "digest", "bands"],
+                ["doc_id", "n_shingles", "digest", "bands", "bins"],
             )
 
-    schema = f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>"
+    schema = f"doc_id {kind}, n_shingles bigint, digest binary, bands array<bigint>, bins binary"
     return documents.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def _sets(documents: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """(doc_id, values): the whole set of each row, as bytes of sorted 64-bit hashes."""
+    """(doc_id, value): the whole set of each row, as bytes of sorted 64-bit hashes."""
     kind = documents.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = WordHasher()
-        for batch in batches:
+        for batch in slices(batches):
             texts = hasher.texts(batch.column("text").to_pylist())
             values = [shingles(words, settings.width).tobytes() for words in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(values, pa.binary())], ["doc_id", "values"]
+                [batch.column("doc_id"), pa.array(values, pa.binary())], ["doc_id", "value"]
+            )
+
+    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, value binary")
+
+
+def _both(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the value of either end: `left`, `right`."""
+    for end, name in (("b", "right"), ("a", "left")):
+        side = values.select(F.col("doc_id").alias(end), F.col("value").alias(name))
+        pairs = pairs.join(side, end)
+    return pairs
+
+
+def _likely(pairs: DataFrame, bins: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """The pairs (a, b, n) that their bins do not rule out; n is the size of the smaller set."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    least = settings.likely * settings.bands * settings.rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            left, right = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(
+                    batch.num_rows, -1
+                )
+                for c in ("left", "right")
             )
+            small = batch.column("n").to_numpy() < settings.filled
+            keep = small | (100 * np.count_nonzero(left == right, axis=1) >= least)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, values binary")
+    joined = _both(pairs, bins).select("a", "b", "n", "left", "right")
+    return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -139,7 +180,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     kind = pairs.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
                 one = np.frombuffer(left.as_buffer(), dtype=_U)
@@ -150,13 +191,12 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * shared >= percent * (len(both) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("values").alias("right")), "b")
-    joined = joined.join(sets.select(F.col("doc_id").alias("a"), F.col("values").alias("left")), "a")
-    return joined.select("a", "b", "left", "right").mapInArrow(run, f"a {kind}, b {kind}")
+    joined = _both(pairs, sets).select("a", "b", "left", "right")
+    return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _stars(buckets: DataFrame, percent: int, priority) -> DataFrame:
-    """Distinct pairs (a, b): each bucket's first member by `priority` with the others.
+    """Distinct pairs (a, b, n): each bucket's first member by `priority` with the others.
 
     `buckets` holds (bucket, doc_id, n, component); members of the centre's own
     component need no pair.
@@ -172,7 +212,11 @@ def _stars(buckets: DataFrame, percent: int, priority) -> DataFrame:
     fits = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
     return (
         pairs.where(fits)
-        .select(F.least("doc_id", "c.doc_id").alias("a"), F.greatest("doc_id", "c.doc_id").alias("b"))
+        .select(
+            F.least("doc_id", "c.doc_id").alias("a"),
+            F.greatest("doc_id", "c.doc_id").alias("b"),
+            F.least("n", "c.n").alias("n"),
+        )
         .distinct()
     )
 
@@ -193,6 +237,7 @@ def near_duplicates(
             F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
+            F.first("bins").alias("value"),
             F.count("*").alias("copies"),
         ),
         "copies",
@@ -228,13 +273,14 @@ def near_duplicates(
             crossing = crossing.where("first <> last").select("bucket")
             labelled = staged(labelled.join(crossing, "bucket", "semi"), "crossing")
             buckets = labelled.drop("component")
-            priority = F.xxhash64("doc_id", F.lit(round_))  # the same in all buckets
+            priority = F.xxhash64("bucket", "doc_id", F.lit(round_))
         pairs = staged(_stars(labelled, settings.percent, priority), "pairs")
+        pairs = _likely(pairs, classes.select("doc_id", "value"), settings)
         if sets is None:
             wanted = met.select("doc_id")
             once = rows.join(wanted, "doc_id", "semi").distinct()
             sets = staged(_sets(once, settings), "sets")
-        new = staged(_confirm(pairs, sets, settings.percent).distinct(), "links")
+        new = staged(_confirm(pairs, sets, settings.percent), "links")
         if links is not None and new.isEmpty():
             break
         links = (bridges if links is None else links).union(new)
