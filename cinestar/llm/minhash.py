@@ -60,7 +60,8 @@ class NearDuplicates:
     """Words in a shingle; least similarity in percent; bands and rows of the sketch.
 
     From `filled` shingles on, the share of equal bins estimates the similarity
-    well enough to drop pairs below `likely` percent.
+    well enough to drop pairs below `likely` percent. `block` members of a bucket
+    are compared with as many others in one place.
     """
 
     width: int = 5
@@ -69,6 +70,7 @@ class NearDuplicates:
     rows: int = 5
     filled: int = 400
     likely: int = 65
+    block: int = 256
 
 
 class _Sketcher:
@@ -221,6 +223,57 @@ def _stars(buckets: DataFrame, percent: int, priority) -> DataFrame:
     )
 
 
+def _across(labelled: DataFrame, bins: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """Distinct pairs (a, b) of all members of a bucket in two components that may be links.
+
+    `labelled` holds (bucket, doc_id, n, component).
+    """
+    kind = labelled.schema["doc_id"].dataType.simpleString()
+    least = settings.likely * settings.bands * settings.rows
+    sizes = labelled.groupBy("bucket").agg(F.ceil(F.count("*") / settings.block).alias("blocks"))
+    members = labelled.select("bucket", "doc_id", "n", "component").join(sizes, "bucket")
+    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")).join(bins, "doc_id")
+    # A cell is two blocks of a bucket, or one with itself.
+    cells = (
+        members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .groupBy("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .agg(
+            F.collect_list(
+                F.struct("doc_id", "n", F.xxhash64("component").alias("component"), "block", "value")
+            ).alias("members")
+        )
+        .select(F.col("low") == F.col("high"), "members")
+        .toDF("same", "members")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 50):
+            lists = batch.column("members")
+            flat, counts = lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
+            ids, values = flat.field("doc_id"), flat.field("value")
+            n, component, block = (flat.field(c).to_numpy() for c in ("n", "component", "block"))
+            value = np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8).reshape(len(flat), -1)
+            start = np.cumsum(counts) - counts
+            for at, count, same in zip(start, counts, batch.column("same").to_pylist(), strict=True):
+                for one in range(at, at + count - 1):
+                    two = np.arange(one + 1, at + count)
+                    small, large = np.minimum(n[one], n[two]), np.maximum(n[one], n[two])
+                    fits = (component[two] != component[one]) & (100 * small >= settings.percent * large)
+                    if not same:
+                        fits &= block[two] != block[one]
+                    two, small = two[fits], small[fits]
+                    if not len(two):
+                        continue
+                    equal = np.count_nonzero(value[two] == value[one], axis=1)
+                    two = two[(small < settings.filled) | (100 * equal >= least)]
+                    if len(two):
+                        left = ids.take(pa.array(np.full(len(two), one)))
+                        yield pa.RecordBatch.from_arrays([left, ids.take(pa.array(two))], ["a", "b"])
+
+    pairs = cells.mapInArrow(run, f"a {kind}, b {kind}")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(
     documents: DataFrame,
     settings: NearDuplicates = NearDuplicates(),
@@ -286,6 +339,10 @@ def near_duplicates(
         links = (bridges if links is None else links).union(new)
         labels = components(links)
         round_ += 1
+    rest = staged(_across(labelled, classes.select("doc_id", "value"), settings), "rest")
+    new = staged(_confirm(rest, sets, settings.percent), "last-links")
+    if not new.isEmpty():
+        labels = components(links.union(new))
     return _result(sketched, members, labels)
 
 

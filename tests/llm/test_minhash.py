@@ -86,6 +86,45 @@ def test_many_copies_that_only_their_original_links(spark):
     assert Counter(map(tuple, found.collect())) == expected
 
 
+def edits(seed, copies):
+    """Edits of one text, most of them too far from each other for a link, few near."""
+    rng = random.Random(seed)
+    original = [f"w{k}" for k in range(200)]
+    rows = []
+    for k in range(copies):
+        made = list(original)
+        for place in rng.sample(range(200), rng.randint(6, 13)):
+            made[place] = f"x{rng.randrange(12)}"
+        rows.append((k, " ".join(made), "en", "s", 1))
+    return rows
+
+
+def components_by_matrix(rows, width, percent=80):
+    """Components of the documents, all pairs compared by a product of their incidence matrices."""
+    sets = [s for (s,) in sets_of([r[:2] for r in rows], width).values()]
+    places = {g: k for k, g in enumerate(set().union(*sets))}
+    held = np.zeros((len(sets), len(places)), dtype=np.float32)
+    for k, some in enumerate(sets):
+        held[k, [places[g] for g in some]] = 1
+    shared, sizes = held @ held.T, held.sum(axis=1)
+    linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+    label = np.arange(len(sets))
+    while True:
+        low = np.where(linked, label[None, :], len(sets)).min(axis=1)
+        if (low == label).all():
+            return label
+        label = low
+
+
+def test_large_buckets_of_distant_edits(spark):
+    """Rounds of stars that add no link leave links behind where most edits are no link's end."""
+    rows = edits(11, 1100)
+    found = near_duplicates(cases.documents(spark, rows), NearDuplicates(width=2, block=100))
+    label = components_by_matrix(rows, 2)
+    assert 100 < len(set(label)) < 1100
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(label))
+
+
 def test_empty_table(spark):
     assert near_duplicates(cases.documents(spark, [])).count() == 0
 
