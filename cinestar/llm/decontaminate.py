@@ -12,14 +12,19 @@ for equal values in the document. So a question with other numbers and names is
 caught, and text that merely has the same shape twice with clashing values is
 not. An item is leaked if its document holds `min_coverage` of its windows.
 
+Capitals make names, so a copy in capitals, in title case or in lower case has
+other templates than its item. Each item is therefore also looked up by its
+plain windows: `width` case-folded words, without placeholders and without a
+least number of literals. The better coverage of the two counts; one by plain
+windows is verbatim.
+
 The windows of the benchmark are the stated query set. It is worked off in
 blocks of at most `block_windows` windows (an item longer than that is a block
 of its own) that are broadcast, each against all documents where they lie: no
 text is shuffled, and a benchmark of any size is covered, in more blocks.
 
 Defined results: a null or empty text leaks nothing; an item without text, or
-with fewer than `width` tokens or no window of enough literals, is never found;
-copies of an item are found each; repeated rows are judged one by one; an empty
+with fewer than `width` tokens, is never found; copies of an item are found each; repeated rows are judged one by one; an empty
 benchmark or table finds nothing. Columns named like a result are replaced.
 """
 
@@ -76,11 +81,25 @@ class Templates:
     def _words(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per word with a letter or digit: hash, has a digit, has a capital, opens a sentence."""
         raw = np.frombuffer(data, dtype=np.uint8)
-        two = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)
-        folded = raw.copy()
-        folded[1:][two] += 0x20  # capitals of Latin-1 in UTF-8
-        if len(raw) > len(self.hasher.up):
-            self.hasher._grow(2 * len(raw))
+        two = (raw[:-1] == 0xC3) & (raw[1:] >= 0x80) & (raw[1:] <= 0x9E)  # capitals of Latin-1
+        starts, ends, first, last = self._edges(raw)
+        # Folding changes no white space and leaves letters letters: the words stay the same.
+        if data.isascii():
+            hashes = self._hashes(raw, first, last)
+        else:
+            folded = np.frombuffer(data.decode().casefold().encode(), dtype=np.uint8)
+            hashes = self._hashes(folded, *self._edges(folded)[2:])
+        digits = np.concatenate(([0], np.cumsum(self.digit[raw])))
+        capital = self.capital[raw[first]]
+        wide = first < len(raw) - 1
+        capital[wide] |= two[first[wide]]
+        opens = np.ones(len(starts), dtype=bool)
+        lines = np.concatenate(([0], np.cumsum(raw == 10)))
+        opens[1:] = self.ends[raw[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
+        return hashes, digits[last + 1] > digits[first], capital, opens
+
+    def _edges(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Per word with a letter or digit: start, end, its first and last letter or digit."""
         word = ~self.hasher.space[raw]
         edge = np.flatnonzero(np.diff(np.concatenate(([False], word, [False])).astype(np.int8)))
         starts, ends = edge[::2], edge[1::2]
@@ -88,19 +107,15 @@ class Templates:
         low, high = np.searchsorted(inner, starts), np.searchsorted(inner, ends)
         some = low < high
         starts, ends, low, high = starts[some], ends[some], low[some], high[some]
-        first, last = inner[low], inner[high - 1]
+        return starts, ends, inner[low], inner[high - 1]
+
+    def _hashes(self, raw: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        if len(raw) > len(self.hasher.up):
+            self.hasher._grow(2 * len(raw))
         sums = np.concatenate(
-            (np.zeros(1, _U), np.cumsum(self.hasher.value[folded] * self.hasher.up[: len(raw)]))
+            (np.zeros(1, _U), np.cumsum(self.hasher.value[raw] * self.hasher.up[: len(raw)]))
         )
-        hashes = mix((sums[last + 1] - sums[first]) * self.hasher.down[first])
-        digits = np.concatenate(([0], np.cumsum(self.digit[raw])))
-        capital = self.capital[raw[first]]
-        wide = first < len(raw) - 1
-        capital[wide] |= two[first[wide]]
-        opens = np.ones(len(starts), dtype=bool)
-        lines = np.concatenate(([0], np.cumsum(raw == 10)))
-        opens[1:] = self.ends[raw[ends[:-1] - 1]] | (lines[starts[1:]] > lines[ends[:-1]])
-        return hashes, digits[last + 1] > digits[first], capital, opens
+        return mix((sums[last + 1] - sums[first]) * self.hasher.down[first])
 
     def tokens(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(template hash, is a placeholder, value hash) of each token."""
@@ -131,16 +146,46 @@ class Templates:
     def windows(self, template: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, hash) of the windows with enough literals."""
         width = self.settings.width
-        n = len(template) - width + 1
-        if n <= 0:
-            return np.empty(0, np.int64), np.empty(0, _U)
-        out = template[:n].copy()
-        for k in range(1, width):
-            out = mix(out * _U(3) + template[k : k + n])
+        out = self.plain(template)
+        if not len(out):
+            return np.empty(0, np.int64), out
         slots = np.concatenate(([0], np.cumsum(slot)))
         places = np.flatnonzero(width - (slots[width:] - slots[:-width]) >= self.settings.min_literals)
         return places, out[places]
 
+    def plain(self, values: np.ndarray) -> np.ndarray:
+        """The hash of each window."""
+        width = self.settings.width
+        n = len(values) - width + 1
+        if n <= 0:
+            return np.empty(0, _U)
+        out = values[:n].copy()
+        for k in range(1, width):
+            out = mix(out * _U(3) + values[k : k + n])
+        return out
+
+
+class _Index:
+    """The plain windows of some items: hashes in order, and the items that hold them."""
+
+    def __init__(self, windows: list[np.ndarray]) -> None:
+        self.sizes = [len(w) for w in windows]
+        self.hashes = np.concatenate([np.empty(0, _U), *windows])
+        order = np.argsort(self.hashes, kind="stable")
+        self.hashes = self.hashes[order]
+        self.owners = np.repeat(np.arange(len(windows)), self.sizes)[order]
+        self.filter = np.zeros(1 << _BITS, dtype=bool)
+        self.filter[(self.hashes >> _U(64 - _BITS)).astype(np.int64)] = True
+
+    def coverage(self, hashed: np.ndarray) -> dict[int, float]:
+        """Per item, the share of its windows that are among these."""
+        hashed = np.unique(hashed[self.filter[(hashed >> _U(64 - _BITS)).astype(np.int64)]])
+        low = np.searchsorted(self.hashes, hashed, side="left")
+        times = np.searchsorted(self.hashes, hashed, side="right") - low
+        at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+        owners, held = np.unique(self.owners[at], return_counts=True)
+        return {int(k): int(n) / self.sizes[k] for k, n in zip(owners, held, strict=True)}
+
 
 class QueryBlock:
     """The windows of some items, sorted by hash, with the items' slot values."""
@@ -148,12 +193,14 @@ class QueryBlock:
     def __init__(self, items: list[tuple], settings: Decontamination) -> None:
         templates = Templates(settings)
         self.settings, self.ids, self.sizes, self.values, self.slots = settings, [], [], [], []
-        hashes, owners, places = [], [], []
+        hashes, owners, places, plain = [], [], [], []
         for item_id, text in items:
             template, slot, value = templates.tokens(text or "")
-            place, hashed = templates.windows(template, slot)
-            if not len(place):
+            whole = np.unique(templates.plain(value))
+            if not len(whole):
                 continue
+            place, hashed = templates.windows(template, slot)
+            plain.append(whole)
             owners.append(np.full(len(place), len(self.ids)))
             hashes.append(hashed)
             places.append(place)
@@ -161,6 +208,7 @@ class QueryBlock:
             self.sizes.append(len(np.unique(hashed)))
             self.values.append(value)
             self.slots.append(slot)
+        self.plain = _Index(plain)
         self.hashes = np.concatenate([np.empty(0, _U), *hashes])
         order = np.argsort(self.hashes, kind="stable")
         self.hashes = self.hashes[order]
@@ -172,26 +220,40 @@ class QueryBlock:
     def leaks(self, templates: Templates, text: str) -> list[dict]:
         """The items that the text holds."""
         template, slot, value = templates.tokens(text)
+        least = self.settings.min_coverage
+        found = self._by_template(templates, template, slot, value)
+        for k, coverage in self.plain.coverage(templates.plain(value)).items():
+            if coverage >= least:
+                found[k] = (max(coverage, found.get(k, (0.0, True))[0]), True)
+        return [
+            {"item_id": self.ids[k], "coverage": coverage, "verbatim": verbatim}
+            for k, (coverage, verbatim) in sorted(found.items())
+        ]
+
+    def _by_template(self, templates: Templates, template, slot, value) -> dict[int, tuple[float, bool]]:
         place, hashed = templates.windows(template, slot)
         maybe = self.filter[(hashed >> _U(64 - _BITS)).astype(np.int64)]
         place, hashed = place[maybe], hashed[maybe]
         low = np.searchsorted(self.hashes, hashed, side="left")
         times = np.searchsorted(self.hashes, hashed, side="right") - low
         if not times.any():
-            return []
+            return {}
         # One row per window of the text and equal window of an item.
         here = np.repeat(place, times)
         at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
         owner, there, hashes = self.owners[at], self.places[at], self.hashes[at]
-        found = []
+        found = {}
         for k in np.unique(owner):
             own = owner == k
-            found += self._item(int(k), here[own], there[own], hashes[own], value)
+            item = self._item(int(k), here[own], there[own], hashes[own], value)
+            if item:
+                found[int(k)] = item
         return found
 
-    def _item(self, k: int, here, there, hashes, value) -> Iterator[dict]:
+    def _item(self, k: int, here, there, hashes, value) -> tuple[float, bool] | None:
+        """Coverage by consistent readings, if it is enough, and whether exact ones suffice."""
         if len(np.unique(hashes)) < self.settings.min_coverage * self.sizes[k]:
-            return
+            return None
         held, exact = [], []
         diagonal = here - there
         for d in np.unique(diagonal):
@@ -207,8 +269,7 @@ class QueryBlock:
             len(np.unique(np.concatenate(x))) / self.sizes[k] if x else 0.0 for x in (held, exact)
         )
         least = self.settings.min_coverage
-        if coverage >= least:
-            yield {"item_id": self.ids[k], "coverage": coverage, "verbatim": verbatim >= least}
+        return (coverage, verbatim >= least) if coverage >= least else None
 
 
 def query_blocks(

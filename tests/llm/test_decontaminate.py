@@ -38,6 +38,18 @@ def test_templates(spark):
     }
 
 
+def test_copies_in_other_case(spark):
+    """Capitals make names: a copy in other capitals has other templates, but the same words."""
+    street = "Auf der großen Straße fährt Ärztin Zoë um 9 Uhr nach Ελλάδα und Élise folgt ihr später"
+    names = "Anna Bruno 12 Clara Diego 15 Elena Fabio 18"
+    items = [(1, ITEM), (2, street), (3, names)]
+    copies = [case(item) for _, item in items for case in (str.upper, str.title, str.lower)]
+    found = leaks_of(spark, [*copies, names, "Anna Bruno 13 Clara Diego 16"], items)
+    assert found == {
+        **{k: {(k // 3 + 1, True)} for k in range(9)}, 9: {(3, True)}, 10: set(),
+    }
+
+
 def brute_force(text: str, items) -> set[int]:
     """Items of plain lower-case words of which the text holds 80 % of the windows."""
     def windows(body):
