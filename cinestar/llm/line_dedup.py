@@ -13,9 +13,14 @@ n / max_ratio such lines, whatever p is. They reach the pages as one array per
 host through a join on the host; Spark broadcasts that side if its file is
 small, otherwise it splits the rows of a hot host.
 
+With `distinct_pages` the pages of a host are its distinct texts, each counted
+once however often it is copied: the lines of a copied article are no
+boilerplate. A 128-bit digest of the text tells pages apart; a line is then
+shuffled once per page and task, and counted by its whole key as before.
+
 Defined results: a null text stays null and an empty one empty, a row without
 host is no page of any host and stays as it is; repeated rows are pages of
-their own; a text all of whose lines are dropped becomes empty; an empty table
+their own, but for `distinct_pages`; a text all of whose lines are dropped becomes empty; an empty table
 gives no rows. Columns named like a result are replaced, others kept.
 """
 
@@ -33,6 +38,7 @@ from cinestar.llm.frames import SPACES, fresh, staged
 class Boilerplate:
     max_ratio: float = 0.02
     min_pages: int = 10
+    distinct_pages: bool = False
 
 
 def lines_of(text: Column) -> Column:
@@ -50,8 +56,18 @@ def boilerplate_lines(
     rows = pages.where(F.col(host).isNotNull()).select(
         F.col(host).alias("host"), F.col(text).alias("text")
     )
+    digest = F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+    rows = rows.withColumn("page", digest) if settings.distinct_pages else rows
+    page = ["page"] if settings.distinct_pages else []
     distinct = F.array_distinct(F.filter(lines_of(F.col("text")), has_word))
-    sizes = rows.groupBy("host").agg(F.count("*").alias("pages"))
+
+    def count_pages(found: DataFrame, keys: list[str], name: str) -> DataFrame:
+        found = found.select(*keys, *page)
+        if settings.distinct_pages:
+            found = found.distinct()
+        return found.groupBy(*keys).agg(F.count("*").alias(name))
+
+    sizes = count_pages(rows, ["host"], "pages")
 
     def frequent(counts: DataFrame) -> DataFrame:
         often = (F.col("on_pages") > settings.max_ratio * F.col("pages")) & (
@@ -59,12 +75,12 @@ def boilerplate_lines(
         )
         return counts.join(sizes, "host").where(often)
 
-    hashed = rows.select("host", F.explode(F.transform(distinct, lambda line: F.xxhash64(line))).alias("hash"))
-    hashes = frequent(hashed.groupBy("host", "hash").agg(F.count("*").alias("on_pages")))
+    hashed = F.explode(F.transform(distinct, lambda line: F.xxhash64(line))).alias("hash")
+    hashes = frequent(count_pages(rows.select("host", *page, hashed), ["host", "hash"], "on_pages"))
     hashes = staged(hashes.select("host", "hash"), "line-hashes")
-    lines = rows.select("host", F.explode(distinct).alias("line"))
+    lines = rows.select("host", *page, F.explode(distinct).alias("line"))
     lines = lines.withColumn("hash", F.xxhash64("line")).join(hashes, ["host", "hash"], "semi")
-    counted = lines.groupBy("host", "line").agg(F.count("*").alias("on_pages"))
+    counted = count_pages(lines, ["host", "line"], "on_pages")
     return frequent(counted).groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 

@@ -20,8 +20,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the boilerplate lines of their source."""
-    cleaned = line_dedup.drop_boilerplate(docs)
+    """All documents, without the boilerplate lines of their source.
+
+    Copies are still among them, so a text counts once however often it occurs:
+    else a much copied article would lose all its lines in every copy.
+    """
+    cleaned = line_dedup.drop_boilerplate(docs, line_dedup.Boilerplate(distinct_pages=True))
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

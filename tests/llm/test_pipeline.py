@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import pytest
@@ -80,3 +81,16 @@ def test_awkward_rows(spark, name):
     if name == "decontamination":
         assert left == rows
     assert STAGES[name](spark, cases.documents(spark, []), SF).count() == 0
+
+
+def test_much_copied_article_stays_once(spark):
+    """Copies on more than 2 % of a source's pages keep their lines, a footer goes, one copy is kept."""
+    rng = random.Random(12)
+    article = cases.prose(rng)
+    rows = [(k, f"{article}\nRead more", "en", "s", 1) for k in range(40)]
+    rows += [(100 + k, f"{cases.prose(rng)}\nRead more", "en", "s", 1) for k in range(60)]
+    cleaned = staged(STAGES["line_dedup"](spark, cases.documents(spark, rows), SF), "cleaned")
+    texts = {r.doc_id: r.text for r in cleaned.collect()}
+    assert texts == {k: text.removesuffix("\nRead more") for k, text, *_ in rows}
+    kept = STAGES["near_duplicates"](spark, cleaned, SF)
+    assert ids(kept) == [0, *range(100, 160)]
