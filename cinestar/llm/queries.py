@@ -12,6 +12,7 @@ from cinestar.llm import (
     line_dedup,
     minhash,
     packing,
+    passages,
     ppm,
     quality,
     token_count,
@@ -112,6 +113,11 @@ def op10_url_filter(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_passages(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document without the bytes under passages that occur before."""
+    return passages.repeats_report(passages.remove_repeats(table(spark, sf, "documents")))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -123,4 +129,5 @@ QUERIES = {
     "op8_ppm": op8_ppm,
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
+    "op11_passages": op11_passages,
 }

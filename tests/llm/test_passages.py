@@ -1,0 +1,108 @@
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from cinestar.llm.passages import RepeatedPassages, remove_repeats, repeats_report
+from cinestar.llm.suffixes import share_prefix, smaller_than_successor, suffix_order
+from tests.llm import cases
+
+SMALL = RepeatedPassages(length=20, gram=6, crowded=3, block_bytes=3_000, task_bytes=20_000, bits_per_key=2)
+
+
+def brute(rows, length):
+    """(doc_id, n_bytes, n_removed, n_spans, kept) of each row, by a set of all strings met."""
+    out, met = Counter(), set()
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    for doc_id, text in order:
+        data = (text or "").encode()
+        gone = np.zeros(len(data) + 1, dtype=bool)
+        for k in range(len(data) - length + 1):
+            window = data[k : k + length]
+            if window in met:
+                gone[k : k + length] = True
+            met.add(window)
+        kept = bytes(b for b, g in zip(data, gone, strict=False) if not g)
+        spans = int(np.count_nonzero(gone[1:] & ~gone[:-1]) + gone[0])
+        out[doc_id, len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest()] += 1
+    return out
+
+
+def ours(spark, rows, settings, parts=4):
+    frame = cases.documents(spark, [(*r, "en", "s", 1) for r in rows], parts)
+    report = repeats_report(remove_repeats(frame, settings), settings)
+    return Counter(tuple(r) for r in report.collect())
+
+
+def one_row_per_id(rows):
+    """Of an id's different texts, one: the order among them is a hash's."""
+    by_id = {}
+    for doc_id, text in rows:
+        by_id.setdefault(doc_id, text)
+    return [(d, t) for d, t in rows if by_id[d] == t]
+
+
+@pytest.mark.parametrize("depth", [1, 7, 8, 20, 100])
+def test_suffix_order_equals_sorting(depth):
+    rng = np.random.default_rng(depth)
+    for _ in range(60):
+        text = (rng.integers(0, rng.integers(1, 5), rng.integers(1, 300)) + rng.choice([0, 97, 250])).astype(np.uint8)
+        wanted = rng.random(len(text)) < rng.choice([0.2, 1.0])
+        data = text.tobytes()
+        order = suffix_order(text, wanted, depth)
+        assert sorted(order) == list(np.flatnonzero(wanted))
+        strings = [data[k : k + depth] for k in order]
+        assert strings == sorted(strings)
+        assert list(smaller_than_successor(text)) == [data[k:] < data[k + 1 :] for k in range(len(data))]
+        long = suffix_order(text, wanted & (np.arange(len(text)) <= len(text) - depth), depth)
+        equal = [data[a : a + depth] == data[b : b + depth] for a, b in zip(long[:-1], long[1:], strict=True)]
+        assert list(share_prefix(text, long, depth)) == equal
+
+
+def test_equals_brute_force(spark):
+    rows = one_row_per_id([r[:2] for r in cases.rows()])
+    for settings in (SMALL, RepeatedPassages()):
+        assert ours(spark, rows, settings) == brute(rows, settings.length)
+
+
+def test_periods_ties_and_common_phrases(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choices("abcdé", k=rng.randint(1, 6)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+    phrase, passage = "common words ", "this passage is shared by very many documents. "
+    rows = [(k, prose(30) + phrase + prose(20) + (passage if k % 3 else "") + prose(9)) for k in range(300)]
+    rows += [
+        (1000, "x" * 5000),
+        (1001, "x" * 19),
+        (1002, "x" * 20),
+        (1003, "abcabcabc" * 40),
+        (1004, "abcabcabd" * 40),
+        (1005, "é" * 30),
+        (1006, None),
+        (1007, ""),
+        (-5, rows[7][1]),
+        (None, rows[9][1]),
+        (None, rows[9][1]),
+        (3, rows[3][1]),
+        (2000, rows[11][1] * 3),
+    ]
+    rng.shuffle(rows)
+    assert ours(spark, rows, SMALL, parts=7) == brute(rows, 20)
+    # All keys crowded: only whole windows meet.
+    alone = RepeatedPassages(length=20, gram=6, crowded=0, block_bytes=500, task_bytes=5_000, bits_per_key=1)
+    assert ours(spark, rows, alone, parts=3) == brute(rows, 20)
+
+
+def test_a_text_longer_than_a_chunk(spark):
+    rng = random.Random(4)
+    long = "".join(rng.choices("abcdefgh \n", k=700_000))
+    rows = [(1, long + long[300_000:300_500]), (2, "start " + long[100:600_000]), (3, long[650_000:650_099])]
+    assert ours(spark, rows, RepeatedPassages()) == brute(rows, 100)
+
+
+def test_empty_table(spark):
+    assert ours(spark, [], RepeatedPassages()) == Counter()
