@@ -28,6 +28,17 @@ def staged(frame: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> D
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Remove the folders of staged tables that nothing reads any more."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {file.rpartition("/")[0] for file in frame.inputFiles()}:
+            # Only hand-off tables: the paths that `scratch_path` gives.
+            if folder.rpartition("/")[0].endswith("/cinestar"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh(frame: DataFrame, name: str) -> str:
     """`name`, or `name` with underscores, such that the frame has no such column."""
     taken = {column.lower() for column in frame.columns}

@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinestar.llm.frames import staged
+from cinestar.llm.frames import discard, staged
 from cinestar.llm.hashing import mix
 from cinestar.llm.suffixes import share_prefix, suffix_order
 
@@ -58,8 +58,8 @@ _BITMAP_ROW = 1 << 15  # bits in a row of Spark's bitmap aggregate
 class RepeatedPassages:
     """Bytes of a passage and of a hashed gram; pieces of a key that is split.
 
-    `crowded` grows to a millionth of all pieces, so that the keys that are split
-    are a million at most. `block_bytes` are ordered at once, `task_bytes` dealt
+    `crowded` grows to a millionth of the pieces whose key is repeated, so that the
+    keys that are split are a million at most. `block_bytes` are ordered at once, `task_bytes` dealt
     to a task. The bitmap has `bits_per_key` bits for each repeated key, up to
     `most_bits`: beyond, more pieces pass it.
     """
@@ -506,16 +506,17 @@ def remove_repeats(
     rows = documents.select(
         F.col(key).cast("bigint").alias("doc_id"), F.xxhash64(text_).alias("tie"), text_.alias("text")
     )
-    counts = staged(key_counts(rows, settings), "keys")
-    # Three numbers come to the driver, then the keys that are split, a million at most.
-    total, n_repeated = counts.agg(F.sum("n"), F.count(F.when(F.col("n") > 1, 1))).first()
+    repeated = staged(key_counts(rows, settings).where("n > 1"), "keys")
+    # Two numbers come to the driver, then the keys that are split, a million at most.
+    total, n_repeated = repeated.agg(F.sum("n"), F.count("*")).first()
     crowd = max(settings.crowded, (total or 0) // 1_000_000)
-    split = counts.where(F.col("n") > crowd).select("key").toPandas()["key"].to_numpy(dtype=np.int64)
+    split = repeated.where(F.col("n") > crowd).select("key").toPandas()["key"].to_numpy(dtype=np.int64)
     crowded = spark.sparkContext.broadcast(np.sort(split.view(_U)).tobytes())
     bits = _BITMAP_ROW
     while bits < min(settings.bits_per_key * n_repeated, settings.most_bits):
         bits *= 2
-    bitmap = _bitmap(counts.where("n > 1").select("key"), bits)
+    bitmap = _bitmap(repeated.select("key"), bits)
+    discard(repeated)
 
     found = staged(candidates(rows, bitmap, crowded, settings), "candidates")
     size = found.agg(F.sum(F.when(F.col("text").isNotNull(), F.col("size")))).first()[0] or 0
