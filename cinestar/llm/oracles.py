@@ -149,8 +149,32 @@ SELECT page_id, host, path, rule,
          / (seen + {_URLS.strength} + 1)) > {_URLS.max_bad} THEN 'block' ELSE 'allow' END) AS verdict
 FROM split LEFT JOIN ruled USING (place) LEFT JOIN best USING (place)"""
 
+_TERMS = (
+    "unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+    "'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'))"
+)
+LEXICAL = f"""
+WITH words AS (SELECT doc_id, {_TERMS} AS term FROM {{documents}}),
+postings AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY doc_id, term),
+lengths AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM postings GROUP BY doc_id),
+totals AS (SELECT count(*) AS all_n, sum(n)::BIGINT AS l FROM lengths),
+sized AS (SELECT doc_id, 100 - 50 + ((50 * n * all_n) // l) AS m FROM lengths, totals),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * all_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+  FROM postings, totals GROUP BY term, all_n),
+asked AS (SELECT DISTINCT item_id, {_TERMS} AS term FROM benchmark),
+scored AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sized USING (doc_id)
+  GROUP BY item_id, doc_id)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+  FROM scored WHERE score > 0)
+WHERE rank <= 50"""
+
 ORACLES = {
     "op1_line_dedup": LINE_DEDUP.replace("{documents}", "documents"),
     "op9_quality": QUALITY.replace("{documents}", "documents"),
     "op10_url_filter": URL_FILTER,
+    "op12_lexical": LEXICAL.replace("{documents}", "documents"),
 }

@@ -9,12 +9,14 @@ from cinestar.llm import (
     chat,
     decontaminate,
     html_extract,
+    lexical_search,
     line_dedup,
     minhash,
     packing,
     passages,
     ppm,
     quality,
+    spelling,
     token_count,
     url_filter,
 )
@@ -118,6 +120,17 @@ def op11_passages(spark: SparkSession, sf: str) -> DataFrame:
     return passages.repeats_report(passages.remove_repeats(table(spark, sf, "documents")))
 
 
+def op12_lexical(spark: SparkSession, sf: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    found = lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.withColumnRenamed("item", "item_id")
+
+
+def op13_spelling(spark: SparkSession, sf: str) -> DataFrame:
+    """Every word with its spelling variants' form and root."""
+    return spelling.spelling_groups(table(spark, sf, "documents"))
+
+
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_packing": op2_packing,
@@ -130,4 +143,6 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_url_filter": op10_url_filter,
     "op11_passages": op11_passages,
+    "op12_lexical": op12_lexical,
+    "op13_spelling": op13_spelling,
 }
