@@ -18,11 +18,14 @@
    the sets are fetched, a byte of each bin is compared: where both sets are
    large enough to fill the bins, fewer than `likely` equal bytes are five
    standard deviations below the limit, and the pair is dropped.
-5. Components of the links. Buckets that hold members of several components
-   are starred again around other centres, until a round adds no link: that
-   finds what the first centre, too far from both ends of a link, has missed.
-   Then each bucket draws its centre for itself: the members of a link share
-   16 buckets and more, so one of them is soon a centre.
+5. Components of the links. A star misses a link whose two ends are both too far
+   from its centre, so buckets that hold members of several components are gone
+   through once more, exactly: the bucket's largest component is its body, all
+   other members are its rest, and each one of the rest is compared with every
+   member of another component. A bucket is dealt into cells of `block` members
+   and `block` of its rest. In a cell the shingles' lists (of sets up to `filled`
+   shingles; the bins of larger ones) give the shared numbers, and only a
+   spanning forest of the links comes out, never all pairs.
 
 With 40 bands of 5 rows two documents at similarity 0.8 share no bucket with a
 probability of 1.3e-7, at 0.85 of 2e-10.
@@ -48,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinestar.llm.components import components
-from cinestar.llm.frames import slices, staged
+from cinestar.llm.frames import discard, slices, staged
 from cinestar.llm.hashing import WordHasher, mix, shingles
 from cinestar.session import ensure_checkpoint_dir
 
@@ -61,7 +64,7 @@ class NearDuplicates:
 
     From `filled` shingles on, the share of equal bins estimates the similarity
     well enough to drop pairs below `likely` percent. `block` members of a bucket
-    are compared with as many others in one place.
+    are compared with as many others of its rest in one place.
     """
 
     width: int = 5
@@ -70,7 +73,7 @@ class NearDuplicates:
     rows: int = 5
     filled: int = 400
     likely: int = 65
-    block: int = 256
+    block: int = 512
 
 
 class _Sketcher:
@@ -197,20 +200,14 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _stars(buckets: DataFrame, percent: int, priority) -> DataFrame:
-    """Distinct pairs (a, b, n): each bucket's first member by `priority` with the others.
+def _stars(buckets: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b, n): each bucket's member that meets most others, with each other member.
 
-    `buckets` holds (bucket, doc_id, n, component); members of the centre's own
-    component need no pair.
+    `buckets` holds (bucket, doc_id, n, met).
     """
-    me = F.struct(priority.alias("p"), "doc_id", "n", "component")
-    centres = (
-        buckets.groupBy("bucket")
-        .agg(F.min(me).alias("c"), F.max("component").alias("last"), F.min("component").alias("first"))
-        .where("first <> last")
-        .select("bucket", "c")
-    )
-    pairs = buckets.join(centres, "bucket").where(F.col("component") != F.col("c.component"))
+    me = F.struct((-F.col("met")).alias("p"), "doc_id", "n")
+    centres = buckets.groupBy("bucket").agg(F.min(me).alias("c"))
+    pairs = buckets.join(centres, "bucket").where(F.col("doc_id") != F.col("c.doc_id"))
     fits = 100 * F.least("n", "c.n") >= percent * F.greatest("n", "c.n")
     return (
         pairs.where(fits)
@@ -223,54 +220,170 @@ def _stars(buckets: DataFrame, percent: int, priority) -> DataFrame:
     )
 
 
-def _across(labelled: DataFrame, bins: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """Distinct pairs (a, b) of all members of a bucket in two components that may be links.
+def _crossing(labelled: DataFrame) -> DataFrame:
+    """(bucket, body, size, rest) of the buckets with members of several components.
 
     `labelled` holds (bucket, doc_id, n, component).
     """
-    kind = labelled.schema["doc_id"].dataType.simpleString()
-    least = settings.likely * settings.bands * settings.rows
-    sizes = labelled.groupBy("bucket").agg(F.ceil(F.count("*") / settings.block).alias("blocks"))
-    members = labelled.select("bucket", "doc_id", "n", "component").join(sizes, "bucket")
-    members = members.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks")).join(bins, "doc_id")
-    # A cell is two blocks of a bucket, or one with itself.
-    cells = (
-        members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .groupBy("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .agg(
-            F.collect_list(
-                F.struct("doc_id", "n", F.xxhash64("component").alias("component"), "block", "value")
-            ).alias("members")
-        )
-        .select(F.col("low") == F.col("high"), "members")
-        .toDF("same", "members")
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    whole = parts.groupBy("bucket").agg(
+        F.max(F.struct("size", "component")).alias("body"), F.sum("size").alias("size")
     )
+    return whole.where(F.col("size") > F.col("body.size")).select(
+        "bucket",
+        F.col("body.component").alias("body"),
+        "size",
+        (F.col("size") - F.col("body.size")).alias("rest"),
+    )
+
+
+def _values(sets: DataFrame, classes: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """(doc_id, hashes, bins): a smaller set as 32-bit hashes, and the bins of a set that fills them.
+
+    A set too large for the first has the second, and so has any set of a size
+    that allows a link with it.
+    """
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    small = -(-100 * settings.filled // settings.percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 50):
-            lists = batch.column("members")
-            flat, counts = lists.flatten(), lists.value_lengths().to_numpy().astype(np.int64)
-            ids, values = flat.field("doc_id"), flat.field("value")
-            n, component, block = (flat.field(c).to_numpy() for c in ("n", "component", "block"))
-            value = np.frombuffer(b"".join(values.to_pylist()), dtype=np.uint8).reshape(len(flat), -1)
-            start = np.cumsum(counts) - counts
-            for at, count, same in zip(start, counts, batch.column("same").to_pylist(), strict=True):
-                for one in range(at, at + count - 1):
-                    two = np.arange(one + 1, at + count)
-                    small, large = np.minimum(n[one], n[two]), np.maximum(n[one], n[two])
-                    fits = (component[two] != component[one]) & (100 * small >= settings.percent * large)
-                    if not same:
-                        fits &= block[two] != block[one]
-                    two, small = two[fits], small[fits]
-                    if not len(two):
-                        continue
-                    equal = np.count_nonzero(value[two] == value[one], axis=1)
-                    two = two[(small < settings.filled) | (100 * equal >= least)]
-                    if len(two):
-                        left = ids.take(pa.array(np.full(len(two), one)))
-                        yield pa.RecordBatch.from_arrays([left, ids.take(pa.array(two))], ["a", "b"])
-
-    pairs = cells.mapInArrow(run, f"a {kind}, b {kind}")
+        for batch in slices(batches):
+            hashes, bins = [], []
+            for whole, each in zip(batch.column("whole"), batch.column("bins"), strict=True):
+                found = np.frombuffer(whole.as_buffer(), dtype=_U)
+                hashes.append((found >> _U(32)).astype("<u4").tobytes() if len(found) <= small else None)
+                bins.append(each.as_py() if len(found) >= settings.filled else None)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(hashes, pa.binary()), pa.array(bins, pa.binary())],
+                ["doc_id", "hashes", "bins"],
+            )
+
+    both = sets.withColumnRenamed("value", "whole").join(
+        classes.select("doc_id", F.col("value").alias("bins")), "doc_id"
+    )
+    return both.select("doc_id", "whole", "bins").mapInArrow(run, f"doc_id {kind}, hashes binary, bins binary")
+
+
+def _cells(labelled: DataFrame, crossing: DataFrame, values: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """(bucket, block, asks, probe, doc_id, n, component, hashes, bins): cells of members and of rest."""
+    parts = {"blocks": F.ceil(F.col("size") / settings.block), "asks_of": F.ceil(F.col("rest") / settings.block)}
+    members = labelled.join(crossing.withColumns(parts), "bucket").select(
+        "bucket",
+        "doc_id",
+        "n",
+        F.xxhash64("component").alias("component"),
+        (F.col("component") != F.col("body")).alias("in_rest"),
+        "blocks",
+        "asks_of",
+    )
+    own, asks = F.pmod(F.xxhash64("doc_id"), "blocks"), F.pmod(F.xxhash64("doc_id"), "asks_of")
+
+    def each(n: str):
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+
+    rows = ("doc_id", "n", "component")
+    in_blocks = members.select(
+        "bucket", own.alias("block"), each("asks_of").alias("asks"), F.lit(False).alias("probe"), *rows
+    )
+    probes = members.where("in_rest").select(
+        "bucket", each("blocks").alias("block"), asks.alias("asks"), F.lit(True).alias("probe"), *rows
+    )
+    return in_blocks.union(probes).join(values, "doc_id")
+
+
+class _Forest:
+    """Which components are joined already."""
+
+    def __init__(self) -> None:
+        self.up: dict[int, int] = {}
+
+    def root(self, node: int) -> int:
+        while (above := self.up.get(node, node)) != node:
+            self.up[node] = self.up.get(above, above)
+            node = above
+        return node
+
+    def join(self, one: int, two: int) -> bool:
+        """Whether they were apart."""
+        one, two = self.root(one), self.root(two)
+        self.up[one] = two
+        return one != two
+
+
+def _shared(members: list[bytes], asking: list[bytes]) -> Iterator[np.ndarray]:
+    """For each set that asks, how many hashes it shares with each member; sets as 32-bit hashes."""
+    flat = np.frombuffer(b"".join(members + asking), dtype="<u4")
+    _, number = np.unique(flat, return_inverse=True)
+    cuts = np.cumsum([len(v) // 4 for v in members + asking])
+    owner = np.repeat(np.arange(len(members)), np.diff(cuts[: len(members)], prepend=0))
+    order = np.argsort(number[: len(owner)], kind="stable")
+    # Each hash's members, one list after the other.
+    listed = owner[order]
+    starts = np.searchsorted(number[: len(owner)][order], np.arange(len(flat) + 1))
+    for low, high in zip(cuts[len(members) - 1 : -1], cuts[len(members) :], strict=True):
+        mine = number[low:high]
+        length = starts[mine + 1] - starts[mine]
+        at = np.arange(length.sum()) + np.repeat(starts[mine] - (np.cumsum(length) - length), length)
+        yield np.bincount(listed[at], minlength=len(members))
+
+
+def _compare(cell: pa.RecordBatch, settings: NearDuplicates) -> Iterator[tuple[int, int]]:
+    """Rows of a cell that may be linked: a spanning forest of smaller sets, likely pairs of larger ones."""
+    probe = cell.column("probe").to_numpy(zero_copy_only=False)
+    n, component = (cell.column(c).to_numpy() for c in ("n", "component"))
+    hashes, bins = (cell.column(c).to_pylist() for c in ("hashes", "bins"))
+    small, large = (np.array([v is not None for v in values]) for values in (hashes, bins))
+
+    members, asking = np.flatnonzero(~probe & small), np.flatnonzero(probe & small)
+    if len(members) and len(asking):
+        forest = _Forest()
+        shared_by = _shared([hashes[k] for k in members], [hashes[k] for k in asking])
+        for one, shared in zip(asking.tolist(), shared_by, strict=True):
+            fits = 100 * shared >= settings.percent * (n[members] + n[one] - shared)
+            for two in members[fits & (component[members] != component[one])].tolist():
+                if forest.join(int(component[one]), int(component[two])):
+                    yield one, two
+
+    members, asking = np.flatnonzero(~probe & large), np.flatnonzero(probe & large)
+    if len(members) and len(asking):
+        theirs = np.frombuffer(b"".join([bins[k] for k in members]), dtype=np.uint8).reshape(len(members), -1)
+        for one in asking.tolist():
+            equal = np.count_nonzero(theirs == np.frombuffer(bins[one], dtype=np.uint8), axis=1)
+            low, high = np.minimum(n[members], n[one]), np.maximum(n[members], n[one])
+            fits = (100 * equal >= settings.likely * theirs.shape[1]) & (100 * low >= settings.percent * high)
+            fits &= (component[members] != component[one]) & ~(small[members] & small[one])
+            for two in members[fits].tolist():
+                yield one, two
+
+
+def _across(cells: DataFrame, settings: NearDuplicates) -> DataFrame:
+    """Distinct pairs (a, b) from the cells."""
+    kind = cells.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.RecordBatch | None = None
+
+        def pairs(cell: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            found = np.array(list(_compare(cell, settings)), dtype=np.int64).reshape(-1, 2)
+            if len(found):
+                ids = cell.column("doc_id")
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(found[:, k])) for k in (0, 1)], ["a", "b"])
+
+        for batch in batches:
+            if rest is not None:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            keys = [batch.column(c).to_numpy() for c in ("bucket", "block", "asks")]
+            new = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist()]
+            for low, high in zip(cuts, cuts[1:], strict=False):
+                yield from pairs(batch.slice(low, high - low))
+            rest = batch.slice(cuts[-1]) if batch.num_rows else None
+        if rest is not None:
+            yield from pairs(rest)
+
+    key = ("bucket", "block", "asks")
+    dealt = cells.repartition(*key).sortWithinPartitions(*key)
+    pairs = dealt.mapInArrow(run, f"a {kind}, b {kind}")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -284,9 +397,13 @@ def near_duplicates(
     ensure_checkpoint_dir(documents.sparkSession)
     rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     sketched = staged(sketches(rows, settings), "sketches")
-    known = sketched.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+    sizes = staged(sketched.select("doc_id", "n_shingles", "digest"), "sizes")
+    taking_part = F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0)
+    known = sizes.where(taking_part)
     classes = staged(
-        known.groupBy("digest").agg(
+        sketched.where(taking_part)
+        .groupBy("digest")
+        .agg(
             F.min("doc_id").alias("doc_id"),
             F.first("n_shingles").alias("n"),
             F.first("bands").alias("bands"),
@@ -295,10 +412,11 @@ def near_duplicates(
         ),
         "copies",
     )
+    discard(sketched)
     members = known.select("doc_id", "digest").join(
         classes.where("copies > 1").select("digest", F.col("doc_id").alias("a")), "digest"
     )
-    members = members.where("doc_id <> a").select("a", F.col("doc_id").alias("b"))
+    members = staged(members.where("doc_id <> a").select("a", F.col("doc_id").alias("b")), "members")
     # An id whose rows have different texts lies in several classes and links them.
     several = known.groupBy("doc_id").agg(F.min("digest").alias("low"), F.max("digest").alias("high"))
     several = several.where("low <> high").select(F.col("doc_id").alias("b"))
@@ -306,44 +424,36 @@ def near_duplicates(
 
     buckets = classes.select("doc_id", "n", F.explode("bands").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = staged(buckets.join(shared, "bucket"), "buckets")
-    met = staged(buckets.groupBy("doc_id").agg(F.sum("size").alias("met")), "met")
-    buckets = staged(buckets.drop("size").join(met, "doc_id"), "met-buckets")
-
-    links, labels, sets, round_ = None, None, None, 0
-    while True:
-        if labels is None:
-            labelled = buckets.withColumn("component", F.col("doc_id"))
-            priority = -F.col("met")
-        else:
-            # Only buckets with members of several components go on; they get ever fewer.
-            labelled = buckets.join(
-                labels.withColumnRenamed("node", "doc_id"), "doc_id", "left"
-            ).withColumn("component", F.coalesce("component", "doc_id"))
-            crossing = labelled.groupBy("bucket").agg(
-                F.min("component").alias("first"), F.max("component").alias("last")
-            )
-            crossing = crossing.where("first <> last").select("bucket")
-            labelled = staged(labelled.join(crossing, "bucket", "semi"), "crossing")
-            buckets = labelled.drop("component")
-            priority = F.xxhash64("bucket", "doc_id", F.lit(round_))
-        pairs = staged(_stars(labelled, settings.percent, priority), "pairs")
-        pairs = _likely(pairs, classes.select("doc_id", "value"), settings)
-        if sets is None:
-            wanted = met.select("doc_id")
-            once = rows.join(wanted, "doc_id", "semi").distinct()
-            sets = staged(_sets(once, settings), "sets")
-        new = staged(_confirm(pairs, sets, settings.percent), "links")
-        if links is not None and new.isEmpty():
-            break
-        links = (bridges if links is None else links).union(new)
-        labels = components(links)
-        round_ += 1
-    rest = staged(_across(labelled, classes.select("doc_id", "value"), settings), "rest")
-    new = staged(_confirm(rest, sets, settings.percent), "last-links")
-    if not new.isEmpty():
-        labels = components(links.union(new))
-    return _result(sketched, members, labels)
+    counted = staged(buckets.join(shared, "bucket"), "counted")
+    met = staged(counted.groupBy("doc_id").agg(F.sum("size").alias("met")), "met")
+    buckets = staged(counted.drop("size").join(met, "doc_id"), "buckets")
+    discard(counted)
+    classes_ = staged(classes.select("doc_id", "value").join(met.select("doc_id"), "doc_id", "semi"), "bins")
+    discard(classes)
+
+    pairs = staged(_stars(buckets, settings.percent), "pairs")
+    sets = staged(_sets(rows.join(met.select("doc_id"), "doc_id", "semi").distinct(), settings), "sets")
+    new = staged(_confirm(_likely(pairs, classes_, settings), sets, settings.percent), "links")
+    discard(pairs, met)
+    links = bridges.union(new)
+    labels = components(links)
+    labelled = staged(
+        buckets.drop("met")
+        .join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+        .withColumn("component", F.coalesce("component", "doc_id")),
+        "labelled",
+    )
+    discard(buckets)
+    crossing = staged(_crossing(labelled), "crossing")
+    left = labelled.join(crossing.select("bucket"), "bucket", "semi").select("doc_id").distinct()
+    values = staged(_values(sets.join(left, "doc_id", "semi"), classes_, settings), "values")
+    rest = staged(_across(_cells(labelled, crossing, values, settings), settings), "rest")
+    discard(labelled, crossing, values, classes_)
+    more = staged(_confirm(rest, sets, settings.percent), "last-links")
+    discard(rest, sets)
+    if not more.isEmpty():
+        labels = components(links.union(more))
+    return _result(sizes, members, labels)
 
 
 def _result(sketched: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:

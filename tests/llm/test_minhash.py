@@ -125,6 +125,30 @@ def test_large_buckets_of_distant_edits(spark):
     assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(label))
 
 
+def test_larger_sets_are_compared_by_their_bins(spark):
+    """Sets about the size up to which hashes are compared, and beyond, that no single centre links."""
+    rng = random.Random(12)
+    rows = []
+    for group, size in enumerate((360, 470, 900)):
+        original = [f"g{group}w{k}" for k in range(size)]
+        for k in range(120):
+            made = original[: size - rng.randrange(size // 20)]
+            for place in rng.sample(range(len(made)), rng.randint(size // 50, size // 18)):
+                made[place] = f"x{rng.randrange(20)}"
+            rows.append((1000 * group + k, " ".join(made), "en", "s", 1))
+    found = near_duplicates(cases.documents(spark, rows), NearDuplicates(width=2, block=40))
+    label = components_by_matrix(rows, 2)
+    ids = [r[0] for r in rows]
+    assert 20 < len(set(label)) < 300
+    assert {r.doc_id: r.component_id for r in found.collect()} == {i: ids[c] for i, c in zip(ids, label, strict=True)}
+
+
+def test_three_thousand_edits(spark):
+    rows = edits(13, 3000)
+    found = near_duplicates(cases.documents(spark, rows), NearDuplicates(width=2))
+    assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(components_by_matrix(rows, 2)))
+
+
 def test_empty_table(spark):
     assert near_duplicates(cases.documents(spark, [])).count() == 0
 
