@@ -51,7 +51,7 @@ class LexicalSearch:
     most: int = 50
     block_postings: int = 500_000
     query_terms: int = 200_000
-    items_at_once: int = 64
+    items_at_once: int = 16
 
 
 class TermHasher(WordHasher):
