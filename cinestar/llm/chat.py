@@ -7,14 +7,16 @@ role becomes `\\n`.
 
 Windows: prefix sums of the turns' tokens choose spans of whole turns. A span
 takes turns as long as they, the system turn and the repeated history stay
-within the budget; a turn that alone is too long gets a window over it. Every
-window but the one that holds it as its own begins with the conversation's
-system turn, then repeats as many of the last turns as fit `history` tokens.
-The loss mask covers the assistant texts of a window's own turns only, so each
-target counts once.
+within the budget. Every window but the one that holds it as its own begins with
+the conversation's system turn, then repeats as many of the last turns as fit
+`history` tokens, and fewer, from the oldest on, where the turn that opens the
+span would not fit else. So a window is over the budget only if the system turn
+and one own turn are. The loss mask covers the assistant texts of a window's own
+turns only, so each target counts once.
 
 A conversation is dealt out by blocks of `block_turns` turn numbers, each with
-its system turn and the last turns of the block before, so a conversation with
+its system turn and its history: the last turns before it, of as many blocks as
+they take, chosen by sums of tokens from the blocks' ends. So a conversation with
 a third of all rows spreads over tasks. A task streams through sorted rows and
 holds one window; spans do not cross a block's end.
 
@@ -32,8 +34,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cinestar.llm.vocabularies import ByteLevelIds
 
@@ -44,12 +47,11 @@ _SYSTEM, _HISTORY, _OWN = 0, 1, 2
 
 @dataclass(frozen=True)
 class ChatWindows:
-    """Tokens of a window, tokens of repeated history, turn numbers per block, turns sent on."""
+    """Tokens of a window, tokens of repeated history, turn numbers per block."""
 
     budget: int = 2048
     history: int = 256
     block_turns: int = 256
-    tail_turns: int = 8
 
 
 def escape(text: str) -> str:
@@ -86,11 +88,11 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
 class _Turn:
     __slots__ = ("formatted", "start", "end", "tokens", "target")
 
-    def __init__(self, role: str, text: str, tokenizer: ByteLevelIds) -> None:
+    def __init__(self, role: str, text: str, tokens: int) -> None:
         self.formatted, self.start = format_turn(role, text)
         self.end = len(self.formatted) - len(END) - 1
         self.target = role == "assistant"
-        self.tokens = len(tokenizer.ids(self.formatted)) // 4
+        self.tokens = tokens
 
 
 class _Block:
@@ -101,7 +103,7 @@ class _Block:
         self.system: _Turn | None = None
         self.recent: list[_Turn] = []  # turns before the span, as many as history may take
         self.span: list[_Turn] = []
-        self.system_in_span = False
+        self.own_system: _Turn | None = None  # the system turn, if it is one of the span
         self.n_windows = 0
 
     def _remember(self, turn: _Turn) -> None:
@@ -110,7 +112,7 @@ class _Block:
             self.recent.pop(0)
 
     def _repeated(self) -> list[_Turn]:
-        if self.system is None or self.system_in_span:
+        if self.system is None or self.own_system:
             return list(self.recent)
         return [self.system, *self.recent]
 
@@ -123,15 +125,21 @@ class _Block:
             if not is_system:
                 self._remember(turn)
             return None
-        size = sum(t.tokens for t in self._repeated()) + sum(t.tokens for t in self.span)
         window = None
-        if self.span and size + turn.tokens > self.settings.budget:
+        if self.span and self._size(turn, is_system) > self.settings.budget:
             window = self.close()
+        while not self.span and self.recent and self._size(turn, is_system) > self.settings.budget:
+            self.recent.pop(0)
         if is_system:
-            self.system_in_span = True
+            self.own_system = turn
         self.span.append(turn)
         return window
 
+    def _size(self, turn: _Turn, is_system: bool) -> int:
+        """Tokens of the window with this turn as one more of its own."""
+        repeated = self.recent if is_system else self._repeated()
+        return sum(t.tokens for t in repeated) + sum(t.tokens for t in self.span) + turn.tokens
+
     def close(self) -> dict | None:
         if not self.span:
             return None
@@ -152,10 +160,10 @@ class _Block:
             "n_tokens": tokens,
             "over_budget": tokens > self.settings.budget,
         }
-        skip = 1 if self.system_in_span else 0
-        for turn in self.span[skip:]:
-            self._remember(turn)
-        self.span, self.system_in_span = [], False
+        for turn in self.span:
+            if turn is not self.own_system:
+                self._remember(turn)
+        self.span, self.own_system = [], None
         self.n_windows += 1
         return window
 
@@ -179,6 +187,48 @@ _WINDOW_ARROW = pa.schema(
 )
 
 
+def _with_tokens(turns: DataFrame) -> DataFrame:
+    """Add the tokens of each formatted turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokenizer = ByteLevelIds()
+        for batch in batches:
+            texts = zip(batch.column("role").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            tokens = [len(tokenizer.ids(format_turn(role, text)[0])) // 4 for role, text in texts]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(tokens, pa.int64())], [*batch.schema.names, "tokens"])
+
+    return turns.mapInArrow(run, T.StructType([*turns.schema.fields, T.StructField("tokens", T.LongType())]))
+
+
+def _history(own: DataFrame, keys: DataFrame, settings: ChatWindows) -> DataFrame:
+    """The turns that blocks begin with as their history, with `block` that of the block they go to.
+
+    A turn goes to each later block before which it and all turns after it have
+    `history` tokens at most. A turn has a token at least, so the blocks that a
+    block looks back to are bounded.
+    """
+    last_first = Window.partitionBy("conv_id", "block").orderBy(
+        F.desc("turn"), F.desc("role"), F.desc("text")
+    ).rowsBetween(Window.unboundedPreceding, 0)
+    ends = own.where(~F.col("is_system")).withColumn("upto", F.sum("tokens").over(last_first))
+    ends = ends.where(F.col("upto") <= settings.history)
+    # Blocks of a conversation in order; most conversations have one, and drop out.
+    order = Window.partitionBy("conv_id").orderBy("block")
+    sums = keys.withColumn("sum", F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    earlier = F.collect_list(F.struct("block", "sum")).over(order.rowsBetween(-settings.history - 1, -1))
+    leads = sums.withColumn("all", earlier).withColumn("earlier", F.explode("all")).select(
+        F.col("conv_id").alias("c"),
+        F.col("earlier.block").alias("b"),
+        F.col("block").alias("to"),
+        # Tokens of the blocks between the two.
+        (F.col("sum") - F.col("tokens") - F.col("earlier.sum")).alias("between"),
+    )
+    leads = leads.where(F.col("between") < settings.history)
+    same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
+    sent = ends.join(leads, same).where(F.col("upto") + F.col("between") <= settings.history)
+    return sent.withColumns({"block": F.col("to"), "kind": F.lit(_HISTORY)})
+
+
 def windows(conversations: DataFrame, settings: ChatWindows = ChatWindows()) -> DataFrame:
     """Windows of (conv_id, turn, role, text): text, loss spans, repeated turns, tokens."""
     width = settings.block_turns
@@ -212,49 +262,35 @@ def windows(conversations: DataFrame, settings: ChatWindows = ChatWindows()) ->
         & F.col("turn").eqNullSafe(F.col("s_turn"))
         & (F.col("text") == F.col("s_text"))
     )
-    own = rows.select(
-        "conv_id",
-        "block",
-        F.lit(_OWN).alias("kind"),
-        "turn",
-        "role",
-        "text",
-        is_system.alias("is_system"),
+    own = _with_tokens(
+        rows.select("conv_id", "block", "turn", "role", "text", "has_system", "s_text", is_system.alias("is_system"))
     )
-    keys = rows.groupBy("conv_id", "block").agg(
-        F.first("has_system").alias("has_system"), F.first("s_text").alias("s_text")
+    own = own.withColumn("kind", F.lit(_OWN))
+    keys = own.groupBy("conv_id", "block").agg(
+        F.first("has_system").alias("has_system"),
+        F.first("s_text").alias("s_text"),
+        F.sum(F.when(~F.col("is_system"), F.col("tokens")).otherwise(0)).alias("tokens"),
     )
-    # Only a conversation of several blocks sends turns on.
-    tail = (
-        own.where((F.col("turn") % width >= width - settings.tail_turns) & F.col("turn").isNotNull())
-        .withColumns({"block": F.col("block") + 1, "kind": F.lit(_HISTORY)})
-        .join(
-            keys.select(F.col("conv_id").alias("c"), F.col("block").alias("b")),
-            F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")),
-            "semi",
+    columns = ("conv_id", "block", "kind", "turn", "role", "text", "tokens", "is_system")
+    tail = _history(own, keys, settings).select(*columns)
+    system = _with_tokens(
+        keys.where("has_system").select(
+            "conv_id", "block", F.lit("system").alias("role"), F.col("s_text").alias("text")
         )
-    )
-    system = keys.where("has_system").select(
-        "conv_id",
-        "block",
-        F.lit(_SYSTEM).alias("kind"),
-        F.lit(None).cast("bigint").alias("turn"),
-        F.lit("system").alias("role"),
-        F.col("s_text").alias("text"),
-        F.lit(True).alias("is_system"),
-    )
+    ).withColumns({"kind": F.lit(_SYSTEM), "turn": F.lit(None).cast("bigint"), "is_system": F.lit(True)})
+    own, system = own.select(*columns), system.select(*columns)
     dealt = own.unionByName(tail).unionByName(system).repartition("conv_id", "block")
     ordered = dealt.sortWithinPartitions("conv_id", "block", "kind", "turn", "role", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, block, out, seen = ByteLevelIds(), None, [], False
+        block, out, seen = None, [], False
         for batch in batches:
             for row in batch.to_pylist():
                 key = (row["conv_id"], row["block"])
                 if block is None or block.key != key:
                     out.append(block.close() if block else None)
                     block, seen = _Block(key, settings), False
-                turn = _Turn(row["role"], row["text"], tokenizer)
+                turn = _Turn(row["role"], row["text"], row["tokens"])
                 # Of repeated rows that equal the system turn, the first one is it.
                 is_first = row["is_system"] and not (seen and row["kind"] == _OWN)
                 seen |= row["is_system"] and row["kind"] == _OWN
