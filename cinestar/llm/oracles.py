@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from cinestar.llm.quality import COMMON_WORDS, QualityRules
 from cinestar.llm.line_dedup import Boilerplate
-from cinestar.llm.url_filter import Reputation
+from cinestar.llm.url_filter import Reputation, suffix_pattern
 
 _LINES, _RULES, _URLS = Boilerplate(), QualityRules(), Reputation()
 
@@ -104,6 +104,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
          AND NOT coalesce(common_distance > {_RULES.max_common_distance}, false) AS kept
 FROM judged"""
 
+_SUFFIX = suffix_pattern(_URLS.wide_suffixes)
+
+
+def _posterior(name: str, counts: str) -> str:
+    """Shares shrunk towards their priors, by a strength from the counts' scatter."""
+    chance = "seen * prior * (1 - prior)"
+    least, most = 1 / (_URLS.strongest + 1), 1 / (_URLS.weakest + 1)
+    return f"""{name}_strength AS (
+  SELECT 1 / least(greatest(coalesce(
+    sum((bad - seen * prior) * (bad - seen * prior) - {chance}) / nullif(sum({chance} * (seen - 1)), 0),
+    {most!r}::DOUBLE), {least!r}::DOUBLE), {most!r}::DOUBLE) - 1 AS strength FROM {counts}),
+{name} AS (
+  SELECT *, (bad + strength * prior) / (seen + strength) AS share, seen + strength AS weight
+  FROM {counts}, {name}_strength)"""
+
+
 URL_FILTER = f"""
 WITH parsed AS (
   SELECT row_number() OVER () AS place, page_id,
@@ -112,25 +128,26 @@ WITH parsed AS (
          coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
   FROM pages),
 split AS (
-  SELECT *, regexp_extract(host, '([^.]+\\.[^.]+)$', 1) AS domain,
-         regexp_extract(host, '([^.]+)$', 1) AS suffix FROM parsed),
+  SELECT *, regexp_extract(host, '(?:^|[.])([^.]+[.](?:{_SUFFIX}))$', 1) AS domain,
+         regexp_extract(host, '(?:^|[.])({_SUFFIX})$', 1) AS suffix FROM parsed),
 labelled AS (
   SELECT host, domain, suffix,
          CAST(coalesce(quality, 1) = 0 OR coalesce(toxic, 0) = 1 AS INTEGER) AS bad
-  FROM split JOIN labels ON labels.doc_id = split.page_id WHERE host <> ''),
-overall AS (SELECT coalesce(sum(bad) / nullif(count(*), 0), 0) AS share FROM labelled),
-suffixes AS (
-  SELECT suffix, count(*) AS seen, (sum(bad) + {_URLS.strength} * any_value(o.share))
-         / (count(*) + {_URLS.strength}) AS share
-  FROM labelled, overall o GROUP BY suffix),
-domains AS (
-  SELECT l.domain, l.suffix, count(*) AS seen,
-         (sum(bad) + {_URLS.strength} * any_value(s.share)) / (count(*) + {_URLS.strength}) AS share
-  FROM labelled l JOIN suffixes s USING (suffix) GROUP BY l.domain, l.suffix),
-hosts AS (
-  SELECT l.host, count(*) AS seen,
-         (sum(bad) + {_URLS.strength} * any_value(d.share)) / (count(*) + {_URLS.strength}) AS share
-  FROM labelled l JOIN domains d USING (domain, suffix) GROUP BY l.host),
+  FROM split JOIN labels ON labels.doc_id = split.page_id),
+overall AS (
+  SELECT (coalesce(sum(bad), 0) + 0.5) / (count(*) + 1) AS share, count(*) + 1.0 AS weight FROM labelled),
+suffix_counts AS (
+  SELECT suffix, sum(bad) AS bad, count(*) AS seen, any_value(o.share) AS prior
+  FROM labelled, overall o WHERE host <> '' GROUP BY suffix),
+{_posterior("suffixes", "suffix_counts")},
+domain_counts AS (
+  SELECT l.domain, l.suffix, sum(l.bad) AS bad, count(*) AS seen, any_value(s.share) AS prior
+  FROM labelled l JOIN suffixes s USING (suffix) WHERE host <> '' GROUP BY l.domain, l.suffix),
+{_posterior("domains", "domain_counts")},
+host_counts AS (
+  SELECT l.host, sum(l.bad) AS bad, count(*) AS seen, any_value(d.share) AS prior
+  FROM labelled l JOIN domains d USING (domain, suffix) WHERE host <> '' GROUP BY l.host),
+{_posterior("hosts", "host_counts")},
 rules AS (
   SELECT * FROM (VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
     ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow'))
@@ -140,14 +157,21 @@ ruled AS (
   FROM split JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host))
     AND starts_with(path, rule_path) GROUP BY place),
 best AS (
-  SELECT place, coalesce(h.share, d.share, s.share) AS share,
-         coalesce(h.seen, d.seen, s.seen) AS seen
+  SELECT place, coalesce(h.share, d.share, s.share, o.share) AS share,
+         coalesce(h.weight, d.weight, s.weight, o.weight) AS weight
   FROM split LEFT JOIN hosts h USING (host)
-  LEFT JOIN domains d ON d.domain = split.domain LEFT JOIN suffixes s ON s.suffix = split.suffix)
+  LEFT JOIN domains d ON d.domain = split.domain AND d.suffix = split.suffix
+  LEFT JOIN suffixes s ON s.suffix = split.suffix, overall o),
+beta AS (
+  SELECT place, a, b, 1 / (2 * a - 1) AS one, 1 / (2 * b - 1) AS two, ({_URLS.z} * {_URLS.z} - 3) / 6 AS skew
+  FROM (SELECT place, weight * share + 1 AS a, weight * (1 - share) + 1 AS b FROM best)),
+bounds AS (
+  SELECT place, a / (a + b * exp(2 * ({_URLS.z} * sqrt(greatest(h + skew, 0)) / h
+    - (two - one) * (skew + 5.0 / 6 - 2 / (3 * h))))) AS bound
+  FROM (SELECT *, 2 / (one + two) AS h FROM beta))
 SELECT page_id, host, path, rule,
-       coalesce(verdict, CASE WHEN share - {_URLS.z} * sqrt(greatest(share * (1 - share), 0)
-         / (seen + {_URLS.strength} + 1)) > {_URLS.max_bad} THEN 'block' ELSE 'allow' END) AS verdict
-FROM split LEFT JOIN ruled USING (place) LEFT JOIN best USING (place)"""
+       coalesce(verdict, CASE WHEN bound > {_URLS.max_bad} THEN 'block' ELSE 'allow' END) AS verdict
+FROM split LEFT JOIN ruled USING (place) LEFT JOIN bounds USING (place)"""
 
 _TERMS = (
     "unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "

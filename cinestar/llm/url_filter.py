@@ -1,22 +1,34 @@
 """URL rules first, then the reputation of the host by empirical Bayes.
 
 Labelled pages are counted per host, registered domain and suffix. From the
-top down each level's share of bad pages is shrunk towards the level above, as
-if `strength` pages of that share had been seen: a beta prior, updated by
-binomial counts. A host is blocked when even the lower bound of its posterior
-(mean minus `z` standard deviations) passes `max_bad`; a page of a host without
-labels takes its domain's posterior, then its suffix's.
+top down each level's share of bad pages is shrunk towards the level above by a
+beta prior, updated by binomial counts. The prior's mean is the share of the
+level above. Its strength, in pages, comes from the counts, for each level by
+itself: if the groups of a level scatter around the shares of the level above no
+more than chance would have it, the prior is strong; the more they scatter, the
+weaker it is. This is the method of moments for the beta-binomial: with r a
+group's bad pages less those expected, and v their variance by chance alone,
+the correlation within groups is sum(r^2 - v) / sum(v (n - 1)).
+
+A host is blocked when even a low quantile of its posterior (`confidence` that
+the true share is above it) passes `max_bad`. A page of a host without labels
+takes its domain's posterior, then its suffix's, then that of all pages.
+
+A suffix is the last label of a host, or the last two where these are a suffix
+under which anyone can register; a registered domain is one label more.
 
 The counts are combined within tasks before they are shuffled, so a host with
 a third of all pages costs one row per task there. The hosts' verdicts are
 joined to the pages; Spark broadcasts them only if they are measured small, and
-splits the pages of a hot host otherwise.
+splits the pages of a hot host otherwise. Three strengths, one row each, are
+broadcast.
 
 Defined results: a null url, or one without `://`, has an empty host and path
-and is judged by the rules (none fits) and by the share over all pages, like a
-host of which nothing is known. Labels that are null do not count, repeated
-labels of a page count each. An empty table gives no rows, no labels at all
-allow every page. Columns of the input named like a result are replaced.
+and is judged by the rules (none fits) and by the posterior over all labelled
+pages, like a host of which nothing is known. Labels that are null do not count,
+repeated labels of a page count each, and so do repeated rows of a page. An
+empty table gives no rows, no labels at all allow every page. Columns of the
+input named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -31,13 +43,27 @@ from cinestar.llm.frames import ascii_lower, fresh, staged
 ALLOW, BLOCK = "allow", "block"
 
 
+# Country suffixes of two labels under which anyone can register.
+WIDE_SUFFIXES = (
+    "ac.jp ac.nz ac.uk ac.za co.id co.il co.in co.jp co.ke co.kr co.nz co.th co.uk co.za com.ar com.au com.bd com.br "
+    "com.cn com.co com.eg com.hk com.mx com.my com.ng com.pe com.ph com.pk com.pl com.sa com.sg com.tr com.tw com.ua "
+    "com.ve com.vn edu.au edu.cn gov.au gov.br gov.cn gov.in gov.uk me.uk ne.jp net.au net.br net.cn net.nz net.uk "
+    "or.jp or.kr org.au org.br org.cn org.nz org.uk org.za"
+).split()
+
+
 @dataclass(frozen=True)
 class Reputation:
-    """Prior strength in pages, standard deviations of the bound, limit of the bad share."""
+    """Limit of the bad share, and the normal quantile of the confidence that it is passed (1.645: 95 %).
+
+    Strengths are held within `weakest` and `strongest` pages.
+    """
 
-    strength: float = 20.0
-    z: float = 1.64
     max_bad: float = 0.5
+    z: float = 1.645
+    weakest: float = 1.0
+    strongest: float = 10_000.0
+    wide_suffixes: tuple[str, ...] = tuple(WIDE_SUFFIXES)
 
 
 def host_of(url: Column) -> Column:
@@ -52,13 +78,18 @@ def path_of(url: Column) -> Column:
     return F.coalesce(path, F.lit(""))
 
 
-def domain_of(host: Column) -> Column:
-    """The registered domain: the last two labels of a host."""
-    return F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1)
+def suffix_pattern(wide: tuple[str, ...]) -> str:
+    """A regular expression for a suffix: one that is known to have two labels, or the last label."""
+    return "|".join([*(suffix.replace(".", "[.]") for suffix in wide), "[^.]+"])
+
 
+def domain_of(host: Column, wide: tuple[str, ...] = tuple(WIDE_SUFFIXES)) -> Column:
+    """The registered domain: the suffix of a host and the label before it; empty without one."""
+    return F.regexp_extract(host, rf"(?:^|[.])([^.]+[.](?:{suffix_pattern(wide)}))$", 1)
 
-def suffix_of(host: Column) -> Column:
-    return F.regexp_extract(host, r"([^.]+)$", 1)
+
+def suffix_of(host: Column, wide: tuple[str, ...] = tuple(WIDE_SUFFIXES)) -> Column:
+    return F.regexp_extract(host, rf"(?:^|[.])({suffix_pattern(wide)})$", 1)
 
 
 def rule_verdict(host: Column, path: Column, rules: dict[str, str]) -> Column:
@@ -78,56 +109,69 @@ def rule_verdict(host: Column, path: Column, rules: dict[str, str]) -> Column:
     return result
 
 
-def _posterior(level: DataFrame, prior: Column, strength: float) -> DataFrame:
-    """Add the shrunk share of bad pages."""
-    return level.withColumn(
-        "share", (F.col("bad") + strength * prior) / (F.col("seen") + F.lit(strength))
-    )
+def _strength(groups: DataFrame, settings: Reputation) -> DataFrame:
+    """One row: the prior's strength, from groups of (bad, seen, prior)."""
+    expected = F.col("seen") * F.col("prior")
+    chance = expected * (1 - F.col("prior"))
+    scatter = F.sum((F.col("bad") - expected) * (F.col("bad") - expected) - chance)
+    correlation = scatter / F.nullif(F.sum(chance * (F.col("seen") - 1)), F.lit(0.0))
+    least, most = 1 / (settings.strongest + 1), 1 / (settings.weakest + 1)
+    # Without a group of two pages nothing is known of the scatter: the prior is weak.
+    held = F.least(F.greatest(F.coalesce(correlation, F.lit(most)), F.lit(least)), F.lit(most))
+    return groups.agg((1 / held - 1).alias("strength"))
+
+
+def _posterior(groups: DataFrame, settings: Reputation) -> DataFrame:
+    """Groups of (bad, seen, prior) with `share`, the posterior's mean, and `weight`, its pages."""
+    rows = groups.join(F.broadcast(_strength(groups, settings)))  # one row
+    weight = F.col("seen") + F.col("strength")
+    share = (F.col("bad") + F.col("strength") * F.col("prior")) / weight
+    return rows.withColumns({"share": share, "weight": weight}).drop("strength", "prior")
 
 
 def host_reputation(labelled: DataFrame, settings: Reputation) -> tuple[DataFrame, ...]:
-    """Tables of hosts, domains and suffixes with (bad, seen, share); `labelled` has host, bad."""
+    """Tables of hosts, domains, suffixes and of all pages with (bad, seen, share, weight).
+
+    `labelled` has host, bad.
+    """
 
     def counted(frame: DataFrame, *keys: str) -> DataFrame:
         return frame.groupBy(*keys).agg(F.sum("bad").alias("bad"), F.sum("seen").alias("seen"))
 
-    rows = labelled.where(F.col("bad").isNotNull() & (F.col("host") != ""))
+    rows = labelled.where(F.col("bad").isNotNull())
     hosts = rows.groupBy("host").agg(
         F.sum(F.col("bad").cast("long")).alias("bad"), F.count("*").alias("seen")
     )
-    hosts = hosts.withColumns(
-        {"domain": domain_of(F.col("host")), "suffix": suffix_of(F.col("host"))}
-    )
+    wide = settings.wide_suffixes
+    hosts = hosts.withColumns({"domain": domain_of(F.col("host"), wide), "suffix": suffix_of(F.col("host"), wide)})
     hosts = staged(hosts, "hosts")
-    overall = hosts.agg(
-        F.sum("bad").alias("all_bad"), F.sum("seen").alias("all_seen")
-    )  # one row
-    share = F.coalesce(F.col("all_bad") / F.nullif(F.col("all_seen"), F.lit(0)), F.lit(0.0))
-    suffixes = _posterior(
-        counted(hosts, "suffix").join(F.broadcast(overall)), share, settings.strength
-    ).drop("all_bad", "all_seen")
-    domains = _posterior(
-        counted(hosts, "domain", "suffix").join(
-            suffixes.select("suffix", F.col("share").alias("prior")), "suffix"
-        ),
-        F.col("prior"),
-        settings.strength,
-    ).drop("prior")
-    hosts = _posterior(
-        hosts.join(domains.select("domain", "suffix", F.col("share").alias("prior")), ["domain", "suffix"]),
-        F.col("prior"),
-        settings.strength,
-    ).drop("prior")
-    return hosts, domains, suffixes
-
-
-def _lower_bound(settings: Reputation) -> Column:
-    """Mean minus z standard deviations of the beta posterior."""
-    weight = F.col("seen") + F.lit(settings.strength)
-    share = F.col("share")
-    return share - settings.z * F.sqrt(
-        F.greatest(share * (1 - share), F.lit(0.0)) / (weight + F.lit(1.0))
+    seen, bad = F.coalesce(F.sum("seen"), F.lit(0)), F.coalesce(F.sum("bad"), F.lit(0))
+    # Half a good and half a bad page more than seen: no share is 0 or 1.
+    overall = staged(hosts.agg(((bad + 0.5) / (seen + 1)).alias("share"), (seen + 1.0).alias("weight")), "all-pages")
+    hosts = hosts.where("host <> ''")
+    suffixes = counted(hosts, "suffix").join(F.broadcast(overall.select(F.col("share").alias("prior"))))  # one row
+    suffixes = staged(_posterior(suffixes, settings), "suffixes")
+    domains = counted(hosts, "domain", "suffix").join(
+        suffixes.select("suffix", F.col("share").alias("prior")), "suffix"
     )
+    domains = staged(_posterior(domains, settings), "domains")
+    hosts = hosts.join(domains.select("domain", "suffix", F.col("share").alias("prior")), ["domain", "suffix"])
+    hosts = staged(_posterior(hosts, settings), "host-shares")
+    return hosts, domains, suffixes, overall
+
+
+def lower_bound(share: Column, weight: Column, z: float) -> Column:
+    """The quantile of a beta posterior that z normal deviations name.
+
+    A closed form (Carter's, by way of Fisher's z) that needs a count on either
+    side; so a good and a bad page more are counted. It is right to 0.01 from ten
+    pages on, and too low by up to 0.04 for fewer.
+    """
+    a, b = weight * share + 1, weight * (1 - share) + 1
+    one, two = 1 / (2 * a - 1), 1 / (2 * b - 1)
+    h, skew = 2 / (one + two), (z * z - 3) / 6
+    w = z * F.sqrt(F.greatest(h + skew, F.lit(0.0))) / h - (two - one) * (skew + 5 / 6 - 2 / (3 * h))
+    return a / (a + b * F.exp(2 * w))
 
 
 def judge_urls(
@@ -145,26 +189,29 @@ def judge_urls(
     labelled = pages.select(key, host_of(F.col(url)).alias("host")).join(
         outcomes.select(key, "bad"), key
     )
-    hosts, domains, suffixes = host_reputation(labelled, settings)
-    names = {n: fresh(pages, f"_{n}") for n in ("host", "domain", "suffix", "h", "d", "s", "rule")}
+    hosts, domains, suffixes, overall = host_reputation(labelled, settings)
+    names = {n: fresh(pages, f"_{n}") for n in ("host", "domain", "suffix", "h", "d", "s", "all", "rule")}
+
+    bound = lower_bound(F.col("share"), F.col("weight"), settings.z)
+    values = F.struct(F.col("share").alias("share"), bound.alias("bound"))
 
     def side(level: DataFrame, on: str, short: str) -> DataFrame:
-        values = F.struct(F.col("share").alias("share"), _lower_bound(settings).alias("bound"))
         return staged(level.select(F.col(on).alias(names[on]), values.alias(names[short])), on)
 
     host, path = host_of(F.col(url)), path_of(F.col(url))
     rows = pages.withColumns({names["host"]: host, names["rule"]: path})
     rows = rows.withColumns(
         {
-            names["domain"]: domain_of(F.col(names["host"])),
-            names["suffix"]: suffix_of(F.col(names["host"])),
+            names["domain"]: domain_of(F.col(names["host"]), settings.wide_suffixes),
+            names["suffix"]: suffix_of(F.col(names["host"]), settings.wide_suffixes),
         }
     )
     for level, on, short in ((hosts, "host", "h"), (domains, "domain", "d"), (suffixes, "suffix", "s")):
         rows = rows.join(side(level, on, short), names[on], "left")
-    best = F.coalesce(F.col(names["h"]), F.col(names["d"]), F.col(names["s"]))
+    rows = rows.join(F.broadcast(overall.select(values.alias(names["all"]))))  # one row
+    best = F.coalesce(*(F.col(names[short]) for short in ("h", "d", "s", "all")))
     fitted = rule_verdict(F.col(names["host"]), F.col(names["rule"]), rules)
-    blocked = F.coalesce(best["bound"] > settings.max_bad, F.lit(False))
+    blocked = best["bound"] > settings.max_bad
     ruled = fresh(rows, "_ruled")
     rows = rows.withColumn(ruled, fitted)
     result = {

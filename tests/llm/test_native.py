@@ -137,12 +137,61 @@ def test_url_rules_and_reputation(spark):
         ("", "", None, "allow"),
         ("q.xyz", "", None, "allow"),
     ]
-    # Shares by hand: 40 of 80 labelled pages are bad.
-    suffix = (40 + 20 * 0.5) / 100
-    domain = (40 + 20 * suffix) / 60
-    assert got[300].bad_share == pytest.approx(domain) and got[300].verdict == "block"
-    assert got[100].bad_share == pytest.approx((40 + 20 * domain) / 60)
-    assert got[200].verdict == "allow"
+    # One suffix and two domains: shares and strengths by hand, 40 of 80 labelled pages are bad.
+    overall = 40.5 / 81
+    suffix = posterior([(40, 80, overall)])[0]
+    domains = posterior([(40, 40, suffix), (0, 40, suffix)])
+    hosts = posterior([(40, 40, domains[0]), *[(0, 1, domains[1])] * 40])
+    assert got[300].bad_share == pytest.approx(domains[0]) and got[300].verdict == "block"
+    assert got[100].bad_share == pytest.approx(hosts[0]) and 0.5 < got[100].bad_bound < 1
+    assert got[200].bad_share == pytest.approx(hosts[1]) and got[200].verdict == "allow"
+    # Nothing known of the host, or no host: the share of all pages.
+    for k in (6, 7, 8, 10):
+        assert got[k].bad_share == pytest.approx(overall) and got[k].verdict == "allow"
+    bad = labels.withColumn("bad", labels.bad.isNotNull())
+    everywhere = {r.page_id: r for r in url_filter.judge_urls(pages, bad, {}).collect()}
+    assert everywhere[7].verdict == everywhere[6].verdict == "block" and everywhere[7].bad_bound < 1
+    # Repeated pages and labels count each.
+    twice = url_filter.judge_urls(pages.union(pages), labels.union(labels), URL_RULES)
+    assert twice.count() == 2 * len(rows) and twice.where("page_id = 300").first().verdict == "block"
     assert url_filter.judge_urls(pages.where("false"), labels, URL_RULES).count() == 0
     none = url_filter.judge_urls(pages, labels.where("false"), URL_RULES)
     assert {r.verdict for r in none.where("rule IS NULL").collect()} == {"allow"}
+
+
+def posterior(groups, weakest=1.0, strongest=10_000.0):
+    """Shares of (bad, seen, prior) groups, shrunk by the strength that their scatter gives."""
+    chance = [n * p * (1 - p) for _, n, p in groups]
+    pairs = sum(v * (n - 1) for v, (_, n, _) in zip(chance, groups, strict=True))
+    scatter = sum((x - n * p) ** 2 - v for v, (x, n, p) in zip(chance, groups, strict=True))
+    strength = 1 / (scatter / pairs) - 1 if pairs and scatter > 0 else (strongest if pairs else weakest)
+    strength = min(max(strength, weakest), strongest)
+    return [(x + strength * p) / (n + strength) for x, n, p in groups]
+
+
+def test_suffixes_and_domains(spark):
+    from pyspark.sql import functions as F
+
+    hosts = ["a.b.co.uk", "b.co.uk", "co.uk", "xco.uk", "a.xco.uk", "x.com", "w.x.com", "com", "", "1.2.3.4", "a.b.com.au"]
+    frame = spark.createDataFrame([(h,) for h in hosts], "host string")
+    found = frame.select(url_filter.domain_of(F.col("host")), url_filter.suffix_of(F.col("host"))).collect()
+    assert list(map(tuple, found)) == [
+        ("b.co.uk", "co.uk"), ("b.co.uk", "co.uk"), ("co.uk", "co.uk"), ("xco.uk", "uk"), ("xco.uk", "uk"),
+        ("x.com", "com"), ("x.com", "com"), ("", "com"), ("", ""), ("3.4", "4"), ("b.com.au", "com.au"),
+    ]
+
+
+def test_lower_bound_is_a_beta_quantile(spark):
+    """Against quantiles by sums over a fine grid."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    x = (np.arange(200_000) + 0.5) / 200_000
+    cases_ = [(0.5, 2.0), (0.9, 10.0), (0.99, 1.0), (0.1, 50.0), (0.7, 1000.0), (0.6, 0.5)]
+    frame = spark.createDataFrame(cases_, "share double, weight double")
+    found = frame.select(url_filter.lower_bound(F.col("share"), F.col("weight"), 1.645)).collect()
+    for (share, weight), (bound,) in zip(cases_, found, strict=True):
+        a, b = weight * share + 1, weight * (1 - share) + 1
+        density = (a - 1) * np.log(x) + (b - 1) * np.log1p(-x)
+        mass = np.cumsum(np.exp(density - density.max()))
+        assert bound == pytest.approx(x[np.searchsorted(mass, 0.05 * mass[-1])], abs=0.01 if weight >= 10 else 0.045)
