@@ -7,10 +7,17 @@ left over. Pieces are packed best fit, longest first:
 - in a task, block by block of bounded size; a bin that is nearly full is
   final, an underfull one is packed again with the next block, as one item;
 - the underfull bins of all tasks are merged over a tree of ever fewer tasks,
-  again as items, until one task holds the rest or a round merges too few of
-  them to be worth another. No round gives a task more than `merge_bins` bins.
+  again as items, until one task holds all that can still be merged.
 
-Only underfull bins are shuffled. Every round is written to the shared folder.
+Two bins of one best-fit run never fit together, so each run leaves one bin at
+most that is half full or less, and only with such a bin can any other merge. Up
+the tree go these small bins, and of the others that have room for the smallest
+of them as many as there are small ones, those with the most room: more could
+not be used. What stays behind is final. So a round leaves a small bin for each
+of its tasks at most, a task gets about `merge_bins` bins, and the number of
+tasks falls with each round until it is one, whatever the size of the table.
+
+Only these bins are shuffled. Every round is written to the shared folder.
 
 Defined results: a null text is an empty one and gives its separator alone;
 repeated rows are packed one by one; a null id stays null; an empty table gives
@@ -33,13 +40,12 @@ from cinestar.llm.vocabularies import ByteLevelIds
 
 @dataclass(frozen=True)
 class Packing:
-    """Ids in a sequence; separator id; free ids in a final bin; sizes of blocks and merges."""
+    """Ids in a sequence; separator id; free ids in a final bin; ids in a block, bins in a merge."""
 
     capacity: int = 2048
     separator: int = 0
     slack: int = 2
     block_ids: int = 4_000_000
-    fan_in: int = 8
     merge_bins: int = 10_000
 
 
@@ -188,6 +194,23 @@ def _merge(bins: DataFrame, settings: Packing, final: bool) -> DataFrame:
     return bins.mapInArrow(run, _SCHEMA)
 
 
+def _mergeable(underfull: DataFrame, capacity: int) -> tuple[int, int]:
+    """(longest, bins): the bins of up to that length go up the tree, and so many they are.
+
+    One row for each length, so `capacity` rows at most, comes to the driver.
+    """
+    counts = {r["length"]: r["count"] for r in underfull.groupBy("length").count().collect()}
+    small = {length: n for length, n in counts.items() if length <= capacity // 2}
+    if not small:
+        return 0, 0
+    longest, bins, wanted = capacity // 2, sum(small.values()), sum(small.values())
+    for length in sorted(counts.keys() - small.keys()):
+        if wanted <= 0 or length > capacity - min(small):
+            break
+        longest, bins, wanted = length, bins + counts[length], wanted - counts[length]
+    return (longest, bins) if bins > 1 else (0, 0)
+
+
 def pack(
     documents: DataFrame, settings: Packing = Packing(), key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -198,20 +221,20 @@ def pack(
     """
     rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     current = staged(pack_locally(rows, settings), "bins")
-    done = current.where("final")
-    underfull = current.where("not final")
-    count = underfull.count()
-    parts = max(1, -(-count // settings.merge_bins))
-    while count:
-        merged = staged(_merge(underfull.repartition(parts), settings, parts == 1), "bins")
-        done = done.union(merged.where("final"))
-        if parts == 1:
+    done, underfull = current.where("final"), current.where("not final")
+    tasks = None
+    while True:
+        longest, bins = _mergeable(underfull, settings.capacity)
+        done = done.union(underfull.where(F.col("length") > longest))
+        if not bins:
             break
-        underfull, before = merged.where("not final"), count
-        count = underfull.count()
-        parts = max(-(-parts // settings.fan_in), -(-count // settings.merge_bins))
-        if count > 0.95 * before:
-            done = done.union(underfull)
+        going = underfull.where(F.col("length") <= longest)
+        parts = max(1, -(-bins // settings.merge_bins))
+        # Fewer tasks in each round, also where many bins of one length go up together.
+        parts = parts if tasks is None else min(parts, max(1, tasks // 2))
+        merged = staged(_merge(going.repartition(parts), settings, parts == 1), "bins")
+        done, underfull, tasks = done.union(merged.where("final")), merged.where("not final"), parts
+        if parts == 1:
             break
     return done.select(
         F.monotonically_increasing_id().alias("sequence_id"), "length", "ids", "segments"

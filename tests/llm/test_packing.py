@@ -45,7 +45,7 @@ def expected_pieces(rows, tokenizer, capacity):
 
 @pytest.mark.parametrize(
     "settings",
-    [Packing(), Packing(capacity=64, block_ids=300, merge_bins=5, fan_in=2), Packing(capacity=3, merge_bins=50)],
+    [Packing(), Packing(capacity=64, block_ids=300, merge_bins=5), Packing(capacity=3, merge_bins=50)],
 )
 def test_every_id_has_one_place(spark, tokenizer, settings):
     rows = [r[:2] for r in cases.rows()] + [(500 + k, t) for k, t in enumerate(TEXTS)]
@@ -77,5 +77,19 @@ def test_best_fit_leaves_no_two_bins_that_would_fit_together():
     assert low[0] + low[1] > 100
 
 
+def test_the_tree_is_followed_to_its_root(spark):
+    """The small bins of many tasks meet, however few bins a merge takes."""
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(40)
+    found = []
+    for merge_bins in (10_000, 200, 50):
+        lengths = sorted(r.length for r in pack(frame, Packing(merge_bins=merge_bins)).select("length").collect())
+        found.append(len(lengths))
+        # No two of them would fit together.
+        assert lengths[0] + lengths[1] > 2048
+    bound = -(-sum(lengths) // 2048)
+    # 40 tasks of 12 sequences each: what a task's last bins leave free adds up to a few sequences.
+    assert max(found) <= bound + 8 and max(found) - min(found) <= 1
+
+
 def test_empty_table(spark):
     assert pack(cases.documents(spark, [])).count() == 0
