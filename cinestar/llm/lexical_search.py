@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinestar.llm.frames import slices, staged
+from cinestar.llm.frames import few_rows_at_once, slices, staged
 from cinestar.llm.hashing import WordHasher
 from cinestar.llm.treap import Treap, best_columns
 
@@ -49,7 +49,7 @@ class LexicalSearch:
     """
 
     most: int = 50
-    block_postings: int = 500_000
+    block_postings: int = 100_000
     query_terms: int = 200_000
     items_at_once: int = 16
 
@@ -267,9 +267,9 @@ def search(
                 [(k, tuple(row["item"])) for k, row in enumerate(block)],
                 f"place bigint, item struct<item:{kind},own:bigint>",
             )
-            found = found.union(
-                staged(best.join(F.broadcast(names), "place").select("item", "doc_id", "score"), "found")
-            )
+            best = best.join(F.broadcast(names), "place").select("item", "doc_id", "score")
+            with few_rows_at_once(spark, 16):
+                found = found.union(staged(best, "found"))
     ranked = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= settings.most)
     return best.select("item.item", "rank", "doc_id", "score")
