@@ -16,17 +16,20 @@ tables that grow with the corpus and are never sent to a driver or broadcast.
 Shorter contexts follow by dropping the first byte. Shares are computed depth
 by depth, by joins, for every byte string that occurs in any document.
 
-Scoring deals the documents into blocks by a hash of their id. A block asks for
-each of its distinct words and byte strings once; the answers are joined on the
-key and come back to the block, which then sums over its texts. A key that all
-blocks ask for costs one row per block. One shuffle of the texts serves asking
-and scoring.
+Scoring deals the documents into blocks by a hash of their id and text, so rows
+without an id, or of one id, spread over blocks. A block asks for each of its
+distinct words and byte strings once; the answers are joined on the key and come
+back to the block, which looks them up in sorted order, many texts at once, and
+sums by text. A key that all blocks ask for costs one row per block. One shuffle
+of the texts serves asking and scoring. Tables of a depth are removed as soon as
+the next depth is written.
 
 Defined results: a null text counts as empty and scores its end alone; a null
 id is hashed as an empty text and counts as training; repeated rows are scored
 each and learned from each; with no training document every byte has the same
 share and no word is known; an empty table gives no rows. Words are compared by
-64-bit hashes. Extra columns are ignored.
+64-bit hashes. Ids are whole numbers or texts of such; another text ends the job.
+Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -39,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cinestar.llm.frames import slices, staged
+from cinestar.llm.frames import discard, slices, staged
 from cinestar.llm.hashing import WordHasher
 
 _U = np.uint64
@@ -206,6 +209,8 @@ def byte_shares(counts: DataFrame, order: int) -> DataFrame:
                 rest.alias("rest"),
             )
             below = staged(below, "shares")
+            if order:
+                discard(asked[size])
             continue
         # What a context has seen, and how often the shorter context has seen the same bytes.
         counted = by_size[size - 1].select(F.col("key").alias("short"), F.col("n").alias("short_n"))
@@ -250,10 +255,17 @@ def byte_shares(counts: DataFrame, order: int) -> DataFrame:
         )
         # `via` is evaluated only where the byte is not seen here: else `left` may be 0.
         rows = rows.withColumn("rest", F.when(F.col("n") == 0, via)).withColumn("share", share)
+        done = [below, by_size[size - 1]] + ([asked[size]] if size <= order else [])
         below = staged(rows.select("key", "n", "total", "kinds", "share", "rest"), "shares")
+        discard(*done)
     return below.select("key", "share")
 
 
+def _sorted_distinct(keys: np.ndarray) -> np.ndarray:
+    keys = np.sort(keys)
+    return keys[np.concatenate((np.ones(min(len(keys), 1), dtype=bool), keys[1:] != keys[:-1]))]
+
+
 class _Distinct:
     """Distinct keys of many arrays; what waits to be merged is bounded."""
 
@@ -262,13 +274,13 @@ class _Distinct:
         self.size, self.most = 0, most
 
     def add(self, arrays: list[np.ndarray]) -> None:
-        self.waiting.append(np.unique(np.concatenate(arrays)))
+        self.waiting.append(_sorted_distinct(np.concatenate(arrays)))
         self.size += len(self.waiting[-1])
         if self.size > self.most:
             self.keys()
 
     def keys(self) -> np.ndarray:
-        merged = np.unique(np.concatenate(self.waiting))
+        merged = _sorted_distinct(np.concatenate(self.waiting))
         self.waiting, self.size = [merged], 0
         return merged
 
@@ -292,6 +304,35 @@ def _asked_keys(settings: Ppm):
     return run
 
 
+def _by_size(texts: list[str | None], size: int) -> Iterator[list[str | None]]:
+    """The texts in order, so many at a time that they have about `size` characters, or one longer text."""
+    some, n = [], 0
+    for text in texts:
+        some.append(text)
+        n += len(text or "")
+        if n >= size:
+            yield some
+            some, n = [], 0
+    if some:
+        yield some
+
+
+def _sums(arrays: list[np.ndarray], keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """For each array, the sum of its keys' values; `keys` are sorted and hold all of them.
+
+    Looked up in order, each distinct key once: neighbours in the table are
+    neighbours in memory.
+    """
+    flat = np.concatenate(arrays)
+    order = np.argsort(flat)
+    ranked = flat[order]
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    each = np.empty(len(flat))
+    each[order] = values[np.searchsorted(keys, ranked[new])][np.cumsum(new) - 1]
+    ends = np.cumsum([len(a) for a in arrays])
+    return np.add.reduceat(each, np.concatenate(([0], ends[:-1])))
+
+
 def _score_block(settings: Ppm, words: int, kinds: int, key_type: pa.DataType):
     def run(rows: pa.Table, answers: pa.Table) -> pa.Table:
         reader = _Reader(settings.order)
@@ -308,16 +349,14 @@ def _score_block(settings: Ppm, words: int, kinds: int, key_type: pa.DataType):
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
         for batch in rows.to_batches(max_chunksize=500):
             texts = batch.column("text").to_pylist()
-            for text, tokens in zip(texts, reader.words(texts), strict=True):
+            for tokens in reader.words(texts):
                 place = np.searchsorted(word_keys, tokens)
                 out["n_tokens"].append(len(tokens))
                 out["n_known"].append(int(np.count_nonzero(word_counts[place])))
                 out["base_score"].append(float(word_logs[place].sum()))
-                grams = reader.grams(text)
-                score = 0.0
-                for k in range(0, len(grams), 1 << 18):
-                    score += float(gram_logs[np.searchsorted(gram_keys, grams[k : k + (1 << 18)])].sum())
-                out["score"].append(score)
+            for some in _by_size(texts, 2_000_000):
+                # No text is without grams: each has its end.
+                out["score"] += _sums([reader.grams(text) for text in some], gram_keys, gram_logs).tolist()
         return pa.table(
             {
                 "doc_id": rows.column("doc_id").cast(key_type),
@@ -351,7 +390,7 @@ def score_documents(
     # where its texts are, and the one shuffle of the texts serves both.
     parts = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = max(1, -(-found.get(_SIZE, (0, 0))[0] // settings.block_bytes))
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks))
     dealt = rows.withColumn("block", block).repartition(parts, "block")
     asked = dealt.groupBy("block").applyInArrow(
         _asked_keys(settings), "block bigint, kind int, key bigint"
