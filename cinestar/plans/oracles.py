@@ -309,3 +309,4 @@ SELECT film_id, count(*) AS genres FROM examples JOIN known USING (name)
 WHERE {_TRAINING.format("<")} GROUP BY film_id"""
 ORACLES["json_infer"] = ORACLES["dim_countries"]
 ORACLES["table_overwrite"] = ORACLES["dim_genres"]
+ORACLES["csv_blocks"] = ORACLES["csv_roundtrip"]

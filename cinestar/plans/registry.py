@@ -17,6 +17,7 @@ from cinestar.session import scratch_path
 from cinestar.sources import fixtures as raw
 from cinestar.sources import schemas, tables
 from cinestar.sources.csv import export_csv, read_csv
+from cinestar.sources.records import read_records
 
 # Catalog schema of tables that live as long as the session.
 SCRATCH = "cinestar_scratch"
@@ -169,6 +170,15 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
 
 
+def csv_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts through a few large CSV files, each read by as many tasks as it has blocks."""
+    path = scratch_path(spark, "csv")
+    documents = raw.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    export_csv(documents, path, rows_per_file=0)
+    rows = read_records(spark, path, ("doc_id", "lang", "text"))
+    return rows.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
+
+
 def csv_single_line(spark: SparkSession, sf: str) -> DataFrame:
     """Credits through the splittable scan: a printed collection holds no line break."""
     path = scratch_path(spark, "credits")
@@ -391,6 +401,7 @@ QUERIES: dict[str, Query] = {
     "event_props": event_props,
     "conversation_turns": conversation_turns,
     "csv_roundtrip": csv_roundtrip,
+    "csv_blocks": csv_blocks,
     "csv_single_line": csv_single_line,
     "table_overwrite": table_overwrite,
     "parquet_stage": parquet_stage,

@@ -24,9 +24,8 @@ def read_csv(
     is checked against it and no extra pass reads it. Without it, Spark takes
     the names from the first line.
 
-    `multiline` lets quoted values hold line breaks. Such a file cannot be
-    split: one task reads it. Use it only for columns of free text, and stage
-    the result as Parquet before reading it more than once.
+    `multiline` lets quoted values hold line breaks. Spark cannot split such a
+    file: one task reads it. `records.read_records` reads it by blocks.
     """
     reader = spark.read.options(**QUOTING, multiLine=str(multiline).lower())
     if header is not None:

@@ -6,6 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cinestar.sources.publish import expire, point_table, publish
+
 
 def ensure_schema(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create a catalog schema unless it is there."""
@@ -20,19 +22,16 @@ def save_table(
     bucket_by: str | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Write an external Parquet table, replacing an earlier run, and return its scan.
+    """Publish the rows as an external table, in place of an earlier run, and return its scan.
 
-    With `bucket_by`, tables of equal bucket counts join on that column without
-    a shuffle. Use it for columns that are unique in the table: the rows of one
-    value all pass through one task.
+    The earlier run stays readable until the new one is whole, and the one before
+    it is removed then. `bucket_by` is that of `publish`.
     """
-    if bucket_by:
-        frame = frame.repartition(buckets, bucket_by)
-    writer = frame.write.format("parquet").mode("overwrite").option("path", path)
-    if bucket_by:
-        writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
-    writer.saveAsTable(name)
-    return frame.sparkSession.table(name)
+    spark = frame.sparkSession
+    publish(frame, path, bucket_by=bucket_by or "", buckets=buckets or 0)
+    table = point_table(spark, name, path)
+    expire(spark, path)
+    return table
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -58,15 +57,9 @@ def overwrite_run(frame: DataFrame, path: str, run: Mapping[str, str]) -> str:
 
 
 def save_run(frame: DataFrame, name: str, path: str, run: Mapping[str, str]) -> DataFrame:
-    """`overwrite_run` for a partitioned catalog table; returns its scan over all runs."""
+    """Publish one run of a partitioned catalog table, in place of an earlier one; returns all runs' scan."""
     spark = frame.sparkSession
-    folder = overwrite_run(frame, path, run)
-    columns = ", ".join([frame.drop(*run).schema.toDDL(), *(f"{column} string" for column in run)])
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
-        f"PARTITIONED BY ({', '.join(run)}) LOCATION '{path}'"
-    )
-    partition = ", ".join(f"{column} = '{value}'" for column, value in run.items())
-    spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS PARTITION ({partition}) LOCATION '{folder}'")
-    spark.catalog.refreshTable(name)
-    return spark.table(name)
+    publish(frame, path, run)
+    table = point_table(spark, name, path)
+    expire(spark, path)
+    return table
