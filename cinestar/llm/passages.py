@@ -49,7 +49,8 @@ from cinestar.llm.hashing import mix
 from cinestar.llm.suffixes import share_prefix, suffix_order
 
 _U = np.uint64
-_BASE = 0x9E3779B97F4A7C15
+_BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _CHUNK = 1 << 18  # bytes hashed at once: the arrays over them stay in a core's cache
 _BITMAP_ROW = 1 << 15  # bits in a row of Spark's bitmap aggregate
 
@@ -79,6 +80,8 @@ class _Keys:
     def __init__(self, settings: RepeatedPassages) -> None:
         self.length, self.gram = settings.length, settings.gram
         self.byte = mix(np.arange(1, 257, dtype=_U))
+        # Powers of the base and of its inverse, from the 0th on.
+        self.up = self.down = np.ones(1, dtype=_U)
 
     def grams(self, raw: np.ndarray, width: int) -> np.ndarray:
         """A hash of the `width` bytes from each position on; polynomials, put together by doubling."""
@@ -103,6 +106,15 @@ class _Keys:
         """The hash of each window's bytes, the smallest bit set: no key of the other kind equals it."""
         return self.grams(raw, self.length) | _U(1)
 
+    def pieces(self, raw: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """A hash of the bytes of each piece, from sums up to its ends."""
+        while len(self.up) < len(raw):
+            self.up, self.down = (
+                np.concatenate((p, p * p[-1] * _U(base))) for p, base in ((self.up, _BASE), (self.down, _INVERSE))
+            )
+        sums = np.concatenate((np.zeros(1, dtype=_U), np.cumsum(self.byte[raw] * self.up[: len(raw)])))
+        return mix((sums[first + sizes] - sums[first]) * self.down[first] + sizes.astype(_U))
+
     def windows(self, grams: np.ndarray) -> np.ndarray:
         """The key of each window: the smallest hash of its grams, with the smallest bit clear."""
         least, width = grams, self.length - self.gram + 1
@@ -288,7 +300,7 @@ def candidates(rows: DataFrame, bitmap: Broadcast, crowded: Broadcast, settings:
         bits = np.frombuffer(bitmap.value, dtype=np.uint8)
         mask = _U(8 * len(bits) - 1)
         crowds = np.frombuffer(crowded.value, dtype=np.int64).view(_U)
-        waiting, size = [], 0
+        waiting, pieces, size = [], 0, 0
 
         def among_crowds(keys: np.ndarray) -> np.ndarray:
             if not len(crowds):
@@ -297,17 +309,18 @@ def candidates(rows: DataFrame, bitmap: Broadcast, crowded: Broadcast, settings:
 
         def out() -> Iterator[pa.RecordBatch]:
             """Of the pieces that wait, the earliest of each text, and all others without their text."""
-            hashes, places, keys, sizes = (np.concatenate([w[k] for w in waiting]) for k in range(4))
-            data = b"".join(w[4] for w in waiting)
-            ends = np.cumsum(sizes)
+            hashes, places, keys, firsts, sizes = (np.concatenate([w[k] for w in waiting]) for k in range(1, 6))
+            chunk_of = np.repeat(np.arange(len(waiting)), [len(w[1]) for w in waiting])
             kind = seen.sort_out(hashes, places)
             told = np.flatnonzero(kind < 2)
             for k in range(0, len(told), 20_000):
                 some = told[k : k + 20_000]
-                place, size = places[some], sizes[some]
+                place = places[some]
                 texts = [
-                    None if later else data[e - s : e]
-                    for e, s, later in zip(ends[some].tolist(), size.tolist(), kind[some].tolist(), strict=True)
+                    None if later else waiting[chunk][0][first : first + n]
+                    for later, chunk, first, n in zip(
+                        *(a[some].tolist() for a in (kind, chunk_of, firsts, sizes)), strict=True
+                    )
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -315,7 +328,7 @@ def candidates(rows: DataFrame, bitmap: Broadcast, crowded: Broadcast, settings:
                         pa.array(place["id"], mask=place["null"]),
                         pa.array(place["tie"]),
                         pa.array(place["start"]),
-                        pa.array(size),
+                        pa.array(sizes[some]),
                         pa.array(texts, pa.binary()),
                     ],
                     schema=_CANDIDATE,
@@ -344,19 +357,16 @@ def candidates(rows: DataFrame, bitmap: Broadcast, crowded: Broadcast, settings:
                 if not len(first):
                     continue
                 sizes = count + length - 1
-                # Every byte of the pieces, one after the other.
-                at = np.repeat(first - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-                data = raw[at].tobytes()
                 text_of = np.searchsorted(starts, first, side="right") - 1
                 row = of[text_of]
                 place = np.empty(len(first), dtype=seen.PLACE)
                 place["null"], place["id"], place["tie"] = null[row], numbers[row], ties[row]
                 place["start"] = first - starts[text_of] + offsets[text_of]
-                waiting.append((_hash_pieces(keyer, data, sizes), place, key, sizes, data))
-                size += len(data)
-                if size > 8_000_000:
+                waiting.append((raw.tobytes(), keyer.pieces(raw, first, sizes), place, key, first, sizes))
+                pieces, size = pieces + len(first), size + len(raw)
+                if pieces > 100_000 or size > 8_000_000:
                     yield from out()
-                    waiting, size = [], 0
+                    waiting, pieces, size = [], 0, 0
         if waiting:
             yield from out()
 
@@ -364,23 +374,12 @@ def candidates(rows: DataFrame, bitmap: Broadcast, crowded: Broadcast, settings:
     return rows.select("doc_id", "tie", "text").mapInArrow(run, schema)
 
 
-def _hash_pieces(keyer: _Keys, data: bytes, sizes: np.ndarray) -> np.ndarray:
-    """A hash of the bytes of each piece."""
-    raw = np.frombuffer(data, dtype=np.uint8)
-    starts = np.cumsum(sizes) - sizes
-    place = np.arange(len(raw), dtype=np.int64) - np.repeat(starts, sizes)
-    powers = np.multiply.accumulate(np.full(int(sizes.max()), _BASE, dtype=_U))
-    sums = np.add.reduceat(keyer.byte[raw] * powers[place], starts)
-    return mix(sums + sizes.astype(_U))
-
-
 def _repeated_in_block(
     text: np.ndarray, starts: np.ndarray, sizes: np.ndarray, length: int
 ) -> np.ndarray:
     """The places in `text`, pieces laid end to end in the order of the documents, of repeated windows."""
-    wanted = np.zeros(len(text) + 1, dtype=np.int32)
-    np.add.at(wanted, starts, 1)
-    np.add.at(wanted, starts + sizes - length + 1, -1)
+    wanted = -np.bincount(starts + sizes - length + 1, minlength=len(text) + 1)
+    wanted[starts] += 1
     order = suffix_order(text, np.cumsum(wanted[:-1]) > 0, length)
     if not len(order):
         return order

@@ -39,9 +39,8 @@ def suffix_order(text: np.ndarray, wanted: np.ndarray, depth: int) -> np.ndarray
     ends = np.append(np.flatnonzero(is_b), n - 1)
     at = np.flatnonzero(wanted)
     stop = ends[np.searchsorted(ends, at)]
-    steps = np.zeros(n + 1, dtype=np.int32)
-    np.add.at(steps, at, 1)
-    np.add.at(steps, stop + 1, -1)
+    steps = -np.bincount(stop + 1, minlength=n + 1)
+    steps[at] += 1
     needed = np.cumsum(steps[:-1]) > 0
 
     padded = np.concatenate((text, np.zeros(depth, dtype=np.uint8)))
