@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,20 +28,6 @@ def staged(frame: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> D
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-@contextmanager
-def few_rows_at_once(spark: SparkSession, rows: int) -> Iterator[None]:
-    """Jobs run in here read and hand on so many rows at a time: for tables whose rows are of megabytes."""
-    keys = ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.parquet.columnarReaderBatchSize")
-    before = {key: spark.conf.get(key) for key in keys}
-    for key in keys:
-        spark.conf.set(key, str(rows))
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
 def discard(*frames: DataFrame) -> None:
     """Remove the folders of staged tables that nothing reads any more."""
     for frame in frames:

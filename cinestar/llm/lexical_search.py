@@ -4,9 +4,10 @@ Index. Documents are taken in blocks of about `block_postings` postings, as
 they are read, without a shuffle. A block's grid has its terms as rows, the
 frequent ones first, its documents as columns, by id, and as values the impacts
 (the part of a document's score that does not depend on how rare the term is).
-Its quadtree of maxima (`treap`) is a row of the index. The numbers that impacts
-need, documents and terms in all, and how many documents hold a term, are counted
-over all documents first.
+Its quadtree of maxima (`treap`) is made and searched in the same task: it is
+larger than the text it comes from is to read again, so it is not written. The
+numbers that impacts need, documents and terms in all, and how many documents
+hold a term, are counted over all documents first.
 
 Search. An item's terms and weights go down the quadtrees together, best first
 over document ranges, until no range can hold one of its `most` best documents.
@@ -36,21 +37,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cinestar.llm.frames import few_rows_at_once, slices, staged
+from cinestar.llm.frames import slices, staged
 from cinestar.llm.hashing import WordHasher
 from cinestar.llm.treap import Treap, best_columns
 
 
 @dataclass(frozen=True)
 class LexicalSearch:
-    """Documents returned an item; postings of an index row; terms of a block of items.
+    """Documents returned an item; postings of a quadtree; terms of a block of items.
 
     `items_at_once` go down a quadtree together.
     """
 
     most: int = 50
-    block_postings: int = 100_000
-    query_terms: int = 200_000
+    block_postings: int = 300_000
+    query_terms: int = 1_000_000
     items_at_once: int = 16
 
 
@@ -110,49 +111,50 @@ def impacts(tf: np.ndarray, n: np.ndarray, documents: int, length: int) -> np.nd
     return (1_000_000_000 * tf) // (1000 * tf + 20 * m)
 
 
-def build_index(documents: DataFrame, n_documents: int, length: int, settings: LexicalSearch) -> DataFrame:
-    """Rows of the index over (doc_id, text): ids, terms by hash, their rows, and the quadtree."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, waiting, size = TermHasher(), [], 0
-
-        def out() -> pa.RecordBatch:
-            # Columns in the order of the ids, null ids last.
-            waiting.sort(key=lambda w: (w[0] is None, w[0] or 0))
-            counts = np.array([len(w[1]) for w in waiting])
-            terms, tf = (np.concatenate([w[k] for w in waiting]) for k in (1, 2))
-            column = np.repeat(np.arange(len(waiting)), counts)
-            n = np.array([int(w[2].sum()) for w in waiting])[column]
-            distinct, of, df = np.unique(terms, return_inverse=True, return_counts=True)
-            # Frequent terms first: cells of rare terms are mostly empty, so their bounds are close.
-            row = np.empty(len(distinct), dtype=np.int64)
-            row[np.argsort(-df, kind="stable")] = np.arange(len(distinct))
-            treap = Treap.build(row[of], column, impacts(tf, n, n_documents, length))
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([[w[0] for w in waiting]], pa.list_(pa.int64())),
-                    pa.array([distinct.tobytes()], pa.binary()),
-                    pa.array([row.astype(np.int32).tobytes()], pa.binary()),
-                    pa.array([treap.height], pa.int32()),
-                    pa.array([treap.masks.tobytes()], pa.binary()),
-                    pa.array([treap.values.tobytes()], pa.binary()),
-                ],
-                ["doc_ids", "terms", "rows", "height", "masks", "impacts"],
-            )
-
-        for batch in slices(batches):
-            ids = batch.column("doc_id").to_pylist()
-            for row, terms, tf in _postings(batch, hasher):
-                waiting.append((ids[row], terms, tf))
-                size += len(terms)
-                if size >= settings.block_postings:
-                    yield out()
-                    waiting, size = [], 0
-        if waiting:
-            yield out()
-
-    schema = "doc_ids array<bigint>, terms binary, rows binary, height int, masks binary, impacts binary"
-    return documents.select("doc_id", "text").mapInArrow(run, schema)
+class _Block:
+    """The quadtree of some documents, (id, terms, occurrences) each."""
+
+    def __init__(self, documents: list[tuple], n_documents: int, length: int) -> None:
+        # Columns in the order of the ids, null ids last.
+        documents.sort(key=lambda d: (d[0] is None, d[0] or 0))
+        self.ids = pa.array([d[0] for d in documents], pa.int64())
+        counts = np.array([len(d[1]) for d in documents])
+        terms, tf = (np.concatenate([d[k] for d in documents]) for k in (1, 2))
+        column = np.repeat(np.arange(len(documents)), counts)
+        n = np.array([int(d[2].sum()) for d in documents])[column]
+        self.terms, of, df = np.unique(terms, return_inverse=True, return_counts=True)
+        # Frequent terms first: cells of rare terms are mostly empty, so their bounds are close.
+        self.row = np.empty(len(self.terms), dtype=np.int64)
+        self.row[np.argsort(-df, kind="stable")] = np.arange(len(self.terms))
+        self.treap = Treap.build(self.row[of], column, impacts(tf, n, n_documents, length))
+
+    def rows_of(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row of each term, is it there)."""
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        return self.row[at], self.terms[at] == terms
+
+
+class _Best:
+    """The best documents of each item so far, and the score from which on another one counts."""
+
+    def __init__(self, items: int, most: int) -> None:
+        self.items, self.most, self.least = items, most, np.ones(items, dtype=np.int64)
+        self.place, self.score, self.id = (np.empty(0, dtype=np.int64) for _ in range(3))
+        self.null = np.empty(0, dtype=bool)
+
+    def add(self, place: np.ndarray, score: np.ndarray, ids: pa.Array) -> None:
+        self.place, self.score = np.concatenate((self.place, place)), np.concatenate((self.score, score))
+        self.id = np.concatenate((self.id, ids.fill_null(0).to_numpy(zero_copy_only=False)))
+        self.null = np.concatenate((self.null, ids.is_null().to_numpy(zero_copy_only=False)))
+
+    def cut(self) -> None:
+        order = np.lexsort((self.id, self.null, -self.score, self.place))
+        first = np.searchsorted(self.place[order], self.place[order])
+        order = order[np.arange(len(order)) - first < self.most]
+        self.place, self.score, self.id, self.null = (a[order] for a in (self.place, self.score, self.id, self.null))
+        full = np.flatnonzero(np.bincount(self.place, minlength=self.items) == self.most)
+        last = np.searchsorted(self.place, full, side="right") - 1
+        self.least[full] = np.maximum(self.least[full], self.score[last])
 
 
 def weighted_terms(items: DataFrame, counts: DataFrame, n_documents: int) -> DataFrame:
@@ -186,54 +188,49 @@ def _blocks_of(items: DataFrame, size: int) -> Iterator[list]:
         yield block
 
 
-def search_index(index: DataFrame, block: list, settings: LexicalSearch) -> DataFrame:
+def search_block(
+    documents: DataFrame, block: list, n_documents: int, length: int, settings: LexicalSearch
+) -> DataFrame:
     """(place, doc_id, score): each task's best documents for the items of a block, by their place in it."""
     sizes = np.array([len(row["terms"]) for row in block])
     terms = np.array([t["term"] for row in block for t in row["terms"]], dtype=np.int64).view(np.uint64)
     weights = np.array([t["weight"] for row in block for t in row["terms"]], dtype=np.int64)
-    shared = index.sparkSession.sparkContext.broadcast((sizes, terms, weights))
-    most = settings.most
+    shared = documents.sparkSession.sparkContext.broadcast((sizes, terms, weights))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes, terms, weights = shared.value
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        least = np.ones(len(sizes), dtype=np.int64)
-        ids, null, scores, places = (np.empty(0, dtype=d) for d in (np.int64, bool, np.int64, np.int64))
-        for batch in slices(batches, 1):
-            row = {c: batch.column(c)[0] for c in batch.schema.names}
-            own = row["doc_ids"].values
-            hashes = np.frombuffer(row["terms"].as_buffer(), dtype=np.uint64)
-            treap = Treap(
-                row["height"].as_py(),
-                np.frombuffer(row["masks"].as_buffer(), dtype=np.uint8),
-                np.frombuffer(row["impacts"].as_buffer(), dtype=np.int32),
-            )
-            at = np.minimum(np.searchsorted(hashes, terms), len(hashes) - 1)
-            there = hashes[at] == terms
-            asked = np.frombuffer(row["rows"].as_buffer(), dtype=np.int32)[at].astype(np.int64)
+        hasher, best = TermHasher(), _Best(len(sizes), settings.most)
+
+        def enter(documents: list[tuple]) -> None:
+            grid = _Block(documents, n_documents, length)
+            row, there = grid.rows_of(terms)
             for low in range(0, len(sizes), settings.items_at_once):
                 high = min(low + settings.items_at_once, len(sizes))
-                some = np.flatnonzero(there & (owner >= low) & (owner < high))
+                some = np.arange(*np.searchsorted(owner, (low, high)))
+                some = some[there[some]]
                 item, column, score = best_columns(
-                    treap, len(own), asked[some], weights[some], owner[some] - low, least[low:high], most
-                )
-                found = own.take(pa.array(column))
-                ids = np.concatenate((ids, found.fill_null(0).to_numpy(zero_copy_only=False)))
-                null = np.concatenate((null, found.is_null().to_numpy(zero_copy_only=False)))
-                scores, places = np.concatenate((scores, score)), np.concatenate((places, item + low))
-            # Of each item, the best so far; its limit is the score of the last of them.
-            order = np.lexsort((ids, null, -scores, places))
-            first = np.searchsorted(places[order], places[order])
-            order = order[np.arange(len(order)) - first < most]
-            ids, null, scores, places = (a[order] for a in (ids, null, scores, places))
-            full = np.bincount(places, minlength=len(sizes)) == most
-            last = np.searchsorted(places, np.flatnonzero(full), side="right") - 1
-            least[full] = np.maximum(least[full], scores[last])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(places), pa.array(ids, mask=null), pa.array(scores)], ["place", "doc_id", "score"]
-        )
-
-    return index.mapInArrow(run, "place bigint, doc_id bigint, score bigint")
+                    grid.treap, len(grid.ids), row[some], weights[some], owner[some] - low,
+                    best.least[low:high], settings.most,
+                )
+                best.add(item + low, score, grid.ids.take(pa.array(column)))
+            best.cut()
+
+        waiting, size = [], 0
+        for batch in slices(batches):
+            ids = batch.column("doc_id").to_pylist()
+            for row, found, tf in _postings(batch, hasher):
+                waiting.append((ids[row], found, tf))
+                size += len(found)
+                if size >= settings.block_postings:
+                    enter(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            enter(waiting)
+        arrays = [pa.array(best.place), pa.array(best.id, mask=best.null), pa.array(best.score)]
+        yield pa.RecordBatch.from_arrays(arrays, ["place", "doc_id", "score"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "place bigint, doc_id bigint, score bigint")
 
 
 def search(
@@ -259,17 +256,15 @@ def search(
     schema = f"item struct<item:{kind},own:bigint>, doc_id bigint, score bigint"
     found = spark.createDataFrame([], schema)
     if n_documents:
-        index = staged(build_index(rows, n_documents, length, settings), "index")
         known = staged(weighted_terms(asked, counts, n_documents), "items")
         for block in _blocks_of(known, settings.query_terms):
-            best = search_index(index, block, settings)
+            best = search_block(rows, block, n_documents, length, settings)
             names = spark.createDataFrame(
                 [(k, tuple(row["item"])) for k, row in enumerate(block)],
                 f"place bigint, item struct<item:{kind},own:bigint>",
             )
             best = best.join(F.broadcast(names), "place").select("item", "doc_id", "score")
-            with few_rows_at_once(spark, 16):
-                found = found.union(staged(best, "found"))
+            found = found.union(staged(best, "found"))
     ranked = Window.partitionBy("item").orderBy(F.desc("score"), F.col("doc_id").asc_nulls_last())
     best = found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= settings.most)
     return best.select("item.item", "rank", "doc_id", "score")
