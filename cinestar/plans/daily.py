@@ -17,6 +17,7 @@ from cinestar.operators import cast, enrich, films, posters, ratings
 from cinestar.operators.collections import parse_collections, quarantine_cells
 from cinestar.sources import schemas
 from cinestar.sources.csv import read_csv
+from cinestar.sources.records import read_records
 from cinestar.sources.tables import (
     ensure_schema,
     overwrite_parquet,
@@ -43,7 +44,7 @@ class DailyConfig:
     companies_csv: str | None = None
     # Pairs of rating id and film id, where the ratings have an id space of their own.
     links_csv: str | None = None
-    # Keywords and ratings may hold line breaks inside quoted values. Such files cannot be split.
+    # Keywords and ratings may hold line breaks inside quoted values, as metadata always may.
     multiline: bool = False
     # Buckets of the tables that have one row per film; equal counts join without
     # a shuffle. By default as many as a shuffle has partitions.
@@ -98,13 +99,14 @@ def run_credits(lake: _Lake) -> None:
     lake.table(cast.dim_characters(members), "DimCharacters")
     lake.table(cast.dim_roles(members), "DimRoles")
     lake.table(cast.dim_actors(members), "DimActors")
+    lake.table(cast.dim_person(members), "DimPerson")
     lake.stage(quarantine_cells(credits), "quarantine/credits")
 
 
 def run_movies(lake: _Lake) -> None:
     """Metadata is read once, cleared of denied rows and copies, parsed and staged."""
     config = lake.config
-    movies = read_csv(lake.spark, config.movies_csv, multiline=True, require=schemas.MOVIES)
+    movies = read_records(lake.spark, config.movies_csv, require=schemas.MOVIES)
     accepted = lake.stage(films.accept_films(movies, config.denied), "stage/accepted")
     numbered, broken = films.split_numbered(accepted)
     lake.stage(broken, "quarantine/film_id")
@@ -138,9 +140,8 @@ def _companies(lake: _Lake, movies: DataFrame) -> DataFrame:
 def run_keywords(lake: _Lake) -> None:
     """Keywords, parsed and staged like the other exports."""
     config = lake.config
-    keywords = read_csv(
-        lake.spark, config.keywords_csv, multiline=config.multiline, require=schemas.KEYWORDS
-    )
+    read = read_records if config.multiline else read_csv
+    keywords = read(lake.spark, config.keywords_csv, require=schemas.KEYWORDS)
     keywords = lake.numbered(keywords, "keywords")
     keywords = parse_collections(keywords, {"keywords": schemas.NAMED}, config.policy)
     keywords = lake.stage(keywords, "stage/keywords")
@@ -151,9 +152,8 @@ def run_keywords(lake: _Lake) -> None:
 def run_ratings(lake: _Lake) -> None:
     """Single ratings as a partition of the run; their totals per film as its votes."""
     config = lake.config
-    raw = read_csv(
-        lake.spark, config.ratings_csv, multiline=config.multiline, require=schemas.RATINGS
-    )
+    read = read_records if config.multiline else read_csv
+    raw = read(lake.spark, config.ratings_csv, require=schemas.RATINGS)
     good, broken = ratings.split_ratings(raw)
     lake.stage(broken, "quarantine/ratings")
     name, path = f"{config.database}.FactRatings", lake.path("model/FactRatings")

@@ -274,8 +274,9 @@ SELECT id, film_id, ((id + 1) * 5 - 1) // films AS slice FROM numbered""",
     "star_films": f"""WITH {_VOTES}, {_SALES}
 SELECT v.film_id, v.title, v.original_title, url AS homepage, p_retailprice AS popularity,
        {_RELEASE} AS release_date, {_REVENUE} AS revenue, CAST(p_size AS DOUBLE) AS runtime,
-       p_type AS status, imdb_id, vote_average, vote_count
+       p_type AS status, imdb_id, text AS overview, vote_average, vote_count
 FROM votes v JOIN films f ON f.film_id = v.film_id LEFT JOIN pages ON page_id = v.film_id
+LEFT JOIN documents ON doc_id = v.film_id
 LEFT JOIN sales s ON s.film_id = v.film_id""",
     "star_by_genre": f"WITH {_FACTS}, {_TOTALS}, {_SALES}, {_GENRES.format(source='films')} {_rollup('genre_rows', 'name')}",
     "star_by_country": f"WITH {_FACTS}, {_TOTALS}, {_COUNTRIES} {_rollup('country_rows', 'name')}",
@@ -310,3 +311,90 @@ WHERE {_TRAINING.format("<")} GROUP BY film_id"""
 ORACLES["json_infer"] = ORACLES["dim_countries"]
 ORACLES["table_overwrite"] = ORACLES["dim_genres"]
 ORACLES["csv_blocks"] = ORACLES["csv_roundtrip"]
+
+
+# Two successive exports, one copy of each film.
+_RUNS = f"""{_ALL_FILMS},
+run_rows AS (
+  SELECT 1 AS run, * FROM all_films WHERE p_brand <> 'Brand#3'
+  UNION ALL
+  SELECT 2, * REPLACE (CASE WHEN p_brand = 'Brand#5' THEN p_name || ' II' ELSE p_name END AS p_name,
+                       CASE WHEN p_brand = 'Brand#5' THEN 'REISSUE' ELSE p_type END AS p_type)
+  FROM all_films WHERE p_brand <> 'Brand#7'),
+runs AS (
+  SELECT * EXCLUDE (copy) FROM (
+    SELECT *, row_number() OVER ({_COPY.replace("PARTITION BY film_id", "PARTITION BY run, film_id")}) AS copy
+    FROM run_rows) WHERE copy = 1),
+days AS (SELECT * FROM (VALUES (1, '1995-01-01'), (2, '1997-01-01')) d(run, day))"""
+
+_DATED = """
+dated AS (
+  SELECT l_partkey AS film_id, CAST(0.5 * ceil(l_quantity / 5) AS DOUBLE) AS rating,
+         CAST(l_shipdate AS DATE) AS day
+  FROM lineitem)"""
+
+# Genres of a run's films, each pair with a film once.
+_RUN_GENRES = """
+run_pairs AS (
+  SELECT run, film_id, CAST('0x' || substr(md5(p_type), 1, 6) AS INTEGER) AS id, p_type AS name FROM runs
+  UNION ALL
+  SELECT run, film_id, label + 100, 'g' || CAST(label AS VARCHAR)
+  FROM runs JOIN embeddings ON vec_id = film_id)"""
+
+ORACLES["published_versions"] = f"""WITH {_DATED}
+SELECT CAST(1 AS BIGINT) AS version, rating, count(*) AS freq FROM dated WHERE day < DATE '1996-01-01' GROUP BY rating
+UNION ALL
+SELECT 2, rating, count(*) FROM dated GROUP BY rating"""
+ORACLES["votes_by_increments"] = f"WITH {_TOTALS} SELECT film_id, freq, rated, rating FROM totals"
+ORACLES["run_changes"] = f"""WITH {_ALL_FILMS}
+SELECT DISTINCT film_id, CASE p_brand WHEN 'Brand#3' THEN 'insert' WHEN 'Brand#7' THEN 'delete'
+                              ELSE 'update' END AS change
+FROM all_films WHERE p_brand IN ('Brand#3', 'Brand#5', 'Brand#7')"""
+ORACLES["run_genres"] = f"WITH {_RUNS}, {_RUN_GENRES} SELECT id, film_id, name FROM run_pairs WHERE run = 2"
+ORACLES["vault_states"] = f"""WITH {_RUNS}
+SELECT day, film_id, p_name AS title, p_type AS status FROM runs JOIN days USING (run)"""
+ORACLES["vault_loads"] = f"""WITH {_RUNS}
+SELECT {_key("film_id")} AS film_key, day, false AS deleted, p_name AS title
+FROM runs JOIN days USING (run) WHERE run = 1 OR p_brand IN ('Brand#3', 'Brand#5')
+UNION ALL
+SELECT {_key("film_id")}, '1997-01-01', true, NULL FROM runs WHERE run = 1 AND p_brand = 'Brand#7'"""
+ORACLES["vault_links"] = f"""WITH {_RUNS}, {_RUN_GENRES}
+SELECT {_key("film_id", "name")} AS key, {_key("film_id")} AS film_id_key, {_key("name")} AS name_key,
+       min(day) AS day
+FROM run_pairs JOIN days USING (run) GROUP BY film_id, name"""
+ORACLES["vault_ratings"] = f"""WITH {_RUNS}, {_DATED}
+SELECT d.film_id, p_name AS title, count(*) AS freq
+FROM dated d LEFT JOIN runs r ON r.film_id = d.film_id AND r.run = CASE
+  WHEN d.day >= DATE '1997-01-01' THEN 2 WHEN d.day >= DATE '1995-01-01' THEN 1 END
+GROUP BY d.film_id, p_name"""
+ORACLES["films_by_genre_and_country"] = f"""WITH {_FILMS}, {_COUNTRIES}, {_GENRES.format(source="films")},
+all_pairs AS (
+  SELECT f.film_id, g.name AS genre, c.name AS country
+  FROM films f LEFT JOIN genre_rows g USING (film_id) LEFT JOIN country_rows c USING (film_id))
+SELECT genre, country, grouping(genre, country) AS level, count(DISTINCT film_id) AS films
+FROM all_pairs GROUP BY GROUPING SETS ((genre, country), (genre), (country), ())"""
+
+
+def _persons(person: str) -> str:
+    return f"""WITH {_MEMBERS},
+credits AS (
+  SELECT CAST({person} AS INTEGER) AS cast_member_id, name,
+         nullif(CASE WHEN c_acctbal < 0 THEN 0 WHEN c_mktsegment < 'F' THEN 1 ELSE 2 END, 0) AS gender
+  FROM members JOIN customer ON c_custkey = cast_member_id),
+names AS (
+  SELECT *, row_number() OVER (PARTITION BY cast_member_id ORDER BY n DESC, name) AS place
+  FROM (SELECT cast_member_id, name, count(*) AS n FROM credits WHERE name IS NOT NULL GROUP BY ALL)),
+genders AS (
+  SELECT *, row_number() OVER (PARTITION BY cast_member_id ORDER BY n DESC, gender) AS place
+  FROM (SELECT cast_member_id, gender, count(*) AS n FROM credits WHERE gender IS NOT NULL GROUP BY ALL)),
+counted AS (
+  SELECT cast_member_id, count(DISTINCT name) AS names, count(DISTINCT gender) AS genders, count(*) AS credits
+  FROM credits GROUP BY cast_member_id)
+SELECT {_key("c.cast_member_id")} AS id, c.cast_member_id, n.name, coalesce(g.gender, 0) AS gender,
+       names, genders, credits
+FROM counted c LEFT JOIN names n ON n.cast_member_id = c.cast_member_id AND n.place = 1
+LEFT JOIN genders g ON g.cast_member_id = c.cast_member_id AND g.place = 1"""
+
+
+ORACLES["dim_person"] = _persons("cast_member_id")
+ORACLES["person_clashes"] = _persons("cast_member_id // 8")

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 
 from cinestar.functions.keys import hash_key
 from cinestar.functions.scalars import VOICE, role_of
-from cinestar.operators import cast, dense, enrich, films, posters, ratings
+from cinestar.operators import cast, changes, dense, enrich, films, increments, posters, ratings
 from cinestar.operators.collections import film_id, is_malformed, parse_column
-from cinestar.plans import star
+from cinestar.plans import distinct, star, vault
 from cinestar.session import scratch_path
 from cinestar.sources import fixtures as raw
-from cinestar.sources import schemas, tables
+from cinestar.sources import publish, schemas, tables
 from cinestar.sources.csv import export_csv, read_csv
 from cinestar.sources.records import read_records
 
@@ -216,6 +216,114 @@ def daily_rerun(spark: SparkSession, sf: str) -> DataFrame:
     return back.groupBy("run_date", "rating").agg(F.count("*").alias("freq"))
 
 
+def published_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """A table published twice: its previous version, of the ratings up to 1995, and its current one."""
+    path, rows = scratch_path(spark, "published"), raw.dated_ratings(spark, sf)
+    publish.publish(rows.where("day < DATE'1996-01-01'"), path, note="up to 1995")
+    publish.publish(rows, path, note="all")
+    both = publish.read_versions(spark, path, publish.ledger(spark, path))
+    return both.groupBy("version", "rating").agg(F.count("*").alias("freq"))
+
+
+def votes_by_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Votes of three runs of ratings, one of which came with wrong ratings first and was replaced."""
+    path, rows = scratch_path(spark, "increments"), raw.dated_ratings(spark, sf)
+    early = rows.where("day < DATE'1994-01-01'")
+    middle = rows.where("day >= DATE'1994-01-01' AND day < DATE'1997-01-01'")
+    late = rows.where("day >= DATE'1997-01-01' OR day IS NULL")
+    wrong = middle.withColumn("rating", F.lit(5.0) - F.col("rating"))
+    for run, part in (("a", early), ("b", wrong), ("c", late), ("b", middle)):
+        increments.add_run(part, path, {"run": run})
+    return increments.read_totals(spark, path).select("film_id", "freq", "rated", "rating")
+
+
+def _film_run(spark: SparkSession, sf: str, run: int) -> DataFrame:
+    return films.one_per_film(raw.film_run(spark, sf, run))
+
+
+def run_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Films that are new, gone or other in the second of two exports."""
+    changed = changes.changed_keys(raw.film_run(spark, sf, 1), raw.film_run(spark, sf, 2), "id")
+    return changed.select(film_id().alias("film_id"), "change")
+
+
+def run_genres(spark: SparkSession, sf: str) -> DataFrame:
+    """The genres after the second export: those of changed films parsed, all others kept."""
+    cells = [raw.with_attributes(_film_run(spark, sf, run), spark, sf, "genres") for run in (1, 2)]
+    cells = [tables.overwrite_parquet(c, scratch_path(spark, "cells")) for c in cells]
+    changed = changes.changed_keys(*cells, "id").withColumnRenamed("id", "film_id")
+    changed = tables.overwrite_parquet(changed, scratch_path(spark, "changes"))
+    before = films.dim_genres(cells[0])
+    return changes.refresh(before, changed, cells[1], films.dim_genres, "film_id", "id")
+
+
+# Days of the two loads of the vault.
+LOADS = ("1995-01-01", "1997-01-01")
+
+
+def _film_satellite(spark: SparkSession, sf: str) -> DataFrame:
+    """Titles and states of films, loaded from two exports."""
+    known = None
+    for run, day in enumerate(LOADS, 1):
+        rows = _film_run(spark, sf, run).select(F.col("id").alias("film_id"), "title", "status")
+        new = vault.satellite_rows(rows, hash_key("film_id"), day, known)
+        new = tables.overwrite_parquet(new, scratch_path(spark, "satellite"))
+        known = new if known is None else known.unionByName(new)
+    return known
+
+
+def vault_states(spark: SparkSession, sf: str) -> DataFrame:
+    """The films as the vault has them after each load."""
+    satellite = _film_satellite(spark, sf)
+    states = [vault.as_of(satellite, day).withColumn("day", F.lit(day)) for day in LOADS]
+    return states[0].unionByName(states[1]).select("day", "film_id", "title", "status")
+
+
+def vault_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """What each load inserts into the satellite, gone films included."""
+    return _film_satellite(spark, sf).select(
+        F.col("key").alias("film_key"), F.col("load_date").cast("string").alias("day"), "deleted", "title"
+    )
+
+
+def vault_links(spark: SparkSession, sf: str) -> DataFrame:
+    """Films and genres linked, each pair once, with the load that brought it."""
+    known = None
+    for run, day in enumerate(LOADS, 1):
+        cells = raw.with_attributes(_film_run(spark, sf, run), spark, sf, "genres")
+        new = vault.link_rows(films.dim_genres(cells), ["film_id", "name"], day, known)
+        new = tables.overwrite_parquet(new, scratch_path(spark, "links"))
+        known = new if known is None else known.unionByName(new)
+    return known.select("key", "film_id_key", "name_key", F.col("load_date").cast("string").alias("day"))
+
+
+def vault_ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """Ratings by the title that their film had on the day of the rating."""
+    events = raw.dated_ratings(spark, sf).withColumn("key", hash_key("film_id"))
+    satellite = _film_satellite(spark, sf).drop("film_id")
+    joined = vault.as_of_join(events, satellite, "key", "day")
+    return joined.groupBy("film_id", "title").agg(F.count("*").alias("freq"))
+
+
+def films_by_genre_and_country(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct films per genre and country, per genre, per country and in all."""
+    unique = tables.overwrite_parquet(
+        _unique(spark, sf, "genres", "production_countries"), scratch_path(spark, "films")
+    )
+    dims = {
+        "genre": films.dim_genres(unique).withColumnRenamed("name", "genre"),
+        "country": films.dim_countries(unique).withColumnRenamed("name", "country"),
+    }
+    ids = unique.select(F.col("id").alias("film_id"))
+    return distinct.distinct_films(ids, dims, [["genre", "country"], ["genre"], ["country"], []])
+
+
+def person_clashes(spark: SparkSession, sf: str) -> DataFrame:
+    """Persons whose credits disagree: eight customers share the id of one person."""
+    shared = F.floor(F.col("cast_member_id") / 8).cast("int")
+    return cast.dim_person(_members(spark, sf).withColumn("cast_member_id", shared))
+
+
 def hash_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Keys of a dimension's rows, and the key that all rows of a film share."""
     rows = films.film_keywords(raw.raw_keywords(spark, sf))
@@ -272,10 +380,10 @@ def _film_table(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
 
 
 def star_films(spark: SparkSession, sf: str) -> DataFrame:
-    """Films, votes and eight scalar dimensions put together from the bucketed table."""
-    saved = _film_table(spark, sf, "homepage")
+    """Films, votes and all scalar dimensions put together from the bucketed table."""
+    saved = _film_table(spark, sf, "homepage", "overview")
     ids = saved.withColumnRenamed("film_id", "id")
-    attributes = [name for name in schemas.SCALARS if name not in ("imdb_id", "overview")]
+    attributes = [name for name in schemas.SCALARS if name != "imdb_id"]
     dims = {name: films.scalar_dim(ids, name) for name in attributes}
     dims["imdb_id"] = saved.select("film_id", "imdb_id")
     facts = ids.select("id", "title", "original_title")
@@ -406,6 +514,17 @@ QUERIES: dict[str, Query] = {
     "table_overwrite": table_overwrite,
     "parquet_stage": parquet_stage,
     "daily_rerun": daily_rerun,
+    "published_versions": published_versions,
+    "votes_by_increments": votes_by_increments,
+    "run_changes": run_changes,
+    "run_genres": run_genres,
+    "vault_states": vault_states,
+    "vault_loads": vault_loads,
+    "vault_links": vault_links,
+    "vault_ratings": vault_ratings,
+    "films_by_genre_and_country": films_by_genre_and_country,
+    "dim_person": lambda s, d: cast.dim_person(_members(s, d)),
+    "person_clashes": person_clashes,
     "top_films": lambda s, d: ratings.top_films(_votes(s, d), 20),
     "hash_keys": hash_keys,
     "dense_keys": dense_keys,

@@ -23,6 +23,10 @@ COMPANY_BLOCK = 2048
 # The exporter repeats the credits rows of this brand's films, cut short.
 DAMAGED_BRAND = "Brand#7"
 
+# Of two successive exports the first lacks films of one brand, the second of
+# another; of a third brand, the second one has other titles and states.
+COMING_BRAND, GOING_BRAND, REISSUED_BRAND = "Brand#3", "Brand#7", "Brand#5"
+
 # Columns of a film that come from `part` alone, in the order of the export.
 OWN_COLUMNS = ("imdb_id", "title", "original_title", "popularity", "runtime", "status")
 
@@ -188,6 +192,30 @@ def raw_films(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def film_run(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
+    """`raw_films` as two successive exports give it: films of one brand come, of one go, of one are reissued."""
+    films = raw_films(spark, sf_dir)
+    brand = F.substring_index("original_title", " ", 1)
+    if run == 1:
+        return films.where(brand != COMING_BRAND)
+    reissued = brand == REISSUED_BRAND
+    return films.where(brand != GOING_BRAND).withColumns(
+        {
+            "title": F.when(reissued, F.concat("title", F.lit(" II"))).otherwise(F.col("title")),
+            "status": F.when(reissued, F.lit("REISSUE")).otherwise(F.col("status")),
+        }
+    )
+
+
+def dated_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(film_id, rating, day): each rating with the day that it was given."""
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_partkey").cast("bigint").alias("film_id"),
+        (F.ceil(F.col("l_quantity") / 5) * F.lit(0.5)).cast("double").alias("rating"),
+        F.col("l_shipdate").cast("date").alias("day"),
+    )
+
+
 def with_attributes(
     films: DataFrame, spark: SparkSession, sf_dir: str, *columns: str
 ) -> DataFrame:

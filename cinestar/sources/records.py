@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cinestar.sources.csv import QUOTING
 from cinestar.sources.tables import overwrite_parquet
 from cinestar.session import scratch_path
 
@@ -171,17 +172,20 @@ def _joined(pieces: DataFrame) -> DataFrame:
 def read_records(
     spark: SparkSession,
     path: str | list[str],
-    header: Sequence[str],
+    header: Sequence[str] | None = None,
     delimiter: str = ",",
     require: Sequence[str] = (),
 ) -> DataFrame:
     """Every column as string, like `read_csv(..., header=header, multiline=True)`, files split into blocks.
 
     Each file begins with a header line of these columns; one that names others
-    raises an error when the rows are read. Blank lines outside values are no
-    records. Quotes inside a value are doubled; a quote within an unquoted value
+    raises an error when the rows are read. Without `header`, the first line of
+    one file gives the names. Line breaks inside values are kept as they are.
+    Blank lines outside values are no records. Quotes inside a value are doubled; a quote within an unquoted value
     is a character like any other.
     """
+    if header is None:
+        header = spark.read.options(**QUOTING, sep=delimiter, multiLine="true").csv(path).columns
     missing = [name for name in require if name not in header]
     if missing:
         raise ValueError(f"{path}: no column {', '.join(missing)}")

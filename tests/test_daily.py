@@ -27,6 +27,7 @@ SAME_AS = {
     "DimCharacters": "dim_characters",
     "DimRoles": "dim_roles",
     "DimActors": "dim_actors",
+    "DimPerson": "dim_person",
     "DimKeywords": "film_keywords",
     "FactFilms": "fact_films",
     "DimGenres": "dim_genres",
