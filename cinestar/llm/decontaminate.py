@@ -5,27 +5,35 @@ in lower case, with typed placeholders for numbers (a digit in it), for units
 (after a number) and for names (a capital inside a sentence). An item of the
 benchmark is known by the hashes of its windows of `width` tokens; a window
 needs `min_literals` tokens that are no placeholder, else any form letter would
-match it. A document's windows are looked up among them. Windows that lie on
-one diagonal (document place minus item place) are one reading of the item, and
-count only if the reading is consistent: equal slot values of the item stand
-for equal values in the document. So a question with other numbers and names is
-caught, and text that merely has the same shape twice with clashing values is
-not. An item is leaked if its document holds `min_coverage` of its windows.
+match it. Where capitals are common inside sentences (nouns have them in some
+languages), a window needs `min_literals_capitals` only.
 
-Capitals make names, so a copy in capitals, in title case or in lower case has
-other templates than its item. Each item is therefore also looked up by its
-plain windows: `width` case-folded words, without placeholders and without a
-least number of literals. The better coverage of the two counts; one by plain
-windows is verbatim.
+The windows of the items are a table, the windows of the documents are joined to
+it on their hashes. Windows that lie on one diagonal (document place minus item
+place) are one reading of the item, and count only if the reading is consistent:
+equal slot values of the item stand for equal values in the document. So a
+question with other numbers and names is caught, and text that merely has the
+same shape twice with clashing values is not. An item is leaked if its document
+holds `min_coverage` of its windows.
 
-The windows of the benchmark are the stated query set. It is worked off in
-blocks of at most `block_windows` windows (an item longer than that is a block
-of its own) that are broadcast, each against all documents where they lie: no
-text is shuffled, and a benchmark of any size is covered, in more blocks.
+Capitals make names, so a copy in capitals, in title case or in lower case has
+other templates than its item. Each item is therefore also joined by its plain
+windows: `width` case-folded words, without placeholders and without a least
+number of literals. The better coverage of the two counts; one by plain windows
+is verbatim.
+
+A bitmap of `filter_bits` bits tells the tasks which windows of a document can
+have a partner at all, so few of them are shuffled; it is of that size however
+large the benchmark, and a full one costs rows and no results. Neither the
+benchmark nor its windows go to the driver. What a text leaks depends on the
+text alone: texts go by a 128-bit hash, so the windows of copies are joined
+once, and found leaks are joined back to all rows.
 
 Defined results: a null or empty text leaks nothing; an item without text, or
-with fewer than `width` tokens, is never found; copies of an item are found each; repeated rows are judged one by one; an empty
-benchmark or table finds nothing. Columns named like a result are replaced.
+with fewer than `width` tokens, is never found; items of equal texts are found
+each, and rows equal in id and text are one item; repeated rows of documents are
+judged one by one; an empty benchmark or table finds nothing. Columns named like
+a result are replaced.
 """
 
 from __future__ import annotations
@@ -34,14 +42,15 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cinestar.llm.frames import bitmap, fresh, slices, staged
 from cinestar.llm.hashing import BLOCK, WordHasher, mix
 
 _U = np.uint64
-_BITS = 20
 
 # Units of measure and money, as they are written after a number.
 UNITS = (
@@ -56,10 +65,14 @@ UNITS = (
 
 @dataclass(frozen=True)
 class Decontamination:
+    """Tokens of a window; least literals in it, and where capitals make `many_capitals` of a text's words; coverage."""
+
     width: int = 5
     min_literals: int = 3
+    min_literals_capitals: int = 2
+    many_capitals: float = 0.2
     min_coverage: float = 0.8
-    block_windows: int = 1_000_000
+    filter_bits: int = 1 << 24
 
 
 class Templates:
@@ -143,16 +156,22 @@ class Templates:
         place = np.minimum(np.searchsorted(self.units, values), len(self.units) - 1)
         return self.units[place] == values
 
-    def windows(self, template: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place, hash) of the windows with enough literals."""
+    def windows(self, template: np.ndarray, slot: np.ndarray, literals: int) -> tuple[np.ndarray, np.ndarray]:
+        """(place, hash) of the windows with so many literals."""
         width = self.settings.width
         out = self.plain(template)
         if not len(out):
             return np.empty(0, np.int64), out
         slots = np.concatenate(([0], np.cumsum(slot)))
-        places = np.flatnonzero(width - (slots[width:] - slots[:-width]) >= self.settings.min_literals)
+        places = np.flatnonzero(width - (slots[width:] - slots[:-width]) >= literals)
         return places, out[places]
 
+    def literals(self, template: np.ndarray) -> int:
+        """The literals that a window of this text needs."""
+        names = np.count_nonzero(template == _U(self.NAME))
+        many = names > self.settings.many_capitals * len(template)
+        return self.settings.min_literals_capitals if many else self.settings.min_literals
+
     def plain(self, values: np.ndarray) -> np.ndarray:
         """The hash of each window."""
         width = self.settings.width
@@ -165,140 +184,117 @@ class Templates:
         return out
 
 
-class _Index:
-    """The plain windows of some items: hashes in order, and the items that hold them."""
+_PLAIN, _TEMPLATE = 0, 1
+_WINDOW = "kind int, hash bigint, place bigint, `values` array<bigint>, slots array<boolean>, size bigint"
 
-    def __init__(self, windows: list[np.ndarray]) -> None:
-        self.sizes = [len(w) for w in windows]
-        self.hashes = np.concatenate([np.empty(0, _U), *windows])
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes = self.hashes[order]
-        self.owners = np.repeat(np.arange(len(windows)), self.sizes)[order]
-        self.filter = np.zeros(1 << _BITS, dtype=bool)
-        self.filter[(self.hashes >> _U(64 - _BITS)).astype(np.int64)] = True
 
-    def coverage(self, hashed: np.ndarray) -> dict[int, float]:
-        """Per item, the share of its windows that are among these."""
-        hashed = np.unique(hashed[self.filter[(hashed >> _U(64 - _BITS)).astype(np.int64)]])
-        low = np.searchsorted(self.hashes, hashed, side="left")
-        times = np.searchsorted(self.hashes, hashed, side="right") - low
-        at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
-        owners, held = np.unique(self.owners[at], return_counts=True)
-        return {int(k): int(n) / self.sizes[k] for k, n in zip(owners, held, strict=True)}
+def _batch(key: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
+    """Windows (row of `key`, kind, hash, place, values, slots, size) as a batch."""
+    of, kind, hashed, place, values, slots, size = (
+        np.concatenate(part) if part else np.empty(0) for part in zip(*rows, strict=True)
+    )
 
+    def lists(flat: np.ndarray) -> pa.Array:
+        width = flat.shape[1]
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1) * width, pa.int32()), pa.array(flat.ravel()))
 
-class QueryBlock:
-    """The windows of some items, sorted by hash, with the items' slot values."""
+    return pa.RecordBatch.from_arrays(
+        [
+            key.take(pa.array(of)),
+            pa.array(kind.astype(np.int32)),
+            pa.array(hashed.view(np.int64)),
+            pa.array(place),
+            lists(values.view(np.int64)),
+            lists(slots),
+            pa.array(size),
+        ],
+        ["key", "kind", "hash", "place", "values", "slots", "size"],
+    )
 
-    def __init__(self, items: list[tuple], settings: Decontamination) -> None:
-        templates = Templates(settings)
-        self.settings, self.ids, self.sizes, self.values, self.slots = settings, [], [], [], []
-        hashes, owners, places, plain = [], [], [], []
-        for item_id, text in items:
-            template, slot, value = templates.tokens(text or "")
-            whole = np.unique(templates.plain(value))
-            if not len(whole):
-                continue
-            place, hashed = templates.windows(template, slot)
-            plain.append(whole)
-            owners.append(np.full(len(place), len(self.ids)))
-            hashes.append(hashed)
-            places.append(place)
-            self.ids.append(item_id)
-            self.sizes.append(len(np.unique(hashed)))
-            self.values.append(value)
-            self.slots.append(slot)
-        self.plain = _Index(plain)
-        self.hashes = np.concatenate([np.empty(0, _U), *hashes])
-        order = np.argsort(self.hashes, kind="stable")
-        self.hashes = self.hashes[order]
-        self.owners = np.concatenate([np.empty(0, np.int64), *owners])[order]
-        self.places = np.concatenate([np.empty(0, np.int64), *places])[order]
-        self.filter = np.zeros(1 << _BITS, dtype=bool)
-        self.filter[(self.hashes >> _U(64 - _BITS)).astype(np.int64)] = True
-
-    def leaks(self, templates: Templates, text: str) -> list[dict]:
-        """The items that the text holds."""
-        template, slot, value = templates.tokens(text)
-        least = self.settings.min_coverage
-        found = self._by_template(templates, template, slot, value)
-        for k, coverage in self.plain.coverage(templates.plain(value)).items():
-            if coverage >= least:
-                found[k] = (max(coverage, found.get(k, (0.0, True))[0]), True)
-        return [
-            {"item_id": self.ids[k], "coverage": coverage, "verbatim": verbatim}
-            for k, (coverage, verbatim) in sorted(found.items())
-        ]
-
-    def _by_template(self, templates: Templates, template, slot, value) -> dict[int, tuple[float, bool]]:
-        place, hashed = templates.windows(template, slot)
-        maybe = self.filter[(hashed >> _U(64 - _BITS)).astype(np.int64)]
-        place, hashed = place[maybe], hashed[maybe]
-        low = np.searchsorted(self.hashes, hashed, side="left")
-        times = np.searchsorted(self.hashes, hashed, side="right") - low
-        if not times.any():
-            return {}
-        # One row per window of the text and equal window of an item.
-        here = np.repeat(place, times)
-        at = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
-        owner, there, hashes = self.owners[at], self.places[at], self.hashes[at]
-        found = {}
-        for k in np.unique(owner):
-            own = owner == k
-            item = self._item(int(k), here[own], there[own], hashes[own], value)
-            if item:
-                found[int(k)] = item
-        return found
-
-    def _item(self, k: int, here, there, hashes, value) -> tuple[float, bool] | None:
-        """Coverage by consistent readings, if it is enough, and whether exact ones suffice."""
-        if len(np.unique(hashes)) < self.settings.min_coverage * self.sizes[k]:
-            return None
-        held, exact = [], []
-        diagonal = here - there
-        for d in np.unique(diagonal):
-            own = diagonal == d
-            covered = np.unique((there[own][:, None] + np.arange(self.settings.width)).ravel())
-            slots = covered[self.slots[k][covered]]
-            pairs = {(int(a), int(b)) for a, b in zip(self.values[k][slots], value[slots + d], strict=True)}
-            if len({a for a, _ in pairs}) == len(pairs):
-                held.append(hashes[own])
-                if all(a == b for a, b in pairs):
-                    exact.append(hashes[own])
-        coverage, verbatim = (
-            len(np.unique(np.concatenate(x))) / self.sizes[k] if x else 0.0 for x in (held, exact)
-        )
-        least = self.settings.min_coverage
-        return (coverage, verbatim >= least) if coverage >= least else None
 
+def _windows(rows: DataFrame, settings: Decontamination, passing: Broadcast | None) -> DataFrame:
+    """(key, kind, hash, place, values, slots, size): windows of the rows of (key, text).
 
-def query_blocks(
-    benchmark: DataFrame, settings: Decontamination, item: str, text: str
-) -> Iterator[list[tuple]]:
-    """Items in blocks of a bounded number of words, one block in memory at a time."""
-    rows = benchmark.where(F.col(text).isNotNull()).select(item, text)
-    block, size = [], 0
-    for item_id, body in rows.toLocalIterator():
-        words = len(body.split())
-        if block and size + words > settings.block_windows:
-            yield block
-            block, size = [], 0
-        block.append((item_id, body))
-        size += words
-    if block:
-        yield block
+    Of items (`passing` is None) all windows, with the number of distinct ones as
+    `size`; of documents those that may be an item's.
+    """
+    kind_of_key = rows.schema["key"].dataType.simpleString()
+    width = settings.width
 
-
-def _leaks_in(sent, settings: Decontamination, returns: str):
-    """A column function: the leaks of a text among the items of a broadcast block."""
-
-    def leaks(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        templates, block = Templates(settings), sent.value
-        for some in texts:
-            yield pd.Series([block.leaks(templates, t) if t else [] for t in some], dtype=object)
-
-    leaks.__annotations__ = {"texts": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    return F.pandas_udf(leaks, returns)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        templates = Templates(settings)
+        bits = None if passing is None else np.frombuffer(passing.value, dtype=np.uint8)
+
+        def may_be(hashed: np.ndarray) -> np.ndarray:
+            if bits is None:
+                return np.ones(len(hashed), dtype=bool)
+            place = hashed & _U(8 * len(bits) - 1)
+            return (bits[place >> _U(3)] >> (place & _U(7)).astype(np.uint8)) & 1 > 0
+
+        for batch in slices(batches):
+            out, key, size = [], batch.column("key"), 0
+            for row, text in enumerate(batch.column("text").to_pylist()):
+                template, slot, value = templates.tokens(text or "")
+                if len(value) < width:
+                    continue
+                least = templates.literals(template) if bits is None else settings.min_literals_capitals
+                plain = templates.plain(value)
+                for kind, place, hashed in (
+                    (_PLAIN, np.arange(len(plain)), plain),
+                    (_TEMPLATE, *templates.windows(template, slot, least)),
+                ):
+                    maybe = may_be(hashed)
+                    place, hashed = place[maybe], hashed[maybe]
+                    if not len(hashed):
+                        continue
+                    each = place[:, None] + np.arange(width)
+                    n = len(np.unique(hashed)) if bits is None else 0
+                    out.append(
+                        (
+                            np.full(len(place), row), np.full(len(place), kind), hashed, place,
+                            value[each], slot[each], np.full(len(place), n),
+                        )
+                    )
+                    size += len(place)
+                if size > 50_000:
+                    yield _batch(key, out)
+                    out, size = [], 0
+            if out:
+                yield _batch(key, out)
+
+    return rows.select("key", "text").mapInArrow(run, f"key {kind_of_key}, {_WINDOW}")
+
+
+def _found(matches: DataFrame, least: float) -> DataFrame:
+    """(text, item, coverage, verbatim) of the leaks, from equal windows of texts and items."""
+    pair = ("text", "item")
+    held = matches.groupBy(*pair, "kind").agg(
+        F.count_distinct("hash").alias("held"), F.first("size").alias("size")
+    )
+    enough = held.withColumn("coverage", F.col("held") / F.col("size")).where(F.col("coverage") >= least)
+    plain = enough.where(F.col("kind") == _PLAIN).select(*pair, "coverage", F.lit(True).alias("verbatim"))
+    # Readings: windows on one diagonal, with the values that stand for each other in their slots.
+    readings = matches.where(F.col("kind") == _TEMPLATE).join(
+        enough.where(F.col("kind") == _TEMPLATE).select(*pair), list(pair), "semi"
+    )
+    slots = F.filter(F.arrays_zip("item_values", "text_values", "slots"), lambda s: s["slots"])
+    readings = readings.groupBy(*pair, (F.col("here") - F.col("there")).alias("diagonal")).agg(
+        F.collect_set("hash").alias("hashes"),
+        F.array_distinct(F.flatten(F.collect_list(slots))).alias("slots"),
+        F.first("size").alias("size"),
+    )
+    consistent = F.size("slots") == F.size(F.array_distinct(F.col("slots.item_values")))
+    exact = F.forall("slots", lambda s: s["item_values"] == s["text_values"])
+
+    def share(which: Column) -> Column:
+        some = F.array_distinct(F.flatten(F.collect_list(F.when(which, F.col("hashes")))))
+        return F.size(some) / F.first("size")
+
+    by_template = readings.groupBy(*pair).agg(
+        share(consistent).alias("coverage"), (share(consistent & exact) >= least).alias("verbatim")
+    )
+    both = plain.union(by_template.where(F.col("coverage") >= least))
+    return both.groupBy(*pair).agg(F.max("coverage").alias("coverage"), F.max("verbatim").alias("verbatim"))
 
 
 def find_leaks(
@@ -310,11 +306,37 @@ def find_leaks(
     item_text: str = "text",
 ) -> DataFrame:
     """Each row with `leaks`, the items in its text: array<struct<item_id, coverage, verbatim>>."""
-    kind = benchmark.schema[item].dataType.simpleString()
-    returns = f"array<struct<item_id:{kind},coverage:double,verbatim:boolean>>"
-    context = documents.sparkSession.sparkContext
-    found: list[Column] = [F.array().cast(returns)]
-    for items in query_blocks(benchmark, settings, item, item_text):
-        sent = context.broadcast(QueryBlock(items, settings))
-        found.append(_leaks_in(sent, settings, returns)(F.col(text)))
-    return documents.withColumn("leaks", F.concat(*found))
+
+    def digest(column: str) -> Column:
+        return F.struct(F.xxhash64(F.lit(1), column).alias("one"), F.xxhash64(F.lit(2), column).alias("two"))
+
+    asked = benchmark.select(F.col(item).alias("id"), F.col(item_text).alias("text")).distinct()
+    # Items by their id and text: one id may have several texts.
+    asked = asked.select(F.struct("id", digest("text").alias("own")).alias("key"), "text")
+    items = staged(_windows(asked, settings, None), "item-windows")
+    place = F.col("hash").bitwiseAND(F.lit(settings.filter_bits - 1))
+    passing = bitmap(items.select(place.alias("place")), settings.filter_bits)
+
+    rows = documents.select(digest(text).alias("key"), F.col(text).alias("text"))
+    windows = _windows(rows, settings, passing).drop("slots", "size")
+    # Copies of a text give equal windows: one of each is joined.
+    windows = windows.select(
+        F.col("key").alias("text"), "kind", "hash", F.col("place").alias("here"), F.col("values").alias("text_values")
+    ).distinct()
+    matches = windows.join(
+        items.select(
+            F.col("key").alias("item"), "kind", "hash", F.col("place").alias("there"),
+            F.col("values").alias("item_values"), "slots", "size",
+        ),
+        ["kind", "hash"],
+    )
+    found = _found(staged(matches, "matches"), settings.min_coverage)
+    leak = F.struct(F.col("item.id").alias("item_id"), "coverage", "verbatim")
+    found = found.groupBy("text").agg(F.sort_array(F.collect_list(leak)).alias("leaks"))
+    one, two, leaks = (fresh(documents, name) for name in ("_one", "_two", "_leaks"))
+    found = staged(found.select(F.col("text.one").alias(one), F.col("text.two").alias(two), F.col("leaks").alias(leaks)), "leaks")
+    keyed = documents.withColumns({one: F.xxhash64(F.lit(1), text), two: F.xxhash64(F.lit(2), text)})
+    joined = keyed.join(found, [one, two], "left")
+    kept = [F.col(f"`{c}`") for c in documents.columns if c.lower() != "leaks"]
+    empty = F.array().cast(found.schema[leaks].dataType)
+    return joined.select(*kept, F.coalesce(F.col(leaks), empty).alias("leaks"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,24 @@ def staged(frame: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> D
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+BITMAP_ROW = 1 << 15  # bits in a row of Spark's bitmap aggregate
+
+
+def bitmap(places: DataFrame, bits: int) -> Broadcast:
+    """A bit for each place, 0 to bits - 1, in a column of that name: packed, `bits` / 8 bytes whatever the rows.
+
+    `bits` is a power of two, `BITMAP_ROW` at least. The bits are gathered in
+    tasks; the driver puts at most `bits` / `BITMAP_ROW` rows together.
+    """
+    rows = places.select(
+        F.shiftright("place", 15).alias("row"), F.col("place").bitwiseAND(F.lit(BITMAP_ROW - 1)).alias("bit")
+    )
+    packed, width = bytearray(bits // 8), BITMAP_ROW // 8
+    for row in rows.groupBy("row").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator():
+        packed[row["row"] * width : (row["row"] + 1) * width] = row["bits"]
+    return places.sparkSession.sparkContext.broadcast(bytes(packed))
+
+
 def discard(*frames: DataFrame) -> None:
     """Remove the folders of staged tables that nothing reads any more."""
     for frame in frames:

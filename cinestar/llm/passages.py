@@ -44,7 +44,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cinestar.llm.frames import discard, staged
+from cinestar.llm.frames import BITMAP_ROW, bitmap, discard, staged
 from cinestar.llm.hashing import mix
 from cinestar.llm.suffixes import share_prefix, suffix_order
 
@@ -52,7 +52,6 @@ _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _CHUNK = 1 << 18  # bytes hashed at once: the arrays over them stay in a core's cache
-_BITMAP_ROW = 1 << 15  # bits in a row of Spark's bitmap aggregate
 
 
 @dataclass(frozen=True)
@@ -215,22 +214,6 @@ def key_counts(rows: DataFrame, settings: RepeatedPassages) -> DataFrame:
     return emitted.groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def _bitmap(repeated: DataFrame, bits: int) -> Broadcast:
-    """One bit for each repeated key, packed, at most `most_bits` of them."""
-    place = F.col("key").bitwiseAND(F.lit(2 * bits - 1))
-    rows = (
-        repeated.select(F.shiftright(place, 1).alias("place"))
-        .select(F.shiftright("place", 15).alias("row"), F.col("place").bitwiseAND(F.lit(_BITMAP_ROW - 1)).alias("bit"))
-        .groupBy("row")
-        .agg(F.bitmap_construct_agg("bit").alias("bits"))
-    )
-    packed = bytearray(bits // 8)
-    width = _BITMAP_ROW // 8
-    for row in rows.toLocalIterator():
-        packed[row["row"] * width : (row["row"] + 1) * width] = row["bits"]
-    return repeated.sparkSession.sparkContext.broadcast(bytes(packed))
-
-
 class _Seen:
     """The earliest place of each piece of a task, by a hash of its bytes; of bounded size."""
 
@@ -291,13 +274,13 @@ _CANDIDATE = pa.schema(
 )
 
 
-def candidates(rows: DataFrame, bitmap: Broadcast, crowded: Broadcast, settings: RepeatedPassages) -> DataFrame:
+def candidates(rows: DataFrame, passing: Broadcast, crowded: Broadcast, settings: RepeatedPassages) -> DataFrame:
     """(key, doc_id, tie, start, size, text) of pieces that may be repeated; text null: they are."""
     length = settings.length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keyer, seen = _Keys(settings), _Seen()
-        bits = np.frombuffer(bitmap.value, dtype=np.uint8)
+        bits = np.frombuffer(passing.value, dtype=np.uint8)
         mask = _U(8 * len(bits) - 1)
         crowds = np.frombuffer(crowded.value, dtype=np.int64).view(_U)
         waiting, pieces, size = [], 0, 0
@@ -511,13 +494,15 @@ def remove_repeats(
     crowd = max(settings.crowded, (total or 0) // 1_000_000)
     split = repeated.where(F.col("n") > crowd).select("key").toPandas()["key"].to_numpy(dtype=np.int64)
     crowded = spark.sparkContext.broadcast(np.sort(split.view(_U)).tobytes())
-    bits = _BITMAP_ROW
+    bits = BITMAP_ROW
     while bits < min(settings.bits_per_key * n_repeated, settings.most_bits):
         bits *= 2
-    bitmap = _bitmap(repeated.select("key"), bits)
+    # The smallest bit of a key only tells its kind.
+    place = F.shiftright(F.col("key").bitwiseAND(F.lit(2 * bits - 1)), 1)
+    passing = bitmap(repeated.select(place.alias("place")), bits)
     discard(repeated)
 
-    found = staged(candidates(rows, bitmap, crowded, settings), "candidates")
+    found = staged(candidates(rows, passing, crowded, settings), "candidates")
     size = found.agg(F.sum(F.when(F.col("text").isNotNull(), F.col("size")))).first()[0] or 0
     parts = max(1, -(-size // settings.task_bytes))
     dealt = found.where(F.col("text").isNotNull()).repartition(parts, "key")

@@ -60,8 +60,8 @@ def brute_force(text: str, items) -> set[int]:
     return {i for i, t in items if (w := windows(t)) and len(w & mine) >= 0.8 * len(w)}
 
 
-@pytest.mark.parametrize("settings", [Decontamination(), Decontamination(block_windows=60)])
-def test_equals_brute_force_in_any_blocks(spark, settings):
+@pytest.mark.parametrize("settings", [Decontamination(), Decontamination(filter_bits=1 << 15)])
+def test_equals_brute_force_with_any_filter(spark, settings):
     rng = random.Random(6)
     words = [rng.choice(cases.SYLLABLES) + rng.choice(cases.SYLLABLES) for _ in range(60)]
     items = [(k, " ".join(rng.choices(words, k=rng.randint(3, 40)))) for k in range(25)]
@@ -79,6 +79,51 @@ def test_equals_brute_force_in_any_blocks(spark, settings):
     }
 
 
+GERMAN = (
+    "Der Händler Anton kauft in der Stadt am Montag 12 Kisten mit Äpfeln und verkauft der Nachbarin Berta davon 5, "
+    "wie viele Kisten hat der Händler Anton am Abend noch im Laden übrig?"
+)
+FRENCH = (
+    "Le fermier Luc achète 14 sacs de blé au marché et en donne 6 à son voisin Paul avant la nuit, "
+    "combien de sacs reste-t-il au fermier Luc le matin suivant ?"
+)
+SPANISH = (
+    "La maestra Eva compra 20 libros para la escuela y regala 8 a su amiga Sara antes del verano, "
+    "¿cuántos libros le quedan a la maestra Eva en septiembre?"
+)
+
+
+def test_questions_of_other_languages_with_other_values(spark):
+    other = [
+        GERMAN.replace("Anton", "Gustav").replace("Berta", "Hilde").replace("12", "30").replace("5,", "11,"),
+        FRENCH.replace("Luc", "Rémi").replace("Paul", "Jean").replace("14", "25").replace("6", "9"),
+        SPANISH.replace("Eva", "Inés").replace("Sara", "Lola").replace("20", "31").replace("8", "4"),
+    ]
+    clash = other[0].replace("Händler Gustav am Abend", "Händler Kunz am Abend")
+    prose = "Der Bäcker Anton fährt am Montag in der Stadt mit der Nachbarin Berta zum Markt und kauft Brot."
+    items = [(1, GERMAN), (2, FRENCH), (3, SPANISH)]
+    found = leaks_of(spark, [GERMAN, FRENCH, SPANISH, *other, clash, prose], items)
+    assert found == {
+        0: {(1, True)}, 1: {(2, True)}, 2: {(3, True)}, 3: {(1, False)}, 4: {(2, False)}, 5: {(3, False)},
+        6: set(), 7: set(),
+    }
+
+
+def test_items_that_share_ids_or_texts(spark):
+    items = [(1, ITEM), (1, ITEM), (1, GERMAN), (2, ITEM), (None, ITEM), (3, None)]
+    found = leaks_of(spark, [ITEM, GERMAN, ITEM], items)
+    assert found == {0: {(1, True), (2, True), (None, True)}, 1: {(1, True)}, 2: {(1, True), (2, True), (None, True)}}
+
+
+def test_a_benchmark_many_times_as_large(spark):
+    """Its windows fill the bitmap; nothing is lost, and the driver holds no item."""
+    rng = random.Random(8)
+    items = [(k, cases.sentence(rng, 30)) for k in range(1500)]
+    texts = [f"{cases.sentence(rng, 5)}\n{items[k][1]}" for k in range(0, 1500, 100)]
+    found = leaks_of(spark, texts, items, Decontamination(filter_bits=1 << 15))
+    assert found == {k: {(100 * k, True)} for k in range(15)}
+
+
 def test_empty_tables(spark):
     assert leaks_of(spark, [ITEM], []) == {0: set()}
     assert leaks_of(spark, [], [(1, ITEM)]) == {}
