@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cinestar.llm.quality import COMMON_WORDS, QualityRules
+from cinestar.llm.quality import QualityRules
 from cinestar.llm.line_dedup import Boilerplate
 from cinestar.llm.url_filter import Reputation, suffix_pattern
 
@@ -31,7 +31,6 @@ SELECT doc_id, cleaned.text, lang, source, n_chars,
 FROM numbered LEFT JOIN cleaned USING (place)"""
 
 _WORDS = "list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
-_COMMON = "[" + ", ".join(f"'{w}'" for w in COMMON_WORDS) + "]"
 
 
 def _count(pattern: str) -> str:
@@ -58,13 +57,19 @@ def _js(left: str, right: str) -> str:
 
 
 _CLASS_SUMS = ", ".join(f"sum(classes[{i}])" for i in range(1, 6))
-_COMMON_SUMS = ", ".join(f"sum(common[{i}])" for i in range(1, len(COMMON_WORDS) + 2))
+_COMMON_SUMS = ", ".join(f"sum(common[{i}])" for i in range(1, _RULES.common_words + 2))
 
 QUALITY = f"""
 WITH texts AS (
   SELECT row_number() OVER () AS place, doc_id, lang, coalesce(text, '') AS body,
          {_WORDS} AS words
   FROM {{documents}}),
+common_words AS (
+  SELECT lang, list_resize(list(word ORDER BY n DESC, word), {_RULES.common_words}, ' ') AS top
+  FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) AS rank
+        FROM (SELECT lang, word, count(*) AS n FROM (SELECT lang, unnest(words) AS word FROM texts)
+              WHERE lang IS NOT NULL AND length(word) <= {_RULES.common_letters} GROUP BY lang, word))
+  WHERE rank <= {_RULES.common_words} GROUP BY lang),
 grams AS (
   SELECT place, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS gram
   FROM (SELECT place, words, unnest(range(1, len(words) - 1)) AS i FROM texts)),
@@ -83,9 +88,9 @@ measured AS (
          coalesce(lines.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words,
          [{", ".join(_count(p) for p in _CLASS_PATTERNS)},
           length(body) - {" - ".join(_count(p) for p in _CLASS_PATTERNS)}] AS classes,
-         list_append(list_transform({_COMMON}, lambda c: len(list_filter(words, lambda w: w = c))),
-           len(list_filter(words, lambda w: NOT list_contains({_COMMON}, w)))) AS common
-  FROM texts LEFT JOIN lines USING (place) LEFT JOIN covered USING (place)),
+         list_append(list_transform(top, lambda c: len(list_filter(words, lambda w: w = c))),
+           len(list_filter(words, lambda w: NOT list_contains(top, w)))) AS common
+  FROM texts LEFT JOIN lines USING (place) LEFT JOIN covered USING (place) LEFT JOIN common_words USING (lang)),
 reference AS (
   SELECT lang, [{_CLASS_SUMS}] AS ref_classes, [{_COMMON_SUMS}] AS ref_common
   FROM measured WHERE lang IS NOT NULL AND n_words >= {_RULES.min_words} GROUP BY lang),
@@ -97,7 +102,7 @@ judged AS (
               THEN sqrt(greatest(0, {_js("classes", "ref_classes")})) END AS class_distance,
          CASE WHEN n_words >= {_RULES.min_common_words}
               THEN sqrt(greatest(0, {_js("common", "ref_common")}
-                   - {len(COMMON_WORDS)} / (8 * ln(2)) / n_words)) END AS common_distance
+                   - {_RULES.common_words} / (8 * ln(2)) / n_words)) END AS common_distance
   FROM measured LEFT JOIN reference USING (lang))
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT coalesce(class_distance > {_RULES.max_class_distance}, false)

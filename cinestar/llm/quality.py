@@ -2,10 +2,13 @@
 
 A document is compared with the reference of its language in two histograms, of
 character classes and of common words, by the Jensen-Shannon distance (square
-root of the divergence to base 2, 0 to 1). The references are sums over all
-documents of a language that are long enough. Everything is DataFrame
-expressions; a first pass gives one row per language, a second one judges each
-document where it lies. No text is shuffled.
+root of the divergence to base 2, 0 to 1). The common words of a language are its
+most frequent short ones, counted over all its documents; the references are
+sums over those documents of it that are long enough. Everything is DataFrame
+expressions: a pass for the words and one for the sums give one row per language
+each, and every document is judged where it lies. Words are counted within tasks
+before they are shuffled, so a language with most of the rows costs a row per
+word and task; no text is shuffled.
 
 Defined results: a null text counts as empty and fails (no words); a null or
 unknown language, or one without a long enough document, has no reference, and
@@ -20,19 +23,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cinestar.llm.frames import SPACES, fresh, staged, words_of
 
-# The most frequent function words of English, German, French and Spanish.
-COMMON_WORDS = (
-    "the", "of", "and", "in", "to", "a",
-    "der", "die", "und", "den", "zu",
-    "de", "la", "le", "et", "les", "des",
-    "que", "el", "en", "y",
-)
-
 # Character classes counted in a text: capitals, digits, symbols, other
 # punctuation. The rest (lower case, letters beyond ASCII, white space) is one more.
 SYMBOLS = r"[#*$%&|<>]"
@@ -43,7 +38,8 @@ CLASSES = (r"[A-Z]", r"[0-9]", SYMBOLS, r"[.,;:!?\"'()+\-/=@\[\]^_`{}~\\]")
 class QualityRules:
     """Limits of the rules.
 
-    A distance is judged only from `min_words` (characters) and
+    The `common_words` most frequent words of up to `common_letters` code points
+    count for a language. A distance is judged only from `min_words` (characters) and
     `min_common_words` (common words) words on. From the divergence of the
     common words the part that chance gives a text of n words is taken off:
     (bins - 1) / (8 n ln 2).
@@ -54,6 +50,8 @@ class QualityRules:
     max_class_distance: float = 0.25
     min_common_words: int = 100
     max_common_distance: float = 0.2
+    common_words: int = 20
+    common_letters: int = 4
 
 
 def _length_of(text: Column, pattern: str) -> Column:
@@ -69,19 +67,48 @@ def class_histogram(text: Column) -> Column:
     return F.array(*counted, rest)
 
 
-def common_histogram(words: Column) -> Column:
+def common_words(documents: DataFrame, rules: QualityRules, text: str, lang: str) -> DataFrame:
+    """(lang, common): each language's most frequent short words, the most frequent first.
+
+    Ties go to the smaller word. A language of fewer words is filled up with a
+    blank, which no word is.
+    """
+    body = F.coalesce(F.col(text), F.lit(""))
+    # Words of so many code points, with nothing but white space or an end on either side.
+    short = rf"(?<![^{SPACES}])[^{SPACES}]{{1,{rules.common_letters}}}(?![^{SPACES}])"
+    found = F.regexp_extract_all(body, F.lit(short), F.lit(0))
+    # The outer form: for the plain one Spark finds the words in a filter of its own first.
+    rows = documents.where(F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), F.explode_outer(found).alias("word")
+    )
+    counts = rows.where("word IS NOT NULL").groupBy("lang", "word").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
+    top = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= rules.common_words)
+    listed = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("top"))
+    places = F.sequence(F.lit(0), F.lit(rules.common_words - 1))
+    filled = F.transform(places, lambda i: F.coalesce(F.get(F.col("top.word"), i), F.lit(" ")))
+    return listed.select("lang", filled.alias("common"))
+
+
+def common_histogram(words: Column, common: Column) -> Column:
     """Occurrences of each common word, and of all other words."""
-    common = F.filter(words, lambda w: w.isin(*COMMON_WORDS))
+
     # One space on either side of each word, so that equal neighbours count apart.
-    joined = F.concat(F.lit(" "), F.array_join(common, "  "), F.lit(" "))
-    counts = [
-        (
-            (F.length(joined) - F.length(F.replace(joined, F.lit(f" {w} "), F.lit(""))))
-            / (len(w) + 2)
-        ).cast("long")
-        for w in COMMON_WORDS
-    ]
-    return F.array(*counts, (F.size(words) - F.size(common)).cast("long"))
+    joined = F.concat(F.lit(" "), F.array_join(words, "  "), F.lit(" "))
+
+    def of_joined(text: Column) -> Column:
+        def times(word: Column) -> Column:
+            left = F.replace(text, F.concat(F.lit(" "), word, F.lit(" ")), F.lit(""))
+            # In bytes: their number is known, code points would be counted each time.
+            return ((F.octet_length(text) - F.octet_length(left)) / (F.octet_length(word) + 2)).cast("long")
+
+        return F.transform(common, times)
+
+    def with_others(counts: Column) -> Column:
+        found = F.aggregate(counts, F.lit(0).cast("long"), lambda total, n: total + n)
+        return F.concat(counts, F.array(F.size(words) - found))
+
+    return _let(_let(joined, of_joined), with_others)
 
 
 def duplicate_lines(text: Column) -> Column:
@@ -125,8 +152,8 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def measures(frame: DataFrame, text: str, stage: str) -> DataFrame:
-    """Add one struct column `stage` with words and counts of each row."""
+def measures(frame: DataFrame, text: str, common: str, stage: str) -> DataFrame:
+    """Add one struct column `stage` with words and counts of each row; `common` holds its common words."""
     body = F.coalesce(F.col(text), F.lit(""))
     words, hashes = fresh(frame, "_words"), fresh(frame, "_hashes")
     frame = frame.withColumn(words, words_of(body)).withColumn(hashes, window_hashes(F.col(words)))
@@ -140,7 +167,7 @@ def measures(frame: DataFrame, text: str, stage: str) -> DataFrame:
             duplicate_lines(body).alias("n_dup_lines"),
             covered_by_repeats(F.col(hashes)).alias("n_repeat_words"),
             class_histogram(body).alias("classes"),
-            common_histogram(F.col(words)).alias("common"),
+            common_histogram(F.col(words), F.col(common)).alias("common"),
         ),
     ).drop(words, hashes)
 
@@ -154,7 +181,7 @@ def references(measured: DataFrame, rules: QualityRules, lang: str, stage: str)
 
     rows = measured.where(F.col(lang).isNotNull() & (found.n_words >= rules.min_words))
     return rows.groupBy(F.col(lang).alias("lang")).agg(
-        totals("classes", len(CLASSES) + 1), totals("common", len(COMMON_WORDS) + 1)
+        totals("classes", len(CLASSES) + 1), totals("common", rules.common_words + 1)
     )
 
 
@@ -194,8 +221,11 @@ def judge(
     counts; references and verdicts are taken from there. Select the columns
     that are needed: all columns are written, the text only if `keep_text`.
     """
-    stage = fresh(documents, "_measures")
-    measured = measures(documents, text, stage)
+    stage, of, common = (fresh(documents, name) for name in ("_measures", "_of", "_common"))
+    top = staged(common_words(documents, rules, text, lang), "common-words")
+    top = top.select(F.col("lang").alias(of), F.col("common").alias(common))
+    measured = measures(documents.join(top, F.col(lang) == F.col(of), "left"), text, common, stage)
+    measured = measured.drop(of, common)
     measured = staged(measured if keep_text else measured.drop(text), "quality")
     key, side = fresh(measured, "_reference_lang"), fresh(measured, "_reference")
     reference = staged(references(measured, rules, lang, stage), "quality-references").select(
@@ -211,7 +241,7 @@ def judge(
         found.n_words >= rules.min_words, js_distance(found.classes, F.col(side).classes)
     )
     far = js_distance(found.common, F.col(side).common)
-    chance = len(COMMON_WORDS) / (8 * math.log(2)) / found.n_words
+    chance = rules.common_words / (8 * math.log(2)) / found.n_words
     by_common = F.when(
         found.n_words >= rules.min_common_words,
         F.sqrt(F.greatest(far * far - chance, F.lit(0.0))),
