@@ -398,3 +398,16 @@ LEFT JOIN genders g ON g.cast_member_id = c.cast_member_id AND g.place = 1"""
 
 ORACLES["dim_person"] = _persons("cast_member_id")
 ORACLES["person_clashes"] = _persons("cast_member_id // 8")
+ORACLES["lookups_resumed"] = f"""WITH {_UNIQUE}
+SELECT film_id, imdb_id, 'https://posters.example.org/' || substr(imdb_id, 3) || '.jpg' AS url,
+       CAST(NULL AS VARCHAR) AS error, CASE WHEN imdb_id LIKE '%7' THEN 2 ELSE 1 END::BIGINT AS tries
+FROM unique_films WHERE imdb_id IS NOT NULL"""
+# The fields of the made exports: those of turns that are there at all.
+ORACLES["schema_drift"] = """
+SELECT field, change, before, after FROM (VALUES
+  ('[].turn', 'type', 'bigint', 'string'), ('[].size', 'new', NULL, 'bigint')) d(field, change, before, after)
+WHERE EXISTS (SELECT 1 FROM conversations)"""
+ORACLES["drift_kept"] = """
+SELECT conv_id, CAST(NULL AS BIGINT) AS turn, role, text, 't' || CAST(turn AS VARCHAR) AS turn_text,
+       CAST(length(text) AS BIGINT) AS size
+FROM conversations"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 
 from cinestar.functions.keys import hash_key
 from cinestar.functions.scalars import VOICE, role_of
-from cinestar.operators import cast, changes, dense, enrich, films, increments, posters, ratings
+from cinestar.operators import cast, changes, dense, enrich, films, increments, lookups, posters, ratings
 from cinestar.operators.collections import film_id, is_malformed, parse_column
 from cinestar.plans import distinct, star, vault
 from cinestar.session import scratch_path
 from cinestar.sources import fixtures as raw
-from cinestar.sources import publish, schemas, tables
+from cinestar.sources import drift, publish, schemas, tables
 from cinestar.sources.csv import export_csv, read_csv
 from cinestar.sources.records import read_records
 
@@ -162,6 +163,35 @@ def conversation_turns(spark: SparkSession, sf: str) -> DataFrame:
     return parsed.select("conv_id", F.explode("turn").alias("turn")).select("conv_id", "turn.*")
 
 
+def _drifted_turns(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Turns as JSON cells of two exports: the second has turns as text, and the length of the text."""
+    rows = raw.table(spark, sf, "conversations")
+    later = F.struct(F.format_string("t%d", "turn").alias("turn"), "role", "text", F.length("text").alias("size"))
+    first, second = F.struct("turn", "role", "text"), later
+    return tuple(rows.select("conv_id", F.to_json(F.array(cell)).alias("turns")) for cell in (first, second))
+
+
+def schema_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields of the turns that differ between two exports."""
+    path = scratch_path(spark, "fields")
+    for run, cells in zip("12", _drifted_turns(spark, sf), strict=True):
+        drift.note_run(cells, "turns", path, run, policy="none")
+    return drift.differences(spark, path, "1", "2")
+
+
+def drift_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns of the second export by the fields of the first: what these do not take is still there."""
+    declared = {"turn": "bigint", "role": "string", "text": "string"}
+    parsed = drift.parse_keeping(_drifted_turns(spark, sf)[1], "turns", declared, policy="none")
+    rows = parsed.select("conv_id", F.explode("elements").alias("e"))
+    rest = F.col("e.rest")
+    return rows.select(
+        "conv_id", "e.turn", "e.role", "e.text",
+        F.try_variant_get(rest["turn"], "$", "string").alias("turn_text"),
+        F.try_variant_get(rest["size"], "$", "bigint").alias("size"),
+    )
+
+
 def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Whole texts through CSV, line breaks and quotes included."""
     path = scratch_path(spark, "csv")
@@ -417,6 +447,27 @@ def poster_slices_union(spark: SparkSession, sf: str) -> DataFrame:
     return written.select("film_id", "imdb_id", "url")
 
 
+def open_shaky_resolver() -> enrich.Resolver:
+    """The template resolver, out of order for the ids that end with 7."""
+
+    def resolve(bare: str) -> str:
+        if bare.endswith("7"):
+            raise TimeoutError(bare)
+        return open_template_resolver()(bare)
+
+    return resolve
+
+
+def lookups_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """Posters after two runs of lookups, the first of which left some films with an error."""
+    path, ids = scratch_path(spark, "lookups"), _film_ids(spark, sf)
+    ids = tables.overwrite_parquet(ids, scratch_path(spark, "ids"))
+    settings = lookups.Lookups(chunk_films=1_000_000, retries=0)
+    lookups.look_up(ids, open_shaky_resolver, path, settings, datetime(2024, 1, 1))
+    found = lookups.look_up(ids, open_template_resolver, path, settings, datetime(2024, 1, 2))
+    return found.select("film_id", "imdb_id", "url", "error", F.col("tries").cast("bigint").alias("tries"))
+
+
 def film_posters(spark: SparkSession, sf: str) -> DataFrame:
     posters_ = enrich.lookup_posters(_film_ids(spark, sf), raw.poster_table(spark, sf))
     return enrich.place_posters(_facts(spark, sf).withColumnRenamed("id", "film_id"), posters_)
@@ -508,6 +559,8 @@ QUERIES: dict[str, Query] = {
     "json_quarantine": json_quarantine,
     "event_props": event_props,
     "conversation_turns": conversation_turns,
+    "schema_drift": schema_drift,
+    "drift_kept": drift_kept,
     "csv_roundtrip": csv_roundtrip,
     "csv_blocks": csv_blocks,
     "csv_single_line": csv_single_line,
@@ -536,6 +589,7 @@ QUERIES: dict[str, Query] = {
     "star_by_language": _rollup("spoken_languages", films.dim_languages, "languages"),
     "poster_locations": poster_locations,
     "poster_slices_union": poster_slices_union,
+    "lookups_resumed": lookups_resumed,
     "film_posters": film_posters,
     "poster_labels": poster_labels,
     "genre_scores": genre_scores,
