@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexer
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -60,11 +62,52 @@ def split_by_film(frame: DataFrame, test_percent: int = 20) -> tuple[DataFrame,
 
     The side follows from the md5 of the id, which any engine can repeat.
     """
-    digits = F.substring(F.md5(F.col("film_id").cast("string")), 1, 7)
-    share = F.conv(digits, 16, 10).cast("bigint") % 100
+    share = _place(100)
     return frame.where(share >= test_percent), frame.where(share < test_percent)
 
 
+def _place(parts: int) -> Column:
+    """0 to parts - 1, from the md5 of the film's id."""
+    digits = F.substring(F.md5(F.col("film_id").cast("string")), 1, 7)
+    return F.conv(digits, 16, 10).cast("bigint") % parts
+
+
+def with_folds(frame: DataFrame, folds: int = 5) -> DataFrame:
+    """Add `fold`, 0 to folds - 1: all copies of a film's poster lie in one."""
+    return frame.withColumn("fold", _place(folds))
+
+
+def cross_validate(examples: DataFrame, folds: int = 5, max_iter: int = 20, reg: float = 0.01) -> DataFrame:
+    """`evaluate_genres` of each fold under a model of the others: (fold, posters, first, among_three).
+
+    One training job for each fold; write the examples out before.
+    """
+    rows = with_folds(examples, folds)
+    results = []
+    for fold in range(folds):
+        model = train_genres(rows.where(F.col("fold") != fold), max_iter, reg)
+        held = evaluate_genres(model, rows.where(F.col("fold") == fold))
+        results.append(held.select(F.lit(fold).alias("fold"), "*"))
+    return reduce(DataFrame.unionByName, results)
+
+
+def calibration(scores: DataFrame, examples: DataFrame, bins: int = 10) -> DataFrame:
+    """(bin, pairs, predicted, observed): are genres given with probability p a genre of the film as often?
+
+    Over all pairs of a scored poster and a genre; sums per bin, combined within
+    tasks. A multinomial model gives one poster's probabilities a sum of 1, so
+    for films of k genres the observed shares are up to k times the predicted.
+    """
+    truth = examples.select("film_id", "genre").distinct().withColumn("is_genre", F.lit(1.0))
+    pairs = scores.join(truth, ["film_id", "genre"], "left")
+    place = F.least(F.floor(F.col("probability") * bins), F.lit(bins - 1)).cast("int")
+    return pairs.groupBy(place.alias("bin")).agg(
+        F.count("*").alias("pairs"),
+        F.avg("probability").alias("predicted"),
+        F.avg(F.coalesce("is_genre", F.lit(0.0))).alias("observed"),
+    )
+
+
 def evaluate_genres(model: PipelineModel, examples: DataFrame) -> DataFrame:
     """One row: held-out posters, and how many have a genre of their film ranked first or in the top 3."""
     truth = examples.groupBy("film_id").agg(F.collect_set("genre").alias("truth"))

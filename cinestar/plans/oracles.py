@@ -411,3 +411,7 @@ ORACLES["drift_kept"] = """
 SELECT conv_id, CAST(NULL AS BIGINT) AS turn, role, text, 't' || CAST(turn AS VARCHAR) AS turn_text,
        CAST(length(text) AS BIGINT) AS size
 FROM conversations"""
+ORACLES["genre_folds"] = f"""WITH {_SCORED}
+SELECT CAST('0x' || substr(md5(CAST(film_id AS VARCHAR)), 1, 7) AS BIGINT) % 5 AS fold, name AS genre,
+       count(DISTINCT film_id) AS posters
+FROM examples GROUP BY ALL"""

@@ -510,6 +510,14 @@ def genre_score_shapes(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def genre_folds(spark: SparkSession, sf: str) -> DataFrame:
+    """Posters of each genre in each of five folds by film."""
+    genres = films.dim_genres(_all_unique(spark, sf, "genres"))
+    labels = posters.poster_labels(raw.poster_features(spark, sf), genres)
+    folds = posters.with_folds(labels).groupBy("fold", "genre")
+    return folds.agg(F.count_distinct("film_id").alias("posters"))
+
+
 def genre_holdout(spark: SparkSession, sf: str) -> DataFrame:
     """The held-out posters and, for each, how many genres of its film it was judged by."""
     model, test = _genre_model(spark, sf)
@@ -595,4 +603,5 @@ QUERIES: dict[str, Query] = {
     "genre_scores": genre_scores,
     "genre_score_shapes": genre_score_shapes,
     "genre_holdout": genre_holdout,
+    "genre_folds": genre_folds,
 }
