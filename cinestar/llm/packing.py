@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -221,21 +222,23 @@ def pack(
     """
     rows = documents.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     current = staged(pack_locally(rows, settings), "bins")
-    done, underfull = current.where("final"), current.where("not final")
-    tasks = None
+    done, tasks = [], None
     while True:
+        underfull = current.where("not final")
         longest, bins = _mergeable(underfull, settings.capacity)
-        done = done.union(underfull.where(F.col("length") > longest))
+        # What goes up is few; the rest is read once, in one scan of its round.
+        done.append(current.where(F.col("final") | (F.col("length") > longest)) if bins else current)
         if not bins:
             break
         going = underfull.where(F.col("length") <= longest)
         parts = max(1, -(-bins // settings.merge_bins))
         # Fewer tasks in each round, also where many bins of one length go up together.
         parts = parts if tasks is None else min(parts, max(1, tasks // 2))
-        merged = staged(_merge(going.repartition(parts), settings, parts == 1), "bins")
-        done, underfull, tasks = done.union(merged.where("final")), merged.where("not final"), parts
+        current, tasks = staged(_merge(going.repartition(parts), settings, parts == 1), "bins"), parts
         if parts == 1:
+            done.append(current)
             break
+    done = reduce(DataFrame.union, done)
     return done.select(
         F.monotonically_increasing_id().alias("sequence_id"), "length", "ids", "segments"
     )
