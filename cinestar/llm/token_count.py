@@ -32,6 +32,7 @@ result are replaced, others kept.
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator
 
@@ -215,11 +216,17 @@ class CountingTransducer:
         return total
 
 
+@functools.cache
+def compiled(json_name: str) -> CountingTransducer:
+    """One transducer for all tasks of a worker: what one has compiled serves the next."""
+    return CountingTransducer(json_name)
+
+
 def token_counts(json_name: str = "word_bpe_49k.json"):
     """A column function: the number of tokens of a text, 0 for null."""
 
     def counts(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        transducer = CountingTransducer(json_name)
+        transducer = compiled(json_name)
         for some in texts:
             yield pd.Series([transducer.count(t) if t else 0 for t in some], dtype="int64")
 
