@@ -63,7 +63,7 @@ def test_runs_are_compared_field_by_field(spark, tmp_path):
     assert drift.differences(spark, path, "2", "2").count() == 0
 
 
-def test_flat_fields():
+def test_flat_fields(spark):
     kind = T.DataType.fromDDL("array<struct<a:int,b:struct<c:array<string>>>>")
     assert list(drift.flat_fields(kind)) == [("[].a", "int"), ("[].b.c[]", "string")]
     assert list(drift.flat_fields(T.LongType())) == [("", "bigint")]
