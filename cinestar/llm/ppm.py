@@ -57,7 +57,7 @@ class Ppm:
     """Bytes of context; text bytes a block of documents should hold; keys counted at once."""
 
     order: int = 5
-    block_bytes: int = 32_000_000
+    block_bytes: int = 20_000_000
     counted_keys: int = 8_000_000
 
 
@@ -354,7 +354,7 @@ def _score_block(settings: Ppm, words: int, kinds: int, key_type: pa.DataType):
                 out["n_tokens"].append(len(tokens))
                 out["n_known"].append(int(np.count_nonzero(word_counts[place])))
                 out["base_score"].append(float(word_logs[place].sum()))
-            for some in _by_size(texts, 2_000_000):
+            for some in _by_size(texts, 1_000_000):
                 # No text is without grams: each has its end.
                 out["score"] += _sums([reader.grams(text) for text in some], gram_keys, gram_logs).tolist()
         return pa.table(
