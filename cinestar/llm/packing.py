@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cinestar.llm.frames import staged
-from cinestar.llm.vocabularies import ByteLevelIds
+from cinestar.llm.vocabularies import byte_level_ids
 
 
 @dataclass(frozen=True)
@@ -161,7 +161,7 @@ def pack_locally(documents: DataFrame, settings: Packing) -> DataFrame:
     """Tokenize and pack the rows (doc_id, text) of each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, packer = ByteLevelIds(), _Packer(settings)
+        tokenizer, packer = byte_level_ids(), _Packer(settings)
         separator = np.array([settings.separator], dtype="<u4").tobytes()
         for batch in batches:
             ids_of = batch.column("doc_id").to_pylist()

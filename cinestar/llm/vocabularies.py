@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import functools
 import importlib
 import re
 
@@ -75,3 +76,9 @@ class ByteLevelIds:
         if not text:
             return b""
         return self.first[words[0]] + b"".join(map(self.rest.__getitem__, words[1:]))
+
+
+@functools.cache
+def byte_level_ids() -> ByteLevelIds:
+    """One encoder for all tasks of a worker: the words that one has met serve the next."""
+    return ByteLevelIds()
