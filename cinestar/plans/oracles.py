@@ -346,10 +346,13 @@ SELECT CAST(1 AS BIGINT) AS version, rating, count(*) AS freq FROM dated WHERE d
 UNION ALL
 SELECT 2, rating, count(*) FROM dated GROUP BY rating"""
 ORACLES["votes_by_increments"] = f"WITH {_TOTALS} SELECT film_id, freq, rated, rating FROM totals"
-ORACLES["run_changes"] = f"""WITH {_ALL_FILMS}
-SELECT DISTINCT film_id, CASE p_brand WHEN 'Brand#3' THEN 'insert' WHEN 'Brand#7' THEN 'delete'
-                              ELSE 'update' END AS change
-FROM all_films WHERE p_brand IN ('Brand#3', 'Brand#5', 'Brand#7')"""
+ORACLES["run_changes"] = f"""WITH {_ALL_FILMS},
+sides AS (
+  SELECT film_id, bool_or(p_brand <> 'Brand#3') AS before, bool_or(p_brand <> 'Brand#7') AS after,
+         bool_or(p_brand IN ('Brand#3', 'Brand#5', 'Brand#7')) AS touched
+  FROM all_films GROUP BY film_id)
+SELECT film_id, CASE WHEN NOT before THEN 'insert' WHEN NOT after THEN 'delete' ELSE 'update' END AS change
+FROM sides WHERE touched"""
 ORACLES["run_genres"] = f"WITH {_RUNS}, {_RUN_GENRES} SELECT id, film_id, name FROM run_pairs WHERE run = 2"
 ORACLES["vault_states"] = f"""WITH {_RUNS}
 SELECT day, film_id, p_name AS title, p_type AS status FROM runs JOIN days USING (run)"""
