@@ -23,9 +23,10 @@
    through once more, exactly: the bucket's largest component is its body, all
    other members are its rest, and each one of the rest is compared with every
    member of another component. A bucket is dealt into cells of `block` members
-   and `block` of its rest. In a cell the shingles' lists (of sets up to `filled`
-   shingles; the bins of larger ones) give the shared numbers, and only a
-   spanning forest of the links comes out, never all pairs.
+   and `block` of its rest, or fewer of larger sets. In a cell the shingles' lists
+   (of sets up to `filled` shingles) give the shared numbers; larger sets are
+   compared as a whole where their bins do not rule a link out. Only a spanning
+   forest of a cell's links comes out, never all pairs.
 
 With 40 bands of 5 rows two documents at similarity 0.8 share no bucket with a
 probability of 1.3e-7, at 0.85 of 2e-10.
@@ -64,7 +65,8 @@ class NearDuplicates:
 
     From `filled` shingles on, the share of equal bins estimates the similarity
     well enough to drop pairs below `likely` percent. `block` members of a bucket
-    are compared with as many others of its rest in one place.
+    are compared with as many others of its rest in one place, and these have
+    about `shingles` shingles on either side at most.
     """
 
     width: int = 5
@@ -74,6 +76,7 @@ class NearDuplicates:
     filled: int = 400
     likely: int = 65
     block: int = 512
+    shingles: int = 1 << 21
 
 
 class _Sketcher:
@@ -180,20 +183,22 @@ def _likely(pairs: DataFrame, bins: DataFrame, settings: NearDuplicates) -> Data
     return joined.mapInArrow(run, f"a {kind}, b {kind}")
 
 
+def _similar(left: pa.Scalar, right: pa.Scalar, percent: int) -> bool:
+    """Whether two whole sets are similar enough."""
+    both = np.concatenate([np.frombuffer(v.as_buffer(), dtype=_U) for v in (left, right)])
+    both.sort()
+    shared = int(np.count_nonzero(both[1:] == both[:-1]))
+    return 100 * shared >= percent * (len(both) - shared)
+
+
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough."""
     kind = pairs.schema["a"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            keep = []
-            for left, right in zip(batch.column("left"), batch.column("right"), strict=True):
-                one = np.frombuffer(left.as_buffer(), dtype=_U)
-                two = np.frombuffer(right.as_buffer(), dtype=_U)
-                both = np.concatenate((one, two))
-                both.sort()
-                shared = int(np.count_nonzero(both[1:] == both[:-1]))
-                keep.append(100 * shared >= percent * (len(both) - shared))
+            ends = zip(batch.column("left"), batch.column("right"), strict=True)
+            keep = [_similar(left, right, percent) for left, right in ends]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     joined = _both(pairs, sets).select("a", "b", "left", "right")
@@ -221,24 +226,28 @@ def _stars(buckets: DataFrame, percent: int) -> DataFrame:
 
 
 def _crossing(labelled: DataFrame) -> DataFrame:
-    """(bucket, body, size, rest) of the buckets with members of several components.
+    """(bucket, body, size, total, rest, rest_total) of the buckets with members of several components.
 
-    `labelled` holds (bucket, doc_id, n, component).
+    `labelled` holds (bucket, doc_id, n, component); totals are sums of n.
     """
-    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    parts = labelled.groupBy("bucket", "component").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
     whole = parts.groupBy("bucket").agg(
-        F.max(F.struct("size", "component")).alias("body"), F.sum("size").alias("size")
+        F.max(F.struct("size", "component", "total")).alias("body"),
+        F.sum("size").alias("size"),
+        F.sum("total").alias("total"),
     )
     return whole.where(F.col("size") > F.col("body.size")).select(
         "bucket",
         F.col("body.component").alias("body"),
         "size",
+        "total",
         (F.col("size") - F.col("body.size")).alias("rest"),
+        (F.col("total") - F.col("body.total")).alias("rest_total"),
     )
 
 
 def _values(sets: DataFrame, classes: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """(doc_id, hashes, bins): a smaller set as 32-bit hashes, and the bins of a set that fills them.
+    """(doc_id, hashes, bins, whole): a smaller set as 32-bit hashes, a set that fills its bins with them.
 
     A set too large for the first has the second, and so has any set of a size
     that allows a link with it.
@@ -248,26 +257,33 @@ def _values(sets: DataFrame, classes: DataFrame, settings: NearDuplicates) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes, bins = [], []
+            hashes, bins, sets_ = [], [], []
             for whole, each in zip(batch.column("whole"), batch.column("bins"), strict=True):
                 found = np.frombuffer(whole.as_buffer(), dtype=_U)
                 hashes.append((found >> _U(32)).astype("<u4").tobytes() if len(found) <= small else None)
-                bins.append(each.as_py() if len(found) >= settings.filled else None)
+                full = len(found) >= settings.filled
+                bins.append(each.as_py() if full else None)
+                sets_.append(whole.as_py() if full else None)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(hashes, pa.binary()), pa.array(bins, pa.binary())],
-                ["doc_id", "hashes", "bins"],
+                [batch.column("doc_id"), *(pa.array(v, pa.binary()) for v in (hashes, bins, sets_))],
+                ["doc_id", "hashes", "bins", "whole"],
             )
 
     both = sets.withColumnRenamed("value", "whole").join(
         classes.select("doc_id", F.col("value").alias("bins")), "doc_id"
     )
-    return both.select("doc_id", "whole", "bins").mapInArrow(run, f"doc_id {kind}, hashes binary, bins binary")
+    schema = f"doc_id {kind}, hashes binary, bins binary, whole binary"
+    return both.select("doc_id", "whole", "bins").mapInArrow(run, schema)
 
 
 def _cells(labelled: DataFrame, crossing: DataFrame, values: DataFrame, settings: NearDuplicates) -> DataFrame:
-    """(bucket, block, asks, probe, doc_id, n, component, hashes, bins): cells of members and of rest."""
-    parts = {"blocks": F.ceil(F.col("size") / settings.block), "asks_of": F.ceil(F.col("rest") / settings.block)}
-    members = labelled.join(crossing.withColumns(parts), "bucket").select(
+    """(bucket, block, asks, probe, doc_id, n, component, hashes, bins, whole): cells of members and of rest."""
+
+    def parts(rows: str, total: str):
+        return F.greatest(F.ceil(F.col(rows) / settings.block), F.ceil(F.col(total) / settings.shingles))
+
+    dealt = {"blocks": parts("size", "total"), "asks_of": parts("rest", "rest_total")}
+    members = labelled.join(crossing.withColumns(dealt), "bucket").select(
         "bucket",
         "doc_id",
         "n",
@@ -328,16 +344,16 @@ def _shared(members: list[bytes], asking: list[bytes]) -> Iterator[np.ndarray]:
 
 
 def _compare(cell: pa.RecordBatch, settings: NearDuplicates) -> Iterator[tuple[int, int]]:
-    """Rows of a cell that may be linked: a spanning forest of smaller sets, likely pairs of larger ones."""
+    """Rows of a cell that are linked: a spanning forest of its components' links."""
     probe = cell.column("probe").to_numpy(zero_copy_only=False)
     n, component = (cell.column(c).to_numpy() for c in ("n", "component"))
-    hashes, bins = (cell.column(c).to_pylist() for c in ("hashes", "bins"))
-    small, large = (np.array([v is not None for v in values]) for values in (hashes, bins))
+    hashes, bins, whole = (cell.column(c) for c in ("hashes", "bins", "whole"))
+    small, large = (~v.is_null().to_numpy(zero_copy_only=False) for v in (hashes, bins))
+    forest = _Forest()
 
     members, asking = np.flatnonzero(~probe & small), np.flatnonzero(probe & small)
     if len(members) and len(asking):
-        forest = _Forest()
-        shared_by = _shared([hashes[k] for k in members], [hashes[k] for k in asking])
+        shared_by = _shared(*(hashes.take(pa.array(rows)).to_pylist() for rows in (members, asking)))
         for one, shared in zip(asking.tolist(), shared_by, strict=True):
             fits = 100 * shared >= settings.percent * (n[members] + n[one] - shared)
             for two in members[fits & (component[members] != component[one])].tolist():
@@ -346,14 +362,20 @@ def _compare(cell: pa.RecordBatch, settings: NearDuplicates) -> Iterator[tuple[i
 
     members, asking = np.flatnonzero(~probe & large), np.flatnonzero(probe & large)
     if len(members) and len(asking):
-        theirs = np.frombuffer(b"".join([bins[k] for k in members]), dtype=np.uint8).reshape(len(members), -1)
-        for one in asking.tolist():
-            equal = np.count_nonzero(theirs == np.frombuffer(bins[one], dtype=np.uint8), axis=1)
+        theirs, ours = (
+            np.frombuffer(b"".join(bins.take(pa.array(rows)).to_pylist()), dtype=np.uint8).reshape(len(rows), -1)
+            for rows in (members, asking)
+        )
+        for one, mine in zip(asking.tolist(), ours, strict=True):
+            equal = np.count_nonzero(theirs == mine, axis=1)
             low, high = np.minimum(n[members], n[one]), np.maximum(n[members], n[one])
             fits = (100 * equal >= settings.likely * theirs.shape[1]) & (100 * low >= settings.percent * high)
             fits &= (component[members] != component[one]) & ~(small[members] & small[one])
             for two in members[fits].tolist():
-                yield one, two
+                ends = int(component[one]), int(component[two])
+                if forest.root(ends[0]) != forest.root(ends[1]) and _similar(whole[one], whole[two], settings.percent):
+                    forest.join(*ends)
+                    yield one, two
 
 
 def _across(cells: DataFrame, settings: NearDuplicates) -> DataFrame:

@@ -5,10 +5,11 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cinestar.llm.hashing import WordHasher, shingles
-from cinestar.llm.minhash import NearDuplicates, near_duplicates
+from cinestar.llm.minhash import NearDuplicates, _compare, _Sketcher, near_duplicates
 from tests.llm import cases
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -165,3 +166,33 @@ def test_hashes_do_not_depend_on_the_blocks():
         assert list(found[:50]) == one_by_one
     assert len(shingles(together[0][:1], 2)) == min(1, len(together[0]))
     assert len(np.unique(np.concatenate(together))) == len({w for t in texts for w in WORD.findall((t or "").lower())})
+
+
+def test_a_cell_gives_a_forest_of_links_not_its_likely_pairs():
+    """Large sets at a similarity of 0.74 are likely pairs and no links; of 20 linked sets, 19 links are enough."""
+    settings, rng = NearDuplicates(), np.random.default_rng(15)
+    sketcher, original = _Sketcher(settings), rng.integers(1 << 63, size=2000, dtype=np.uint64)
+
+    def edited(share, copies):
+        """Sets that each lack a share of the original."""
+        return [np.sort(original[rng.random(2000) >= share]) for _ in range(copies)]
+
+    def forest(sets):
+        rows = [
+            {
+                "probe": probe,
+                "n": len(s),
+                "component": k,
+                "hashes": None,
+                "bins": sketcher.bands_of(s)[1],
+                "whole": s.tobytes(),
+            }
+            for probe in (False, True)
+            for k, s in enumerate(sets)
+        ]
+        types = [pa.bool_(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        schema = pa.schema(list(zip(rows[0], types, strict=True)))
+        return list(_compare(pa.RecordBatch.from_pylist(rows, schema), settings))
+
+    assert forest(edited(0.15, 40)) == []
+    assert len(forest(edited(0.05, 20))) == 19
