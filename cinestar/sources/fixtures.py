@@ -270,38 +270,40 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit('The "'), segment, F.lit("\" who won't, None")))
     )
     gender = F.when(F.col("c_acctbal") < 0, 0).when(segment < "F", 1).otherwise(2)
-    # Both sides grow with the data. Their compressed size says little about the
-    # rows, so the joins are told not to broadcast either of them. Keys come
-    # first: the printed texts join what is left of them, once per member.
-    keys = (
-        table(spark, sf_dir, "lineitem")
-        .select("l_orderkey", "l_partkey")
-        .join(
-            table(spark, sf_dir, "orders")
-            .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
-            .hint("merge"),
-            "l_orderkey",
-        )
-        .select("l_partkey", "o_custkey", "o_orderstatus")
-        .distinct()
-    )
-    customers = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"),
-        py_text(F.col("c_name")).alias("name"),
-        gender.alias("gender"),
-        segment,
-        "c_acctbal",
-    )
+    # A member's text but for its film and its place is printed once per order, not
+    # once per line item. Two such texts differ where what they print does, and sort
+    # as it does: no printed value is the beginning of another.
+    credit = F.concat_ws("-", F.col("c_custkey").cast("string"), "o_orderstatus")
+    picture = F.when(gender > 0, F.concat(F.lit("/"), F.col("c_custkey").cast("string"), F.lit(".jpg")))
     buyer = F.struct(
-        F.col("o_custkey").alias("id"),
+        F.col("c_custkey").alias("id"),
         F.col("o_orderstatus").alias("status"),
-        py_text(character).alias("character"),
-        "gender",
-        "name",
+        F.concat(F.lit(", 'character': "), py_text(character), F.lit(", 'credit_id': '")).alias("before_film"),
+        F.concat(
+            credit,
+            F.lit("', 'gender': "),
+            py_number(gender),
+            F.lit(", 'id': "),
+            py_number(F.col("c_custkey")),
+            F.lit(", 'name': "),
+            py_text(F.col("c_name")),
+            F.lit(", 'order': "),
+        ).alias("after_film"),
+        F.concat(F.lit(", 'profile_path': "), py_code(picture), F.lit("}")).alias("after_place"),
+    )
+    # All sides grow with the data. Their compressed size says little about the
+    # rows, so the joins are told not to broadcast any of them.
+    customers = table(spark, sf_dir, "customer").withColumn("o_custkey", F.col("c_custkey"))
+    buyers = (
+        table(spark, sf_dir, "orders")
+        .select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+        .join(customers.hint("merge"), "o_custkey")
+        .select("l_orderkey", buyer.alias("buyer"))
     )
     cells = (
-        keys.join(customers.hint("merge"), "o_custkey")
-        .select("l_partkey", buyer.alias("buyer"))
+        table(spark, sf_dir, "lineitem")
+        .select("l_orderkey", "l_partkey")
+        .join(buyers.hint("merge"), "l_orderkey")
         .groupBy("l_partkey", F.expr(f"buyer.id div {CAST_BLOCK}").alias("block"))
         .agg(F.sort_array(F.collect_set("buyer")).alias("members"))
     )
@@ -312,19 +314,11 @@ def raw_credits(spark: SparkSession, sf_dir: str) -> DataFrame:
         .distinct()
     )
     film = F.col("l_partkey").cast("string")
+    prefix = F.coalesce(F.concat(film, F.lit("-")), F.lit(""))
     printed = F.transform(
         "members",
-        lambda m, i: py_dict(
-            cast_id=py_number(i),
-            character=m.character,
-            credit_id=py_code(F.concat_ws("-", film, m.id.cast("string"), m.status)),
-            gender=py_number(m.gender),
-            id=py_number(m.id),
-            name=m["name"],
-            order=py_number(i),
-            profile_path=py_code(
-                F.when(m.gender > 0, F.concat(F.lit("/"), m.id.cast("string"), F.lit(".jpg")))
-            ),
+        lambda m, i: F.concat(
+            F.lit("{'cast_id': "), py_number(i), m.before_film, prefix, m.after_film, py_number(i), m.after_place
         ),
     )
     # A damaged row is one more row: no member is lost with it.

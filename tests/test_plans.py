@@ -7,6 +7,7 @@ import re
 import pytest
 
 from __spark_entry__ import queries
+from cinestar.sources.fixtures import raw_credits
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -62,3 +63,13 @@ def test_no_cross_joins(plan):
     for name in lazy:
         text = plan(name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+KEYS = ("o_custkey", "l_orderkey")
+
+
+def test_members_are_printed_per_order_not_per_line_item(spark):
+    """Customers join the orders, which are fewer, below the join of the line items."""
+    plan = raw_credits(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    depth = {key: min(line.index("Join") for line in plan if f"Join Inner, ({key}" in line) for key in KEYS}
+    assert depth["o_custkey"] > depth["l_orderkey"]
